@@ -12,7 +12,7 @@ from shelfwise.columns import SLOT_ATTRIBUTES
 from shelfwise.config import PLATFORMS
 
 MARKET = "CASE WHEN {k} % 2 = 0 THEN 'GV_ES' ELSE 'PY_AR' END"
-BOTH = "(VALUES ('GV_ES'), ('PY_AR')) AS both(ge)"
+BOTH = "(VALUES ('GV_ES'), ('PY_AR')) AS markets(ge)"
 IN_WINDOW = "BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'"
 R2 = "round(CAST({x} AS DECIMAL(38,6)), 2)::DOUBLE"
 EUR = "(sum(floor(({x}) * 10000 + 0.5)::BIGINT)::BIGINT::DOUBLE / 10000)"
