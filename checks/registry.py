@@ -331,7 +331,9 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
     "agg_chain_count": lambda s, x: x.counted,
     "having_private_label": lambda s, x: demand.in_two_chains(
         x.gated, x.bridge,
-        demand.chain_spans(assortment.carried_groups(x.active, x.lookup), x.dims),
+        demand.chain_spans(
+            assortment.carried_groups(x.active, x.lookup), vendors.vendor_cells(x.dims)
+        ),
     ),
     "pivot_top3": lambda s, x: x.wide,
     "agg_total_gap_revenue": lambda s, x: x.wide.select(

@@ -42,8 +42,11 @@ class StandIn:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def stored(self, name: str, df: DataFrame) -> DataFrame:
+    def stored(self, name: str, df: DataFrame, fact: bool = False) -> DataFrame:
+        """A fact table is spread over files, as its one-file source would be read by one task."""
         path = f"{self.root}/{name}"
+        if fact:
+            df = df.repartition(self.spark.sparkContext.defaultParallelism)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -138,7 +141,7 @@ class StandIn:
             F.col("l_partkey").alias("platform_product_id"),
             F.col("l_shipdate").cast("date").alias("date_ref"),
             rate.alias("daily_buyable_rate_eligible_ref"),
-        ))
+        ), fact=True)
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -168,7 +171,7 @@ class StandIn:
             (F.col("o_orderstatus") != "P").alias("is_successful"),
             F.when(key % 10 == 0, "darkstores").when(key % 10 != 1, "shop").alias("vertical_type"),
             items.alias("items"),
-        ))
+        ), fact=True)
 
     @cached_property
     def vendor_users(self) -> DataFrame:

@@ -55,14 +55,17 @@ def vendor_sku_count(active: DataFrame) -> DataFrame:
 
 
 def group_map(lookup: DataFrame, alias_column: str) -> DataFrame:
-    """Platform product -> one of its groups, each pair once."""
-    return (
-        require(lookup, alias_column)
-        .select(*PRODUCT, F.col(alias_column).alias("alias_product_id"))
-        .distinct()
+    """Platform product -> one of its groups; a pair may repeat."""
+    return require(lookup, alias_column).select(
+        *PRODUCT, F.col(alias_column).alias("alias_product_id")
     )
 
 
+def unique_group_map(lookup: DataFrame, alias_column: str) -> DataFrame:
+    """The same, each pair once. Partitioned by product, so a join on it needs no other shuffle."""
+    return group_map(lookup, alias_column).repartition(*PRODUCT).distinct()
+
+
 def carried_groups(active: DataFrame, lookup: DataFrame) -> DataFrame:
     """Supply groups each vendor carries."""
     return (
@@ -90,14 +93,14 @@ def demand_products(active: DataFrame, dims: DataFrame, lookup: DataFrame) -> Da
     return (
         active.select(*SKU)
         .join(vendor_cells(dims), VENDOR)
-        .join(group_map(lookup, "demand_alias_id"), PRODUCT)
+        .join(unique_group_map(lookup, "demand_alias_id"), PRODUCT)
         .select(*SKU, "alias_product_id", *CELL[1:], "chain_id")
     )
 
 
-def of_known_vendors(df: DataFrame, dims: DataFrame) -> DataFrame:
-    """Rows of vendors that have a dimension row."""
-    return df.join(dims.select(*VENDOR).distinct(), VENDOR, "left_semi")
+def of_vendors(df: DataFrame, vendors: DataFrame) -> DataFrame:
+    """Rows of the vendors that appear in another relation."""
+    return df.join(vendors.select(*VENDOR), VENDOR, "left_semi")
 
 
 def vendors_by_cell(catalog: DataFrame) -> DataFrame:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.columns import BRIDGE, CELL, ENTITY, PRODUCT, SKU, VENDOR
 from shelfwise.functions import or_default, safe_divide, sum_money
-from shelfwise.operators.assortment import group_map
-from shelfwise.operators.vendors import vendor_cells
+from shelfwise.operators.assortment import unique_group_map
 
 GROUP = [*CELL, "alias_product_id"]  # one demand group in one market cell
 _SALES = [*VENDOR, "chain_id", "vertical_segment", "city", "alias_product_id"]
@@ -35,23 +34,17 @@ def vendor_product_sales(items: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def activity_sales(activity: DataFrame, dims: DataFrame, lookup: DataFrame) -> DataFrame:
-    """The same relation as ``vendor_product_sales``, from already summed activity.
-
-    Cells and chains are attached after the sum: they depend on the vendor alone, so attaching them
-    adds no group and the wide key is never shuffled.
-    """
+def vendor_group_sales(activity: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Quantity and revenue of each demand group at each vendor, from summed activity."""
     return (
         activity.where("items_sold > 0")
         .select(*SKU, "quantity_sold", "revenue_eur")
-        .join(group_map(lookup, "demand_alias_id"), PRODUCT)
+        .join(unique_group_map(lookup, "demand_alias_id"), PRODUCT)
         .groupBy(*VENDOR, "alias_product_id")
         .agg(
             F.sum("quantity_sold").alias("quantity_sold"),
             sum_money(F.col("revenue_eur")).alias("revenue_eur"),
         )
-        .join(vendor_cells(dims), VENDOR)
-        .select(*_SALES, "quantity_sold", "revenue_eur")
     )
 
 
@@ -67,16 +60,44 @@ def market_metrics(sales_sessions: DataFrame) -> DataFrame:
     distinct vendor count runs in two steps, the first spread over vendors, so one hot group does
     not land on one task.
     """
-    qty, revenue = F.sum("quantity_sold"), sum_money(F.col("revenue_eur"))
-    vendors = F.count_distinct("platform_vendor_id")
     return sales_sessions.groupBy(*GROUP).agg(
+        *_metrics(
+            F.sum("quantity_sold"),
+            sum_money(F.col("revenue_eur")),
+            F.count_distinct("platform_vendor_id"),
+            F.sum("menu_sessions"),
+        )
+    )
+
+
+def cell_metrics(sales: DataFrame, presence: DataFrame, sessions: DataFrame) -> DataFrame:
+    """The same relation from ``vendor_group_sales``.
+
+    Cells are attached after the vendor's sums, as they depend on the vendor alone. With each
+    vendor once per cell, and its chain rows as a weight, vendors need no distinct count: all is
+    summed before the one shuffle.
+    """
+    weight = F.col("chain_rows")
+    cells = presence.join(sessions.select(*VENDOR, "menu_sessions"), VENDOR, "left")
+    return sales.join(cells, VENDOR).groupBy(*GROUP).agg(
+        *_metrics(
+            F.sum(F.col("quantity_sold") * weight),
+            sum_money(F.col("revenue_eur") * weight),
+            F.count("platform_vendor_id"),
+            F.sum(F.col("menu_sessions") * weight),
+        )
+    )
+
+
+def _metrics(qty: Column, revenue: Column, vendors: Column, sessions: Column) -> list[Column]:
+    return [
         qty.alias("total_quantity_sold"),
         revenue.alias("total_revenue_eur"),
         vendors.alias("num_vendors_sold"),
         safe_divide(revenue, vendors).alias("flat_avg_revenue_eur"),
         safe_divide(qty, vendors).alias("flat_avg_qty"),
-        safe_divide(revenue, F.sum("menu_sessions")).alias("rev_per_session"),
-    )
+        safe_divide(revenue, sessions).alias("rev_per_session"),
+    ]
 
 
 def quality_gate(
@@ -120,7 +141,7 @@ def chain_counts(products: DataFrame, bridge: DataFrame, catalog: DataFrame) ->
     )
 
 
-def _own_columns(products: DataFrame) -> list:
+def _own_columns(products: DataFrame) -> list[Column]:
     return [F.any_value(c).alias(c) for c in products.columns if c not in GROUP]
 
 
@@ -128,10 +149,10 @@ def chain_gate(counted: DataFrame, min_chains: int = 2) -> DataFrame:
     return counted.where(F.col("num_chains") >= min_chains)
 
 
-def chain_spans(groups: DataFrame, dims: DataFrame) -> DataFrame:
+def chain_spans(groups: DataFrame, cells: DataFrame) -> DataFrame:
     """Smallest and largest chain that carries each supply group in each cell."""
     return (
-        groups.join(vendor_cells(dims), VENDOR)
+        groups.join(cells, VENDOR)
         .groupBy(*CELL, "alias_product_id")
         .agg(F.min("chain_id").alias("_lo"), F.max("chain_id").alias("_hi"))
     )

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from shelfwise.columns import CELL, ENTITY, GAP_KEYS, METADATA, SLOT_ATTRIBUTES, VENDOR
 from shelfwise.functions import or_default, round2, safe_divide, weighted_est_revenue
 from shelfwise.operators.demand import bridged
-from shelfwise.operators.vendors import vendor_cells
 
 
 def top_to_vendors(top: DataFrame, vendors: DataFrame) -> DataFrame:
@@ -49,7 +48,7 @@ def carried_pairs(catalog: DataFrame, bridge: DataFrame, top: DataFrame) -> Data
     )
 
 
-def holders(groups: DataFrame, dims: DataFrame, wanted: DataFrame) -> DataFrame:
+def holders(groups: DataFrame, cells: DataFrame, wanted: DataFrame) -> DataFrame:
     """Who carries each top product in its own cell: cell, product, vendor and chain.
 
     ``wanted`` is the handful of bridged top products. It thins the large carried groups by a
@@ -59,11 +58,11 @@ def holders(groups: DataFrame, dims: DataFrame, wanted: DataFrame) -> DataFrame:
     rows = groups.withColumnRenamed("alias_product_id", "supply_alias_id")
     return (
         rows.join(
-            wanted.select(ENTITY, "supply_alias_id").distinct(),
+            wanted.select(ENTITY, "supply_alias_id"),
             [ENTITY, "supply_alias_id"],
             "left_semi",
         )
-        .join(vendor_cells(dims), VENDOR)
+        .join(cells, VENDOR)
         .join(wanted, [*CELL, "supply_alias_id"])
         .select(*CELL, "alias_product_id", "platform_vendor_id", "chain_id")
     )

@@ -40,6 +40,11 @@ def vendor_cells(dims: DataFrame) -> DataFrame:
     return dims.select(*VENDOR, "vertical_segment", "city", "chain_id").distinct()
 
 
+def vendor_presence(cells: DataFrame) -> DataFrame:
+    """Each vendor once per market cell, with the number of chains it counts under there."""
+    return cells.groupBy(*VENDOR, *CELL[1:]).agg(F.count("*").alias("chain_rows"))
+
+
 def vendor_names(dims: DataFrame) -> DataFrame:
     """The market cells and names each vendor appears under."""
     return dims.select(*VENDOR, "vendor_name", *CELL[1:]).distinct()

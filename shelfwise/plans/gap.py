@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise import sources
-from shelfwise.columns import ENTITY
+from shelfwise.columns import ENTITY, VENDOR
 from shelfwise.config import PLATFORMS, GapParams, Period
 from shelfwise.functions import platform_of
 from shelfwise.operators import assortment, demand, gaps, targeting, vendors
 from shelfwise.plans.refresh import build_lookups
-from shelfwise.session import Stage, configure, table_stage
+from shelfwise.session import Stage, configure, fits_broadcast, table_stage
 from shelfwise.sources import Lookups, Sources
 
 
@@ -43,19 +43,19 @@ def sku_gap(
     tables = lookups.only(entities) if lookups else inline_lookups(src, entities, stage)
 
     dims = vendors.vendor_dims(sources.vendor_month(src, period.report_month, entities))
-    totals = vendors.vendor_totals(dims)
+    totals = stage("vendor_totals", vendors.vendor_totals(dims))
+    cells = stage("vendor_cells", vendors.vendor_cells(dims))
 
     # Both fact tables, read once and reduced to one row per active product of a known vendor.
-    activity = stage("activity", _activity(src, params, dims))
+    activity = stage("activity", _activity(src, params, cells))
     groups = stage("carried_groups", assortment.carried_groups(activity, tables.lookup))
 
-    top = stage("top_products", _top_products(params, activity, groups, dims, totals, tables))
-    wanted = stage(
-        "wanted_groups", demand.bridged(top.select(*demand.GROUP), tables.bridge)
-    )
-    held = gaps.holders(groups, dims, wanted)
+    top = stage("top_products", _top_products(params, activity, groups, cells, totals, tables))
+    wanted = stage("wanted_groups", demand.bridged(top.select(*demand.GROUP), tables.bridge))
+    held = stage("holders", gaps.holders(groups, cells, wanted))
 
-    ranked = _ranked_gaps(params, top, held, groups, dims, totals)
+    present = assortment.of_vendors(vendors.vendor_names(dims), groups)
+    ranked = _ranked_gaps(params, top, held, present, totals)
     shown = gaps.with_metadata(ranked, gaps.display_of(top, tables.metadata))
     targeted = targeting.with_targeting(
         gaps.pivot_gaps(shown, params.gaps_per_vendor),
@@ -85,7 +85,7 @@ def sku_gap_platforms(
     return result.select(platform_of(F.col(ENTITY)).alias("platform"), *result.columns)
 
 
-def _activity(src: Sources, params: GapParams, dims: DataFrame) -> DataFrame:
+def _activity(src: Sources, params: GapParams, cells: DataFrame) -> DataFrame:
     period = params.period
     rates = sources.active_window_rates(
         src, period.active_from, period.active_to, params.entities
@@ -93,32 +93,33 @@ def _activity(src: Sources, params: GapParams, dims: DataFrame) -> DataFrame:
     items = sources.order_items(
         src, period.orders_from, period.orders_to, params.entities, params.order_vertical_exclude
     )
-    return assortment.of_known_vendors(assortment.sku_activity(rates, items), dims)
+    if fits_broadcast(cells):
+        # Drop the facts of other vendors as they are read, before anything is summed or shuffled.
+        known = F.broadcast(cells)
+        return assortment.sku_activity(
+            assortment.of_vendors(rates, known), assortment.of_vendors(items, known)
+        )
+    return assortment.of_vendors(assortment.sku_activity(rates, items), cells)
 
 
-def _top_products(params, activity, groups, dims, totals, tables: Lookups) -> DataFrame:
-    sales = demand.with_sessions(demand.activity_sales(activity, dims, tables.lookup), totals)
-    passed = demand.quality_gate(
-        demand.market_metrics(sales), params.min_avg_revenue, params.min_avg_qty
-    )
+def _top_products(params, activity, groups, cells, totals, tables: Lookups) -> DataFrame:
+    sales = demand.vendor_group_sales(activity, tables.lookup)
+    metrics = demand.cell_metrics(sales, vendors.vendor_presence(cells), totals)
+    passed = demand.quality_gate(metrics, params.min_avg_revenue, params.min_avg_qty)
     if params.min_chains == 2:
-        candidates = demand.in_two_chains(
-            passed, tables.bridge, demand.chain_spans(groups, dims)
-        )
+        spans = demand.chain_spans(groups, cells)
+        candidates = demand.in_two_chains(passed, tables.bridge, spans)
     else:
-        catalog = groups.join(vendors.vendor_cells(dims), vendors.VENDOR)
-        candidates = demand.chain_gate(
-            demand.chain_counts(passed, tables.bridge, catalog), params.min_chains
-        ).drop("num_chains")
+        catalog = groups.join(cells, VENDOR)
+        counted = demand.chain_counts(passed, tables.bridge, catalog)
+        candidates = demand.chain_gate(counted, params.min_chains).drop("num_chains")
     return demand.rank_top(candidates, params.top_products)
 
 
-def _ranked_gaps(params, top, held, groups, dims, totals) -> DataFrame:
+def _ranked_gaps(params, top, held, present, totals) -> DataFrame:
     spread = held.groupBy(*demand.GROUP).agg(F.count_distinct("chain_id").alias("num_chains"))
-    present = assortment.of_known_vendors(vendors.vendor_names(dims), groups)
     pairs = gaps.top_to_vendors(top.join(spread, demand.GROUP), present)
-    carried = held.select(*demand.GROUP, "platform_vendor_id").distinct()
-    missing = gaps.drop_carried(pairs, carried)
+    missing = gaps.drop_carried(pairs, held)
     return gaps.rank_gaps(
         gaps.with_vendor_context(missing, totals), params.gaps_per_vendor
     )

@@ -18,6 +18,8 @@ _SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort where every partition of the build side was measured to be small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
@@ -41,6 +43,11 @@ def stage_root(spark: SparkSession) -> str:
     return shared
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> bool:
+    """Whether a narrow relation is small enough to send to every executor, by counting it."""
+    return df.count() <= max_rows
+
+
 def lazy(_name: str, df: DataFrame) -> DataFrame:
     """A stage that stays part of one lazy plan."""
     return df
