@@ -1,7 +1,13 @@
 """Small hand-made inputs."""
 
+import tempfile
 from datetime import date, datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, StructType
+
 from shelfwise import GapParams, Period, Sources
 from shelfwise.sources.schemas import INPUT_SCHEMAS
 
@@ -12,10 +18,29 @@ PARAMS = GapParams(period=PERIOD)
 
 
 def sources(spark, **rows) -> Sources:
-    return Sources(**{
-        name: spark.createDataFrame(rows.get(name, []), ddl)
-        for name, ddl in INPUT_SCHEMAS.items()
-    })
+    """Inputs as parquet files, which spares a Python worker per scan."""
+    root = tempfile.mkdtemp(prefix="shelfwise-micro-")
+    frames = {}
+    for name, ddl in INPUT_SCHEMAS.items():
+        schema = StructType.fromDDL(ddl)
+        arrow = to_arrow_schema(schema)
+        pq.write_table(
+            pa.Table.from_pylist([_record(schema, r) for r in rows.get(name, [])], arrow),
+            f"{root}/{name}.parquet",
+        )
+        frames[name] = spark.read.schema(schema).parquet(f"{root}/{name}.parquet")
+    return Sources(**frames)
+
+
+def _record(kind, value):
+    """Tuples of a struct as dicts, at any depth."""
+    if value is None:
+        return None
+    if isinstance(kind, StructType):
+        return {f.name: _record(f.dataType, v) for f, v in zip(kind.fields, value, strict=True)}
+    if isinstance(kind, ArrayType):
+        return [_record(kind.elementType, v) for v in value]
+    return value
 
 
 def vendor(v, *, entity="GV_ES", month=MONTH, name=None, chain=None, vertical="Shop",

@@ -1,0 +1,397 @@
+"""One small case for each rule that is easy to get wrong."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise import PLATFORMS, GapParams, Period, sku_gap, sources
+from shelfwise import functions as fn
+from shelfwise.columns import gap_result_columns
+from shelfwise.operators import alias, assortment, demand, gaps, nested, reports, vendors
+from tests import micro
+from tests.micro import (
+    attribute, buyable, demand as d_alias, listing, order, plain_products, supply, user, vendor,
+)
+
+
+def rows(df, *columns):
+    return sorted(tuple(r) for r in (df.select(*columns) if columns else df).collect())
+
+
+# ---- configuration ---------------------------------------------------------------------------
+
+
+def test_presets():
+    sizes = {name: len(markets) for name, markets in PLATFORMS.items()}
+    assert sizes == {"py": 15, "tb": 8, "hs": 1, "gv": 22, "pd": 16, "ef": 2}
+    flat = [m for markets in PLATFORMS.values() for m in markets]
+    assert len(set(flat)) == 64
+
+
+def test_periods():
+    assert Period.month(date(2026, 2, 11)) == Period(
+        date(2026, 2, 1), date(2026, 2, 1), date(2026, 2, 28), date(2026, 2, 1), date(2026, 2, 28)
+    )
+    mixed = Period.rolling(date(2026, 1, 15), orders_month=date(2025, 12, 3))
+    assert mixed == Period(
+        date(2025, 12, 1), date(2025, 12, 17), date(2026, 1, 15),
+        date(2025, 12, 1), date(2025, 12, 31),
+    )
+
+
+# ---- expressions -----------------------------------------------------------------------------
+
+
+def test_safe_divide_and_rounding(spark):
+    df = spark.sql("SELECT * FROM VALUES (1D, 0D), (1D, NULL), (NULL, 2D), (1D, 8D) AS t(a, b)")
+    got = [r[0] for r in df.select(fn.safe_divide(F.col("a"), F.col("b"))).collect()]
+    assert got == [None, None, None, 0.125]
+    halves = spark.sql("SELECT * FROM VALUES (1.005D), (-1.005D), (2.675D), (NULL) AS t(a)")
+    assert [r[0] for r in halves.select(fn.round2(F.col("a"))).collect()] == [
+        1.01, -1.01, 2.68, None
+    ]
+
+
+def test_money_sum_ignores_order(spark):
+    amounts = spark.range(200_000).select((F.col("id") * 0.1 + 0.07).alias("eur"))
+    exact = sum(1000 * i + 700 for i in range(200_000)) / 10000
+    for parts in (1, 7, 40):
+        total = amounts.repartition(parts).agg(fn.sum_money(F.col("eur"))).first()[0]
+        assert total == exact
+    assert amounts.where("id < 0").agg(fn.sum_money(F.col("eur"))).first()[0] is None
+
+
+def test_targeting_flags(spark):
+    cases = spark.sql("""
+        SELECT * FROM VALUES
+          ('fits',       50D, 80, 100,  1.0D, true,  false),
+          ('thin',       50D, 79, 100,  1.0D, false, true),
+          ('small gap',  50D, 80, 100,  0.99D, false, false),
+          ('no pct',     50D, 80, 100,  NULL, false, false),
+          ('low score',  49D, 10, 100,  5.0D, false, false),
+          ('no bar',     90D, 900, NULL, 5.0D, false, true),
+          ('no skus',    90D, NULL, 100, 5.0D, false, true)
+        AS t(name, score, skus, bar, pct, one, two)""")
+    score, skus, bar, pct = (F.col(c) for c in ("score", "skus", "bar", "pct"))
+    got = cases.select(
+        "name", "one", "two",
+        fn.targeted_usecase1(score, skus, bar, pct).alias("is_one"),
+        fn.targeted_usecase2(score, skus, bar).alias("is_two"),
+    ).collect()
+    for r in got:
+        assert (r.is_one, r.is_two) == (r.one, r.two), r.name
+
+
+# ---- filters ---------------------------------------------------------------------------------
+
+
+def test_three_valued_vendor_filters(spark):
+    src = micro.sources(spark, vendor_month=[
+        vendor("ok"), vendor("unknown key", key=None), vendor("key", key=True),
+        vendor("offline", online=False), vendor("unknown online", online=None),
+        vendor("dark", vertical="City DarkStore"), vendor("unknown kind", vertical=None),
+        vendor("old", month=date(2026, 4, 1)),
+    ])
+    dims = vendors.vendor_dims(sources.vendor_month(src, micro.MONTH))
+    assert rows(dims, "platform_vendor_id") == [("ok",), ("unknown key",)]
+
+
+def test_prefix_underscore_is_a_wildcard(spark):
+    df = spark.sql("SELECT * FROM VALUES ('GV_ES'), ('GVXIT'), ('PY_AR') AS t(global_entity_id)")
+    assert rows(fn.by_prefix(df, "GV_%")) == [("GVXIT",), ("GV_ES",)]
+
+
+def test_order_filters(spark):
+    src = micro.sources(spark, orders=[
+        order("v", ("a", 1, 1.0)),
+        order("v", ("b", 1, 1.0), ok=None),
+        order("v", ("c", 1, 1.0), ok=False),
+        order("v", ("d", 1, 1.0), vertical="darkstores"),
+        order("v", ("e", 1, 1.0), vertical=None),
+        order("v", ("f", 1, 1.0), day=date(2026, 5, 31)),
+        order("v", ("g", 1, 1.0), day=date(2026, 6, 1)),
+        order("v"),
+        ("GV_ES", "v", micro.DAY, True, "shop", None),
+        order("v", ("h", 1, 1.0), ("h", 2, None)),
+    ])
+    window = (micro.MONTH, date(2026, 5, 31))
+    every = sources.order_items(src, *window)
+    assert [r[0] for r in rows(every, "platform_product_id")] == list("adefhh")
+    shops = sources.order_items(src, *window, vertical_exclude="darkstores")
+    assert [r[0] for r in rows(shops, "platform_product_id")] == list("afhh")
+
+
+# ---- nested data and alias tables ------------------------------------------------------------
+
+
+def test_users_without_vendors(spark):
+    src = micro.sources(spark, vendor_users=[
+        user("two", "v1", "v2"), user("none"), ("null", None, None),
+        user("gone", "v1", gone=True), user("left", "v1", node_gone=True), user("two", "v1"),
+    ])
+    nodes = nested.unnest_vendor_nodes(src.vendor_users)
+    assert nodes.where("vendor_code IS NULL").count() == 2
+    links = vendors.vendor_user_links(sources.vendor_users(src))
+    assert {(r.uuid, r.vendor_code) for r in links.collect()} == {
+        ("two", "v1"), ("two", "v2"), ("none", None), ("null", None)
+    }
+    assert links.count() == 4
+    known = vendors.vendor_user_links(sources.vendor_users(src), ["GV_ES"])
+    assert {r.uuid for r in known.collect()} == {"two"}
+
+
+def test_newest_listing_wins(spark):
+    src = micro.sources(spark, catalog=[
+        listing("old", "p1", created=datetime(2025, 1, 1)),
+        listing("new", "p1", None, created=datetime(2026, 1, 1)),
+        listing("undated", "p1", "p2", created=None),
+        listing("b", "p3"), listing("a", "p3"),
+        listing(None, "p4"), ("GV_ES", "empty", None, []), ("GV_ES", "null", None, None),
+        listing("other", "p1", entity="PY_AR"),
+    ])
+    owner = alias.latest_catalog_rows(sources.catalog_products(src))
+    assert rows(owner, "global_entity_id", "platform_product_id",
+                "catalog_master_product_id") == [
+        ("GV_ES", "p1", "new"), ("GV_ES", "p2", "undated"), ("GV_ES", "p3", "a"),
+        ("PY_AR", "p1", "other"),
+    ]
+
+
+def test_lookup_keeps_products_without_alias(spark):
+    src = micro.sources(
+        spark,
+        catalog=[listing("m1", "p1"), listing("m2", "p2"), listing("m3", "p3"),
+                 listing("m4", "p4")],
+        demand_alias=[d_alias("m1", "m1"), d_alias("m2", "m1"), d_alias("m2", "m2")],
+        supply_alias=[supply("m1", "s1"), supply("m3", "s3"), supply("m2", "s1"),
+                      supply("m2", "s2")],
+    )
+    d, s = sources.alias_demand(src), sources.alias_supply(src)
+    owner = alias.latest_catalog_rows(sources.catalog_products(src))
+    got = alias.product_lookup(owner, d, s)
+    # As two left joins in a row would give it.
+    named_d = d.withColumnRenamed("alias_product_id", "demand_alias_id")
+    named_s = s.withColumnRenamed("alias_product_id", "supply_alias_id")
+    twice = owner.join(named_d, alias.MASTER, "left").join(named_s, alias.MASTER, "left")
+    assert sorted(map(str, got.collect())) == sorted(map(str, twice.select(got.columns).collect()))
+    assert got.where("platform_product_id = 'p4'").collect()[0][2:] == (None, None)
+    assert rows(alias.demand_supply_bridge(d, s), "demand_alias_id", "supply_alias_id") == [
+        ("m1", "s1"), ("m1", "s2"), ("m2", "s1"), ("m2", "s2"),
+    ]
+    assert rows(alias.product_metadata(src.demand_alias), "alias_product_id") == [
+        ("m1",), ("m2",)
+    ]
+
+
+# ---- assortment and demand -------------------------------------------------------------------
+
+
+def test_active_needs_a_positive_sum(spark):
+    src = micro.sources(spark, buyable_rate=[
+        buyable("v", "never", rate=0.0), buyable("v", "never", rate=None),
+        buyable("v", "once", rate=0.0), buyable("v", "once", rate=0.01),
+        buyable("v", "later", day=date(2026, 6, 1)),
+    ])
+    active = assortment.active_skus(
+        sources.active_window_rates(src, micro.MONTH, date(2026, 5, 31))
+    )
+    assert rows(active, "platform_product_id") == [("once",)]
+
+
+def test_vendor_under_two_chains_counts_sessions_twice(spark):
+    base = [vendor("v1", chain="1", sessions=10), vendor("v1", chain="2", sessions=30),
+            vendor("v2", chain="1", sessions=5)]
+    src = micro.sources(
+        spark, vendor_month=base, **plain_products(1),
+        buyable_rate=[buyable("v1", "p1"), buyable("v2", "p1")],
+        orders=[order("v1", ("p1", 2, 7.5)), order("v2", ("p1", 4, None))],
+    )
+    dims = vendors.vendor_dims(sources.vendor_month(src, micro.MONTH))
+    window = (micro.MONTH, date(2026, 5, 31))
+    rates, items = sources.active_window_rates(src, *window), sources.order_items(src, *window)
+    d, s = sources.alias_demand(src), sources.alias_supply(src)
+    lookup = alias.product_lookup(
+        alias.latest_catalog_rows(sources.catalog_products(src)), d, s
+    )
+    sales = demand.vendor_product_sales(
+        items, assortment.demand_products(assortment.active_skus(rates), dims, lookup)
+    )
+    by_rows = demand.market_metrics(demand.with_sessions(sales, vendors.vendor_sessions(dims)))
+    activity = assortment.sku_activity(rates, items)
+    by_weight = demand.cell_metrics(
+        demand.vendor_group_sales(activity, lookup),
+        vendors.vendor_presence(vendors.vendor_cells(dims)), vendors.vendor_totals(dims),
+    )
+    for metrics in (by_rows, by_weight):
+        m = metrics.collect()
+        assert len(m) == 1
+        assert m[0].total_quantity_sold == 2 + 2 + 4
+        assert m[0].total_revenue_eur == 15.0
+        assert m[0].num_vendors_sold == 2
+        assert m[0].rev_per_session == 15.0 / (30 + 30 + 5)
+
+
+def test_quality_gate_bounds(spark):
+    df = spark.sql("""SELECT * FROM VALUES (100D, 1.5D, 'in'), (99.99D, 9D, 'cheap'),
+        (500D, 1D, 'once'), (NULL, 9D, 'none') AS t(flat_avg_revenue_eur, flat_avg_qty, name)""")
+    assert rows(demand.quality_gate(df), "name") == [("in",)]
+
+
+def test_rank_keeps_ties_and_row_number_does_not(spark):
+    ids = list(range(14))
+    qty = [50] * 2 + [40] * 9 + [30] * 3
+    df = spark.createDataFrame(
+        [("E", "s", "c", i, q) for i, q in zip(ids, qty, strict=True)],
+        "global_entity_id string, vertical_segment string, city string, "
+        "alias_product_id long, total_quantity_sold long",
+    )
+    top = demand.rank_top(df, 10)
+    assert [r.sku_rank for r in top.orderBy("alias_product_id").collect()] == [1] * 2 + [3] * 9
+    pairs = top.withColumn("platform_vendor_id", F.lit("v")).withColumn("vendor_name", F.lit("n"))
+    best = gaps.rank_gaps(pairs, 3).orderBy("vendor_gap_rank").collect()
+    assert [(r.vendor_gap_rank, r.alias_product_id) for r in best] == [(1, 0), (2, 1), (3, 2)]
+
+
+# ---- the whole job ---------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def market(spark):
+    """Two chains sell p1..p4; v3 lacks p1..p4, v4 has no chain, v5 has p1 under another name."""
+    p = plain_products(5)
+    p["catalog"].append(listing("p1b", "p1b"))
+    p["demand_alias"].append(d_alias("p1b", "p1b"))
+    p["supply_alias"].append(supply("p1b", "p1"))
+    stock = [("v1", f"p{i}") for i in range(1, 5)] + [("v2", f"p{i}") for i in range(1, 5)]
+    stock += [("v3", "p5"), ("v4", "p5"), ("v5", "p1b"), ("v6", "p5")]
+    sold = [order(v, *((f"p{i}", 10 - i, 200.0) for i in range(1, 5))) for v in ("v1", "v2")]
+    sold += [order("v4", ("p5", 50, 900.0))]
+    return micro.sources(
+        spark, **p,
+        vendor_month=[
+            vendor("v1", chain="1"), vendor("v2", chain="2"), vendor("v3", chain="3"),
+            vendor("v4", chain=None), vendor("v5", chain="3", gmv=None),
+            vendor("v6", chain=None, sessions=None),
+        ],
+        buyable_rate=[buyable(v, p) for v, p in stock],
+        orders=sold,
+        vendor_users=[user("u3", "v3"), user("u3b", "v3"), user("u4", "v4"), user("u5", "v5"),
+                      user("u6", "v6"), user("u1", "v1")],
+        comms_attributes=[attribute(u) for u in ("u3", "u3b", "u5", "u6", "u1")]
+        + [attribute("u4", food=None)],
+        sku_threshold=[("GV_ES", "grocery", 1)],
+    )
+
+
+@pytest.fixture(scope="module")
+def result(market):
+    return sku_gap(market, micro.PARAMS).collect()
+
+
+def test_result_schema_and_order(market, result):
+    assert sku_gap(market, micro.PARAMS).columns == gap_result_columns()
+    assert len(gap_result_columns()) == 51
+    assert [r.platform_vendor_id for r in result] == ["v3", "v3", "v5", "v6"]
+
+
+def test_recipients_repeat_a_vendor_and_silent_vendors_are_absent(result):
+    assert sorted(r.uuid for r in result) == ["u3", "u3b", "u5", "u6"]
+    # v1 lacks only p5, which no chain sells; v4's user has no known vertical.
+
+
+def test_gap_slots(result):
+    v3 = next(r for r in result if r.platform_vendor_id == "v3")
+    assert [v3[f"gap{n}_alias_product_id"] for n in (1, 2, 3)] == ["p1", "p2", "p3"]
+    assert [v3[f"gap{n}_market_rank"] for n in (1, 2, 3)] == [1, 2, 3]
+    assert v3.gap1_market_qty_sold == 18 and v3.gap1_flat_avg_rev_eur == 200.0
+    # 400 euro over 200 sessions, times 100 sessions of its own.
+    assert v3.gap1_weighted_est_rev_eur == 200.0
+    assert v3.total_weighted_est_rev_eur == 600.0 and v3.pct_of_vendor_gmv == 60.0
+    assert v3.gap1_product_name_en == "english p1" and v3.gap1_product_name_local is None
+    assert (v3.targeted_usecase1, v3.targeted_usecase2) == (True, False)
+
+
+def test_other_name_of_a_product_is_no_gap(result):
+    v5 = next(r for r in result if r.platform_vendor_id == "v5")
+    assert v5.gap1_alias_product_id == "p2" and v5.gap1_num_chains == 2
+    # p1 is carried by chain 3 too, under its supply group.
+    v3 = next(r for r in result if r.platform_vendor_id == "v3")
+    assert v3.gap1_num_chains == 3
+
+
+def test_no_turnover_and_no_sessions(result):
+    v5, v6 = (next(r for r in result if r.platform_vendor_id == v) for v in ("v5", "v6"))
+    assert v5.vendor_gmv_eur == 0.0 and v5.pct_of_vendor_gmv is None
+    assert v5.targeted_usecase1 is False
+    assert v6.vendor_sessions == 0 and v6.total_weighted_est_rev_eur == 0.0
+
+
+def test_market_without_sessions_has_no_estimate(spark, market):
+    months = market.vendor_month.withColumn("menu_sessions", F.lit(0).cast("bigint"))
+    from dataclasses import replace
+
+    got = sku_gap(replace(market, vendor_month=months), micro.PARAMS).collect()
+    assert got and all(r.gap1_weighted_est_rev_eur is None for r in got)
+    assert all(r.total_weighted_est_rev_eur == 0.0 for r in got)
+
+
+def test_missing_threshold_shows_zero_but_compares_high(market):
+    from dataclasses import replace
+
+    bare = replace(market, sku_threshold=market.sku_threshold.where("false"))
+    for r in sku_gap(bare, micro.PARAMS).collect():
+        assert r.mature_threshold == 0
+        assert (r.targeted_usecase1, r.targeted_usecase2) == (False, True)
+
+
+def test_preset_selects_its_markets(market):
+    assert sku_gap(market, GapParams.preset("hs", micro.PERIOD)).count() == 0
+    assert sku_gap(market, GapParams.preset("gv", micro.PERIOD)).count() == 4
+
+
+# ---- reports ---------------------------------------------------------------------------------
+
+
+def test_reports_count_a_vendor_once(spark, market):
+    got = sku_gap(market, micro.PARAMS, ordered=False)
+    targeted = {r.platform_vendor_id: r.total_weighted_est_rev_eur for r in got.collect()
+                if r.targeted_usecase1}
+    total = sum(targeted.values())
+    assert rows(reports.opportunity_by_entity(got)) == [("gv", "GV_ES", total)]
+    assert rows(reports.opportunity_by_platform(got)) == [("Total", total), ("gv", total)]
+    mails = reports.email_payload(got).collect()
+    assert len(mails) == len(targeted)
+    assert mails[0].product_1_name == "english p1" and mails[0].product_1_barcode == "bar p1"
+
+
+def test_gmv_report_includes_key_partners(spark):
+    src = micro.sources(spark, vendor_month=[
+        vendor("a", gmv=10.0), vendor("b", gmv=5.5, key=None), vendor("k", gmv=100.0, key=True),
+        vendor("off", gmv=1.0, online=False), vendor("p", entity="PY_AR", gmv=None),
+    ])
+    month = sources.vendor_month(src, micro.MONTH)
+    assert [tuple(r) for r in reports.gmv_by_partner_type(month).collect()] == [
+        ("gv", 16.5, 100.0, 116.5), ("py", 0.0, 0.0, 0.0), ("Total", 16.5, 100.0, 116.5)
+    ]
+
+
+def test_compliance_counts_vendors_with_nothing_active(spark):
+    src = micro.sources(
+        spark,
+        vendor_month=[vendor("a"), vendor("b"), vendor("c"), vendor("d", entity="PY_AR")],
+        buyable_rate=[buyable("a", "1"), buyable("a", "2"), buyable("b", "1"),
+                      buyable("d", "1", entity="PY_AR")],
+        sku_threshold=[("GV_ES", "grocery", 2), ("PY_AR", "grocery", 1)],
+    )
+    dims = vendors.vendor_dims(sources.vendor_month(src, micro.MONTH))
+    counts = assortment.vendor_sku_count(assortment.active_skus(
+        sources.active_window_rates(src, micro.MONTH, date(2026, 5, 31))
+    ))
+    table = reports.min_sku_compliance(dims, counts, sources.sku_threshold(src))
+    assert [tuple(r) for r in table.collect()] == [
+        ("gv", "GV_ES", 3, 2, 66.67), ("py", "PY_AR", 1, 0, 0.0)
+    ]
+    assert rows(reports.compliance_extremes(table), "kind", "global_entity_id") == [
+        ("highest_pct", "GV_ES"), ("lowest_pct", "PY_AR"), ("most_vendors", "GV_ES")
+    ]
