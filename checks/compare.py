@@ -22,6 +22,8 @@ def session(cpus: str = "8", partitions: str = "8") -> SparkSession:
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Spares a stack inspection for every column expression built.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -332,7 +332,7 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
     "having_private_label": lambda s, x: demand.in_two_chains(
         x.gated, x.bridge,
         demand.chain_spans(
-            assortment.carried_groups(x.active, x.lookup), vendors.vendor_cells(x.dims)
+            assortment.carried_groups(x.active, x.lookup), vendors.vendor_faces(x.dims)
         ),
     ),
     "pivot_top3": lambda s, x: x.wide,

@@ -70,7 +70,7 @@ def market_metrics(sales_sessions: DataFrame) -> DataFrame:
     )
 
 
-def cell_metrics(sales: DataFrame, presence: DataFrame, sessions: DataFrame) -> DataFrame:
+def cell_metrics(sales: DataFrame, presence: DataFrame) -> DataFrame:
     """The same relation from ``vendor_group_sales``.
 
     Cells are attached after the vendor's sums, as they depend on the vendor alone. With each
@@ -78,8 +78,7 @@ def cell_metrics(sales: DataFrame, presence: DataFrame, sessions: DataFrame) ->
     summed before the one shuffle.
     """
     weight = F.col("chain_rows")
-    cells = presence.join(sessions.select(*VENDOR, "menu_sessions"), VENDOR, "left")
-    return sales.join(cells, VENDOR).groupBy(*GROUP).agg(
+    return sales.join(presence, VENDOR).groupBy(*GROUP).agg(
         *_metrics(
             F.sum(F.col("quantity_sold") * weight),
             sum_money(F.col("revenue_eur") * weight),
@@ -152,7 +151,7 @@ def chain_gate(counted: DataFrame, min_chains: int = 2) -> DataFrame:
 def chain_spans(groups: DataFrame, cells: DataFrame) -> DataFrame:
     """Smallest and largest chain that carries each supply group in each cell."""
     return (
-        groups.join(cells, VENDOR)
+        groups.join(cells.select(*VENDOR, *CELL[1:], "chain_id"), VENDOR)
         .groupBy(*CELL, "alias_product_id")
         .agg(F.min("chain_id").alias("_lo"), F.max("chain_id").alias("_hi"))
     )

@@ -17,19 +17,19 @@ def top_to_vendors(top: DataFrame, vendors: DataFrame) -> DataFrame:
 
 def with_vendor_context(pairs: DataFrame, totals: DataFrame) -> DataFrame:
     """Add sessions, turnover and score, and price the gap by the vendor's sessions."""
-    known = totals.select(
-        *VENDOR,
-        F.col("menu_sessions").alias("_sessions"),
-        F.col("gmv_eur").alias("_gmv"),
-        F.col("vps_v11").alias("_score"),
-    )
-    sessions = or_default(F.col("_sessions"), 0)
-    return pairs.join(known, VENDOR, "left").select(
-        *pairs.columns,
+    return priced(pairs.join(totals, VENDOR, "left"))
+
+
+def priced(pairs: DataFrame) -> DataFrame:
+    """Price the gap by the sessions of the vendor, whose totals are beside it."""
+    sessions = or_default(F.col("menu_sessions"), 0)
+    totals = ("menu_sessions", "gmv_eur", "vps_v11")
+    return pairs.select(
+        *(c for c in pairs.columns if c not in totals),
         sessions.alias("vendor_sessions"),
         weighted_est_revenue(F.col("rev_per_session"), sessions).alias("weighted_est_revenue_eur"),
-        or_default(F.col("_gmv"), 0).alias("vendor_gmv_eur"),
-        or_default(F.col("_score"), 0).alias("vps_v11"),
+        or_default(F.col("gmv_eur"), 0).alias("vendor_gmv_eur"),
+        or_default(F.col("vps_v11"), 0).alias("vps_v11"),
     )
 
 
@@ -62,7 +62,7 @@ def holders(groups: DataFrame, cells: DataFrame, wanted: DataFrame) -> DataFrame
             [ENTITY, "supply_alias_id"],
             "left_semi",
         )
-        .join(cells, VENDOR)
+        .join(cells.select(*VENDOR, *CELL[1:], "chain_id"), VENDOR)
         .join(wanted, [*CELL, "supply_alias_id"])
         .select(*CELL, "alias_product_id", "platform_vendor_id", "chain_id")
     )
@@ -120,12 +120,10 @@ def pivot_gaps(gaps: DataFrame, slots: int = 3) -> DataFrame:
     """One row per vendor and cell, its gaps side by side, with their sum."""
 
     def slot(n: int, attribute: str, column: str) -> Column:
-        value = F.col(column)
-        if attribute == "flat_avg_rev_eur":
-            value = round2(value)
-        return F.max(F.when(F.col("vendor_gap_rank") == n, value)).alias(f"gap{n}_{attribute}")
+        return F.expr(f"max({column}) FILTER (WHERE vendor_gap_rank = {n}) AS gap{n}_{attribute}")
 
-    wide = gaps.groupBy(*GAP_KEYS).agg(
+    rounded = gaps.withColumn("flat_avg_revenue_eur", round2(F.col("flat_avg_revenue_eur")))
+    wide = rounded.groupBy(*GAP_KEYS).agg(
         F.max("vendor_gmv_eur").alias("vendor_gmv_eur"),
         *(
             slot(n, attribute, column)

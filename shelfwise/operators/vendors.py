@@ -40,14 +40,28 @@ def vendor_cells(dims: DataFrame) -> DataFrame:
     return dims.select(*VENDOR, "vertical_segment", "city", "chain_id").distinct()
 
 
-def vendor_presence(cells: DataFrame) -> DataFrame:
+def vendor_faces(dims: DataFrame) -> DataFrame:
+    """Each name, cell and chain of a vendor, beside the vendor's totals.
+
+    All that the later steps ask of a vendor, so they need one small table and no further joins.
+    """
+    faces = dims.select(*VENDOR, "vendor_name", *CELL[1:], "chain_id").distinct()
+    return faces.join(vendor_totals(dims), VENDOR)
+
+
+def vendor_presence(faces: DataFrame) -> DataFrame:
     """Each vendor once per market cell, with the number of chains it counts under there."""
-    return cells.groupBy(*VENDOR, *CELL[1:]).agg(F.count("*").alias("chain_rows"))
+    return (
+        faces.select(*VENDOR, *CELL[1:], "chain_id", "menu_sessions")
+        .distinct()
+        .groupBy(*VENDOR, *CELL[1:], "menu_sessions")
+        .agg(F.count("*").alias("chain_rows"))
+    )
 
 
-def vendor_names(dims: DataFrame) -> DataFrame:
-    """The market cells and names each vendor appears under."""
-    return dims.select(*VENDOR, "vendor_name", *CELL[1:]).distinct()
+def vendor_shops(faces: DataFrame) -> DataFrame:
+    """The market cells and names each vendor appears under, with its totals."""
+    return faces.drop("chain_id").distinct()
 
 
 def vendor_user_links(users: DataFrame, entities=None) -> DataFrame:

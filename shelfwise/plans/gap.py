@@ -43,19 +43,17 @@ def sku_gap(
     tables = lookups.only(entities) if lookups else inline_lookups(src, entities, stage)
 
     dims = vendors.vendor_dims(sources.vendor_month(src, period.report_month, entities))
-    totals = stage("vendor_totals", vendors.vendor_totals(dims))
-    cells = stage("vendor_cells", vendors.vendor_cells(dims))
+    faces = stage("vendors", vendors.vendor_faces(dims))
 
     # Both fact tables, read once and reduced to one row per active product of a known vendor.
-    activity = stage("activity", _activity(src, params, cells))
+    activity = stage("activity", _activity(src, params, faces))
     groups = stage("carried_groups", assortment.carried_groups(activity, tables.lookup))
 
-    top = stage("top_products", _top_products(params, activity, groups, cells, totals, tables))
+    top = stage("top_products", _top_products(params, activity, groups, faces, tables))
     wanted = stage("wanted_groups", demand.bridged(top.select(*demand.GROUP), tables.bridge))
-    held = stage("holders", gaps.holders(groups, cells, wanted))
+    held = stage("holders", gaps.holders(groups, faces, wanted))
 
-    present = assortment.of_vendors(vendors.vendor_names(dims), groups)
-    ranked = _ranked_gaps(params, top, held, present, totals)
+    ranked = _ranked_gaps(params, top, held, groups, faces)
     shown = gaps.with_metadata(ranked, gaps.display_of(top, tables.metadata))
     targeted = targeting.with_targeting(
         gaps.pivot_gaps(shown, params.gaps_per_vendor),
@@ -85,7 +83,7 @@ def sku_gap_platforms(
     return result.select(platform_of(F.col(ENTITY)).alias("platform"), *result.columns)
 
 
-def _activity(src: Sources, params: GapParams, cells: DataFrame) -> DataFrame:
+def _activity(src: Sources, params: GapParams, faces: DataFrame) -> DataFrame:
     period = params.period
     rates = sources.active_window_rates(
         src, period.active_from, period.active_to, params.entities
@@ -93,33 +91,32 @@ def _activity(src: Sources, params: GapParams, cells: DataFrame) -> DataFrame:
     items = sources.order_items(
         src, period.orders_from, period.orders_to, params.entities, params.order_vertical_exclude
     )
-    if fits_broadcast(cells):
+    if fits_broadcast(faces):
         # Drop the facts of other vendors as they are read, before anything is summed or shuffled.
-        known = F.broadcast(cells)
+        known = F.broadcast(faces.select(*VENDOR))
         return assortment.sku_activity(
             assortment.of_vendors(rates, known), assortment.of_vendors(items, known)
         )
-    return assortment.of_vendors(assortment.sku_activity(rates, items), cells)
+    return assortment.of_vendors(assortment.sku_activity(rates, items), faces)
 
 
-def _top_products(params, activity, groups, cells, totals, tables: Lookups) -> DataFrame:
+def _top_products(params, activity, groups, faces, tables: Lookups) -> DataFrame:
     sales = demand.vendor_group_sales(activity, tables.lookup)
-    metrics = demand.cell_metrics(sales, vendors.vendor_presence(cells), totals)
+    metrics = demand.cell_metrics(sales, vendors.vendor_presence(faces))
     passed = demand.quality_gate(metrics, params.min_avg_revenue, params.min_avg_qty)
     if params.min_chains == 2:
-        spans = demand.chain_spans(groups, cells)
+        spans = demand.chain_spans(groups, faces)
         candidates = demand.in_two_chains(passed, tables.bridge, spans)
     else:
-        catalog = groups.join(cells, VENDOR)
+        catalog = groups.join(vendors.vendor_cells(faces), VENDOR)
         counted = demand.chain_counts(passed, tables.bridge, catalog)
         candidates = demand.chain_gate(counted, params.min_chains).drop("num_chains")
     return demand.rank_top(candidates, params.top_products)
 
 
-def _ranked_gaps(params, top, held, present, totals) -> DataFrame:
+def _ranked_gaps(params, top, held, groups, faces) -> DataFrame:
     spread = held.groupBy(*demand.GROUP).agg(F.count_distinct("chain_id").alias("num_chains"))
-    pairs = gaps.top_to_vendors(top.join(spread, demand.GROUP), present)
+    shops = assortment.of_vendors(vendors.vendor_shops(faces), groups)
+    pairs = gaps.top_to_vendors(top.join(spread, demand.GROUP), shops)
     missing = gaps.drop_carried(pairs, held)
-    return gaps.rank_gaps(
-        gaps.with_vendor_context(missing, totals), params.gaps_per_vendor
-    )
+    return gaps.rank_gaps(gaps.priced(missing), params.gaps_per_vendor)

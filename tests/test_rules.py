@@ -221,7 +221,7 @@ def test_vendor_under_two_chains_counts_sessions_twice(spark):
     activity = assortment.sku_activity(rates, items)
     by_weight = demand.cell_metrics(
         demand.vendor_group_sales(activity, lookup),
-        vendors.vendor_presence(vendors.vendor_cells(dims)), vendors.vendor_totals(dims),
+        vendors.vendor_presence(vendors.vendor_faces(dims)),
     )
     for metrics in (by_rows, by_weight):
         m = metrics.collect()
