@@ -116,7 +116,9 @@ def _top_products(params, activity, groups, faces, tables: Lookups) -> DataFrame
 
 def _ranked_gaps(params, top, held, groups, faces) -> DataFrame:
     spread = held.groupBy(*demand.GROUP).agg(F.count_distinct("chain_id").alias("num_chains"))
-    shops = assortment.of_vendors(vendors.vendor_shops(faces), groups)
+    # The distinct shrinks the groups to one row per vendor before they are shuffled.
+    stocked = groups.select(*VENDOR).distinct()
+    shops = assortment.of_vendors(vendors.vendor_shops(faces), stocked)
     pairs = gaps.top_to_vendors(top.join(spread, demand.GROUP), shops)
     missing = gaps.drop_carried(pairs, held)
     return gaps.rank_gaps(gaps.priced(missing), params.gaps_per_vendor)

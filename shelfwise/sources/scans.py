@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from shelfwise.columns import ENTITY, SKU, VENDOR_DIMS
 from shelfwise.functions import (
-    between, by_entities, exclude_vertical, field, in_month, require, successful,
+    between, by_entities, exclude_vertical, in_month, require, successful,
 )
-from shelfwise.operators.nested import unnest_catalog, unnest_order_items
+from shelfwise.operators.nested import order_lines, unnest_catalog
 from shelfwise.sources.tables import Sources
 
 _ALIAS = [ENTITY, "catalog_master_product_id", "alias_product_id"]
@@ -54,14 +54,7 @@ def order_items(
 ) -> DataFrame:
     """Items of successful orders inside a window."""
     rows = between(by_entities(src.orders, entities), "order_created_date_lt", start, end)
-    rows = exclude_vertical(successful(rows), vertical_exclude)
-    return unnest_order_items(rows).select(
-        ENTITY,
-        "platform_vendor_id",
-        field("item.platform_product_id").alias("platform_product_id"),
-        field("item.quantity_sold").alias("quantity_sold"),
-        field("item.value_euro.total_amt_paid_eur").alias("total_amt_paid_eur"),
-    )
+    return order_lines(exclude_vertical(successful(rows), vertical_exclude))
 
 
 def vendor_users(src: Sources) -> DataFrame:
