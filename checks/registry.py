@@ -10,14 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.standin import END, PARAMS, PERIOD, REPORT_MONTH, START, StandIn, standin
-from shelfwise import GapParams, sku_gap, sku_gap_platforms, sources, write_result
+from shelfwise import GapParams, sku_gap, sku_gap_platforms, sources
 from shelfwise import functions as fn
 from shelfwise.columns import BRIDGE, CELL, ENTITY, LOOKUP, METADATA, SKU, VENDOR, VENDOR_DIMS
 from shelfwise.config import previous_month
 from shelfwise.operators import (
     alias, assortment, demand, gaps, nested, reports, targeting, vendors,
 )
-from shelfwise.session import stage_root
 
 
 class Steps:
@@ -196,12 +195,6 @@ def _lookup_refresh(s: StandIn) -> DataFrame:
     return reduce(DataFrame.union, parts)
 
 
-def _write_gap_result(s: StandIn) -> DataFrame:
-    path = f"{stage_root(s.spark)}/gap-result-{s.root.rsplit('-', 1)[-1]}"
-    write_result(sku_gap(s, PARAMS, s.lookups, ordered=False), path)
-    return s.spark.read.parquet(path)
-
-
 def _qualify(x: Steps) -> DataFrame:
     best = Window.partitionBy(*CELL).orderBy(
         F.col("gmv_eur").desc_nulls_last(), "platform_vendor_id"
@@ -251,7 +244,7 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
     "build_product_alias_lookup": lambda s, x: s.lookups.lookup,
     "build_demand_supply_bridge": lambda s, x: s.lookups.bridge,
     "build_product_metadata": lambda s, x: s.lookups.metadata,
-    "write_gap_result": lambda s, x: _write_gap_result(s),
+    "write_gap_result": lambda s, x: s.gap_result,
     "filter_entity_in": lambda s, x: _all_months(
         fn.by_entities(s.vendor_month, ["GV_ES", "GV_IT"])
     ),
@@ -389,20 +382,16 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
     "gap_v2": lambda s, x: sku_gap(
         s, GapParams.preset("gv", PERIOD, order_vertical_exclude="darkstores")
     ),
-    "report_opportunity_by_entity": lambda s, x: reports.opportunity_by_entity(_gaps(s)),
-    "report_opportunity_by_platform": lambda s, x: reports.opportunity_by_platform(_gaps(s)),
-    "report_opportunity_share": lambda s, x: reports.opportunity_share(_gaps(s), x.month),
+    "report_opportunity_by_entity": lambda s, x: reports.opportunity_by_entity(s.gap_result),
+    "report_opportunity_by_platform": lambda s, x: reports.opportunity_by_platform(s.gap_result),
+    "report_opportunity_share": lambda s, x: reports.opportunity_share(s.gap_result, x.month),
     "report_gmv_by_partner_type": lambda s, x: reports.gmv_by_partner_type(x.month),
     "report_min_sku_compliance": lambda s, x: x.compliance,
     "report_compliance_extremes": lambda s, x: reports.compliance_extremes(x.compliance),
-    "email_payload": lambda s, x: reports.email_payload(_gaps(s)),
+    "email_payload": lambda s, x: reports.email_payload(s.gap_result),
 }
 
 
-def _gaps(s: StandIn) -> DataFrame:
-    return sku_gap(s, PARAMS, s.lookups, ordered=False)
-
-
 def _all_months(rows: DataFrame) -> DataFrame:
     """Vendor rows with the columns of a vendor scan."""
     return rows.select(*VENDOR_DIMS, "vertical", "is_online")

@@ -13,7 +13,9 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise import GapParams, Lookups, Period, configure, refresh_lookups
+from shelfwise import (
+    GapParams, Lookups, Period, configure, refresh_lookups, sku_gap, write_result,
+)
 from shelfwise.operators import assortment
 from shelfwise.session import stage_root
 
@@ -225,6 +227,14 @@ class StandIn:
         return refresh_lookups(self.spark, self, f"{self.root}/lookups")
 
 
+    @cached_property
+    def gap_result(self) -> DataFrame:
+        """The stored result of the gap job over all markets, which the reports read."""
+        path = f"{self.root}/gap_result"
+        write_result(sku_gap(self, PARAMS, self.lookups, ordered=False), path)
+        return self.spark.read.parquet(path)
+
+
 _OPEN: dict[tuple[str, str], StandIn] = {}
 
 
