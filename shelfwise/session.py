@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,12 +36,16 @@ def configure(spark: SparkSession) -> SparkSession:
 def stage_root(spark: SparkSession) -> str:
     """Shared folder for stage tables: ``spark.checkpoint.dir`` where the cluster names one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="shelfwise-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return shared
+    if shared:
+        return shared
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return _local_root()
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="shelfwise-")
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> bool:

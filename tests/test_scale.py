@@ -179,9 +179,36 @@ def test_hot_vendor_and_hot_product_in_the_whole_job(spark):
         assert [r[f"gap{n}_market_rank"] for n in (1, 2, 3)] == [2, 2, 2]
 
 
+def test_stored_lookups_are_pruned_by_market(spark, src, tmp_path):
+    from shelfwise import Lookups, refresh_lookups
+
+    stored = refresh_lookups(spark, src, str(tmp_path))
+    built = build_lookups(src)
+    for name in ("lookup", "bridge", "metadata"):
+        ours, fresh = getattr(stored, name), getattr(built, name)
+        assert ours.columns == fresh.columns
+        assert sorted(map(str, ours.collect())) == sorted(map(str, fresh.collect()))
+    one = Lookups.from_folder(spark, str(tmp_path)).only(["PY_AR"])
+    assert "PartitionFilters: [isnotnull(global_entity_id" in plan(one.bridge)
+    refresh_lookups(spark, src, str(tmp_path))  # replaces what is there
+    assert Lookups.from_folder(spark, str(tmp_path)).lookup.count() == built.lookup.count()
+
+
 def test_stage_tables_go_to_the_shared_folder(spark, tmp_path):
     from shelfwise.session import stage_root, table_stage
 
-    assert stage_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    class Session:
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default: "hdfs:///shared")
+
+    assert stage_root(Session) == "hdfs:///shared"
+    Session.conf.get = staticmethod(lambda key, default: default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        stage_root(Session)
+    Session.sparkContext.master = "local[8]"
+    assert stage_root(Session) == stage_root(Session)
     staged = table_stage(spark, str(tmp_path))("numbers", spark.range(5))
     assert staged.count() == 5 and list(tmp_path.glob("run-*/numbers/*.parquet"))
