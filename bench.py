@@ -21,12 +21,12 @@ from checks.standin import standin  # noqa: E402
 from shelfwise import refresh_lookups  # noqa: E402
 from shelfwise.sources import INPUTS  # noqa: E402
 
+# From single steps to whole jobs, so the longest run on a warm JVM.
 HEADLINE = (
-    "gap_all", "gap_v1", "gap_v2", "gap_platform_preset", "agg_active_skus",
-    "distinct_vendor_catalog", "agg_vendor_product_sales", "agg_market_metrics",
-    "having_private_label", "rank_top10", "antijoin_gap", "pivot_top3",
-    "report_opportunity_by_platform", "report_gmv_by_partner_type", "report_min_sku_compliance",
-    "email_payload",
+    "agg_active_skus", "distinct_vendor_catalog", "agg_vendor_product_sales",
+    "agg_market_metrics", "having_private_label", "rank_top10", "antijoin_gap", "pivot_top3",
+    "report_gmv_by_partner_type", "report_min_sku_compliance", "report_opportunity_by_platform",
+    "email_payload", "gap_v1", "gap_v2", "gap_platform_preset", "gap_all",
 )
 
 
