@@ -10,6 +10,7 @@ from functools import cache
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word, in Java's and in Python's syntax. ``bytes.split()`` splits at the same six characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -58,10 +59,8 @@ def map_rows(
 
     ``fn`` gets one Python list per column of ``read`` and returns one per column of ``out``.
     """
-    added = DataFrame.schema.fget(df.sparkSession.createDataFrame([], out))
-    schema = df.select(*keep).schema
-    for field in added:
-        schema = schema.add(field)
+    added = T.StructType.fromDDL(out)
+    schema = T.StructType([*df.select(*keep).schema, *added])
     n = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
