@@ -8,6 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm.bpe import bpe_digests
+from shelfwise.llm.common import Stages
+from shelfwise.llm.html import extract_pages
+from shelfwise.llm.langid import identify
+from shelfwise.llm.mixing import mix
+from shelfwise.llm.quality import quality
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -16,12 +21,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), Stages(spark))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), Stages(spark))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_byte_bpe,)}
+    built = (op4_language_id, op7_quality_rules, op8_html_extraction, op9_mixing, op10_byte_bpe)
+    return {f.__name__: f for f in built}
 
 
 def oracle_sql() -> dict[str, str]:
