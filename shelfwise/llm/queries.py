@@ -11,6 +11,7 @@ from shelfwise.llm.bpe import bpe_digests
 from shelfwise.llm.common import Stages
 from shelfwise.llm.html import extract_pages
 from shelfwise.llm.langid import identify
+from shelfwise.llm.minhash import near_duplicates
 from shelfwise.llm.mixing import mix
 from shelfwise.llm.quality import quality
 
@@ -21,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(
+        table(spark, sf_dir, "documents"), Stages(spark), words=3, numerator=85, denominator=100
+    )
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -42,7 +49,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    built = (op4_language_id, op7_quality_rules, op8_html_extraction, op9_mixing, op10_byte_bpe)
+    built = (
+        op2_minhash_near_dedup, op4_language_id, op7_quality_rules, op8_html_extraction, op9_mixing,
+        op10_byte_bpe,
+    )
     return {f.__name__: f for f in built}
 
 
