@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm.bpe import bpe_digests
+from shelfwise.llm.bwt import remove_repeated_bytes
 from shelfwise.llm.common import Stages
+from shelfwise.llm.doubling import remove_repeated_words
 from shelfwise.llm.html import extract_pages
 from shelfwise.llm.langid import identify
 from shelfwise.llm.minhash import near_duplicates
@@ -22,12 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_words(table(spark, sf_dir, "documents"), Stages(spark), window=35)
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(
         table(spark, sf_dir, "documents"), Stages(spark), words=3, numerator=85, denominator=100
     )
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"), Stages(spark), window=200)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -50,6 +60,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     built = (
+        op1_substring_dedup,
+        op3_suffix_array_dedup,
         op2_minhash_near_dedup, op4_language_id, op7_quality_rules, op8_html_extraction, op9_mixing,
         op10_byte_bpe,
     )
