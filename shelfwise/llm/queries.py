@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfwise.llm.bpe import bpe_digests
 from shelfwise.llm.bwt import remove_repeated_bytes
 from shelfwise.llm.common import Stages
+from shelfwise.llm.covertree import near_vectors
 from shelfwise.llm.doubling import remove_repeated_words
 from shelfwise.llm.html import extract_pages
 from shelfwise.llm.langid import identify
@@ -42,6 +43,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), Stages(spark), cosine=0.9)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), Stages(spark))
 
@@ -62,7 +67,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     built = (
         op1_substring_dedup,
         op3_suffix_array_dedup,
-        op2_minhash_near_dedup, op4_language_id, op7_quality_rules, op8_html_extraction, op9_mixing,
+        op2_minhash_near_dedup, op4_language_id,
+        op6_embedding_near_dedup, op7_quality_rules, op8_html_extraction, op9_mixing,
         op10_byte_bpe,
     )
     return {f.__name__: f for f in built}
