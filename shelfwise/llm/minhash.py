@@ -129,7 +129,7 @@ def matching_pairs(classes: DataFrame, stages: Stages, threshold: float) -> Data
                     same = marks[i] == marks[j]
                     n = same.sum(1)
                     close = np.flatnonzero((n >= least) & (ids[i] != ids[j]))
-                    runs = same[close, : COORDINATES // run * run].reshape(len(close), -1, run)
+                    runs = same[close, : COORDINATES // run * run].reshape(len(close), COORDINATES // run, run)
                     close = close[runs.all(2).argmax(1) == at[i[close]]]
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.minimum(ids[i], ids[j])[close]),
