@@ -14,6 +14,7 @@ from shelfwise.llm.covertree import near_vectors
 from shelfwise.llm.doubling import remove_repeated_words
 from shelfwise.llm.html import extract_pages
 from shelfwise.llm.langid import identify
+from shelfwise.llm.lines import line_report
 from shelfwise.llm.minhash import near_duplicates
 from shelfwise.llm.mixing import mix
 from shelfwise.llm.quality import quality
@@ -43,6 +44,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"), Stages(spark))
+
+
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), Stages(spark), cosine=0.9)
 
@@ -67,7 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     built = (
         op1_substring_dedup,
         op3_suffix_array_dedup,
-        op2_minhash_near_dedup, op4_language_id,
+        op2_minhash_near_dedup, op4_language_id, op5_line_dedup,
         op6_embedding_near_dedup, op7_quality_rules, op8_html_extraction, op9_mixing,
         op10_byte_bpe,
     )
