@@ -39,9 +39,11 @@ class Stages:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex[:12]}"
+        self.made = 0
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{name}"
+        self.made += 1
+        path = f"{self.root}/{self.made:03d}-{name}"
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -61,7 +63,9 @@ def map_rows(
     """
     added = T.StructType.fromDDL(out)
     schema = T.StructType([*df.select(*keep).schema, *added])
-    n = len(keep)
+    n, mark = len(keep), "_read"
+    while any(c.startswith(mark) for c in keep):
+        mark = "_" + mark
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -76,6 +80,5 @@ def map_rows(
                     [part.column(i) for i in range(n)] + arrays, names=[f.name for f in schema]
                 )
 
-    return df.select(*keep, *(F.col(c).alias(f"_read_{i}") for i, c in enumerate(read))).mapInArrow(
-        run, schema
-    )
+    taken = [F.col(c).alias(f"{mark}_{i}") for i, c in enumerate(read)]
+    return df.select(*keep, *taken).mapInArrow(run, schema)

@@ -15,6 +15,8 @@ MOST = 3
 FITTED = 65_536
 #: Parts by seeded order that the documents of one source and size are ranked in.
 PARTS = 4_096
+#: Documents of each size that are kept for the exact fit.
+SPARE = 4
 
 
 def size_of(text: Column) -> Column:
@@ -43,8 +45,8 @@ def target_sizes(sizes: list[int], weights: list[float]) -> list[float]:
 def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each size to take so that the words come as near ``budget`` as found.
 
-    Every size first gives its even share, rounded down, so the mix keeps the source's lengths. Of
-    what remains, the part above FITTED is filled from the largest size down. The rest is a bounded
+    Every size first gives its even share but for a few documents, so the mix keeps the source's
+    lengths. Of what remains, the part above FITTED is filled from the largest size down. The rest is a bounded
     knapsack over the documents not yet taken; its table has FITTED entries at most.
     """
     order = np.argsort(-sizes)
@@ -52,7 +54,8 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
     words = int((sizes * counts).sum())
     taken = np.zeros(len(sizes), np.int64)
     if words and budget > 0:
-        taken = np.array([int(c) * budget // words for c in counts], np.int64)
+        shares = np.array([int(c) * budget // words for c in counts], np.int64)
+        taken = np.maximum(shares - SPARE, 0)
         taken[sizes == 0] = 0
         left = budget - int((sizes * taken).sum())
         for i, (size, free) in enumerate(zip(sizes.tolist(), (counts - taken).tolist())):
