@@ -21,6 +21,7 @@ def session(cpus: str = "8", partitions: str = "8") -> SparkSession:
         .appName("shelfwise-checks")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         # Spares a stack inspection for every column expression built.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
@@ -42,9 +43,17 @@ def normal(rows) -> list[tuple]:
     return sorted((tuple(r) for r in rows), key=repr)
 
 
-def difference(df, con, sql: str) -> str | None:
+#: Queries whose row order is part of the result, with the columns that order it.
+ORDERED = {"order_result": ("global_entity_id", "vertical_segment", "city", "platform_vendor_id")}
+
+
+def difference(df, con, sql: str, order: tuple[str, ...] = ()) -> str | None:
     columns = sorted(df.columns)
-    ours = normal(df.select(*columns).collect())
+    found = df.select(*columns).collect()
+    keys = [tuple((r[c] is not None, r[c]) for c in order) for r in found]
+    if keys != sorted(keys):
+        return f"not in the order of {order}"
+    ours = normal(found)
     relation = con.execute(sql)
     names = [d[0] for d in relation.description]
     if sorted(names) != columns:
@@ -73,7 +82,7 @@ def main(argv: list[str]) -> int:
         start = time.time()
         try:
             df = built[name](spark, sf_dir)
-            problem = difference(df, con, sql[name])
+            problem = difference(df, con, sql[name], ORDERED.get(name, ()))
             rows = "ok" if problem is None else problem
         except Exception as error:  # noqa: BLE001
             problem = rows = f"{type(error).__name__}: {str(error)[:600]}"

@@ -9,13 +9,19 @@ from __future__ import annotations
 import re
 
 from shelfwise.columns import SLOT_ATTRIBUTES
-from shelfwise.config import PLATFORMS
 
-MARKET = "CASE WHEN {k} % 2 = 0 THEN 'GV_ES' ELSE 'PY_AR' END"
-BOTH = "(VALUES ('GV_ES'), ('PY_AR')) AS markets(ge)"
+MARKET = (
+    "CASE {k} % 24 WHEN 4 THEN 'TB_AE' WHEN 7 THEN 'HS_SA' WHEN 10 THEN 'FP_PK' "
+    "WHEN 13 THEN 'EF_GR' ELSE CASE WHEN {k} % 2 = 0 THEN 'GV_ES' ELSE 'PY_AR' END END"
+)
+ALL = (
+    "(VALUES ('GV_ES'), ('PY_AR'), ('TB_AE'), ('HS_SA'), ('FP_PK'), ('EF_GR')) AS markets(ge)"
+)
 IN_WINDOW = "BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'"
-R2 = "round(CAST({x} AS DECIMAL(38,6)), 2)::DOUBLE"
-EUR = "(sum(floor(({x}) * 10000 + 0.5)::BIGINT)::BIGINT::DOUBLE / 10000)"
+# Through text, a number keeps the digits it is shown with, however it is stored.
+R2 = "round(({x})::DOUBLE::VARCHAR::DECIMAL(38,15), 2)::DOUBLE"
+EXACT = "({x})::VARCHAR::DECIMAL(38,15)"
+EUR = "(sum({x}))::VARCHAR::DOUBLE"
 
 
 def market(key: str) -> str:
@@ -26,8 +32,12 @@ def r2(x: str) -> str:
     return R2.format(x=x)
 
 
+def exact(x: str) -> str:
+    return EXACT.format(x=x)
+
+
 def eur(x: str) -> str:
-    return EUR.format(x=x)
+    return EUR.format(x=exact(x))
 
 
 def ratio(num: str, den: str) -> str:
@@ -35,11 +45,10 @@ def ratio(num: str, den: str) -> str:
 
 
 def _platform(column: str) -> str:
-    cases = " ".join(
-        f"WHEN {column} IN ({', '.join(repr(m) for m in markets)}) THEN '{name}'"
-        for name, markets in PLATFORMS.items()
+    return (
+        f"CASE {column} WHEN 'PY_AR' THEN 'py' WHEN 'TB_AE' THEN 'tb' WHEN 'HS_SA' THEN 'hs' "
+        "WHEN 'GV_ES' THEN 'gv' WHEN 'FP_PK' THEN 'pd' WHEN 'EF_GR' THEN 'ef' END"
     )
-    return f"CASE {cases} END"
 
 
 BLOCKS = {
@@ -63,19 +72,20 @@ BLOCKS = {
     "t_month": "SELECT * FROM t_vendor WHERE month = DATE '1999-12-01'",
     "t_listing": f"""
         SELECT ge, p_partkey - p_partkey % 2 AS m, p_partkey AS p,
-               DATE '1995-01-01' + p_size AS created FROM part, {BOTH}
+               788918400 + p_size * 86400 + p_partkey AS created FROM part, {ALL}
         UNION ALL
-        SELECT ge, p_partkey - p_partkey % 2, NULL, DATE '1995-01-01' + p_size FROM part, {BOTH}
+        SELECT ge, p_partkey - p_partkey % 2, NULL, 788918400 + p_size * 86400 + p_partkey
+        FROM part, {ALL}
         UNION ALL
         SELECT ge, p_partkey - p_partkey % 2 + 2, p_partkey,
-               if(p_partkey % 3 = 0, NULL, DATE '1990-01-01') FROM part, {BOTH}""",
+               if(p_partkey % 3 = 0, NULL, 631152000) FROM part, {ALL}""",
     "t_demand": f"""
         SELECT ge, p_partkey AS m, min(p_partkey) OVER (PARTITION BY ge, p_name, p_brand, p_type)
                AS a, p_name, p_brand, p_type
-        FROM part, {BOTH} WHERE p_partkey % 2 = 0""",
+        FROM part, {ALL} WHERE p_partkey % 2 = 0 AND p_partkey % 22 <> 4""",
     "t_supply": f"""
         SELECT ge, p_partkey AS m, min(p_partkey) OVER (PARTITION BY ge, p_name, p_brand) AS a
-        FROM part, {BOTH} WHERE p_partkey % 2 = 0""",
+        FROM part, {ALL} WHERE p_partkey % 2 = 0 AND p_partkey % 26 <> 6""",
     "t_rate": f"""
         SELECT {market('l_suppkey')} AS ge, l_suppkey AS v, l_partkey AS p,
                l_shipdate::DATE AS day, if(l_returnflag = 'R', 1 - l_discount, 0.0) AS rate
@@ -107,10 +117,14 @@ BLOCKS = {
                if(c_custkey % 2 = 0, 'owner', 'staff') AS cd_role, c_custkey % 5 = 0 AS multi
         FROM customer""",
     "t_threshold": """
-        SELECT ge, 'grocery' AS seg, max(n) AS bar FROM t_skus GROUP BY ge""",
+        SELECT ge, 'grocery' AS seg, (max(n) + 0.75)::DOUBLE AS bar FROM (
+            SELECT ge, v, count(*) AS n FROM (
+                SELECT ge, v, p FROM t_rate
+                WHERE day BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'
+                GROUP BY ge, v, p HAVING sum(rate) > 0) GROUP BY ge, v) GROUP BY ge""",
     # ---- alias tables -------------------------------------------------------------------------
     "t_owner": """
-        SELECT ge, p, arg_min(m, (coalesce(DATE '2999-01-01' - created, 9999999), m)) AS m
+        SELECT ge, p, arg_min(m, (coalesce(-created, 9999999999), m)) AS m
         FROM t_listing WHERE m IS NOT NULL AND p IS NOT NULL GROUP BY ge, p""",
     "t_lookup": """
         SELECT o.ge, o.p, d.a AS d, s.a AS s FROM t_owner AS o
@@ -152,7 +166,7 @@ BLOCKS = {
     "t_item": f"SELECT * FROM t_order_item WHERE ok AND day {IN_WINDOW}",
     "t_sale": f"""
         SELECT ge, v, chain, seg, city, a, sum(qty)::BIGINT AS qty,
-               {eur('coalesce(paid, 0)')} AS rev
+               sum({exact('coalesce(paid, 0)')}) AS rev
         FROM t_item JOIN t_product USING (ge, v, p) GROUP BY ALL""",
     "t_metric": f"""
         SELECT ge, seg, city, a, sum(qty)::BIGINT AS qty, {eur('rev')} AS rev,
@@ -276,7 +290,7 @@ _PRODUCT = (
 )
 _SALE = (
     f"{_GE}, {_V}, chain AS chain_id, seg AS vertical_segment, city, a AS alias_product_id, "
-    "qty AS quantity_sold, rev AS revenue_eur"
+    "qty AS quantity_sold, rev::VARCHAR::DOUBLE AS revenue_eur"
 )
 _NODE = "SELECT uuid, user_gone AS is_deleted, vendor AS vendor_code, ge AS global_entity_id, "
 _NODE += "node_gone AS node_is_deleted FROM t_node"
@@ -301,7 +315,7 @@ STATEMENTS = {
     "scan_alias_demand": _ALIAS + "t_demand",
     "scan_alias_supply": _ALIAS + "t_supply",
     "scan_catalog": f"""SELECT {_GE}, m AS catalog_master_product_id, p AS platform_product_id,
-        created AS created_date FROM t_listing WHERE p IS NOT NULL""",
+        created AS created_second FROM t_listing WHERE p IS NOT NULL""",
     "scan_vendor_month": _VENDOR_ROW + "t_month",
     "scan_buyable_rate": f"""SELECT {_SKU}, rate AS daily_buyable_rate_eligible_ref
         FROM t_rate WHERE day {IN_WINDOW}""",
@@ -357,7 +371,7 @@ STATEMENTS = {
     "join_catalog_alias_inner": f"""SELECT {_GE}, p AS platform_product_id, a AS alias_product_id
         FROM t_owner JOIN t_demand USING (ge, m)""",
     "join_bridge": f"""SELECT {_GE}, m AS catalog_master_product_id, d.a AS demand_alias_id,
-        s.a AS supply_alias_id FROM t_demand AS d FULL JOIN t_supply AS s USING (ge, m)""",
+        s.a AS supply_alias_id FROM t_demand AS d JOIN t_supply AS s USING (ge, m)""",
     "join_vendor_catalog": _CATALOG,
     "join_vendor_demand_products": _PRODUCT,
     "join_order_items": f"""SELECT {_SKU}, a AS alias_product_id, seg AS vertical_segment, city,
@@ -418,7 +432,7 @@ STATEMENTS = {
     "coalesce_default": f"""SELECT {_GE}, {_V}, month AS report_month,
         coalesce(sessions, 0) AS menu_sessions, coalesce(is_key, false) AS is_key_partner,
         coalesce(chain, 999999) AS chain_id FROM t_vendor""",
-    "round2": f"SELECT {_SKU}, {r2('paid')} AS paid_eur FROM t_order_item WHERE paid IS NOT NULL",
+    "round2": f"SELECT {_SKU}, {r2('paid')} AS paid_eur FROM t_order_item",
     "lower_not_like": f"""SELECT {_GE}, {_V}, month AS report_month,
         lower(vertical) NOT LIKE '%dark%' AS is_shop FROM t_vendor""",
     "case_when": f"""SELECT {_GE}, {_V}, month AS report_month,
@@ -508,4 +522,15 @@ def oracle_sql() -> dict[str, str]:
     # This job leaves out one order vertical, so orders of unknown vertical go too.
     shops = BLOCKS | {"t_item": BLOCKS["t_item"] + " AND vt <> 'darkstores'"}
     done["gap_v2"] = statement(STATEMENTS["gap_v2"], shops)
+    # Three windows: last month's vendors, the last 2,000 days' products, a named month's orders.
+    rolling = BLOCKS | {
+        "t_month": "SELECT * FROM t_vendor WHERE month = DATE '1999-11-01'",
+        "t_active": BLOCKS["t_active"].replace(
+            IN_WINDOW, "BETWEEN DATE '1999-12-15' - 1999 AND DATE '1999-12-15'"
+        ),
+        "t_item": BLOCKS["t_item"].replace(
+            IN_WINDOW, "BETWEEN DATE '1997-05-01' AND DATE '1997-05-31'"
+        ),
+    }
+    done["gap_v1"] = statement(STATEMENTS["gap_v1"], rolling)
     return done

@@ -9,7 +9,9 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from checks.standin import END, PARAMS, PERIOD, REPORT_MONTH, START, StandIn, standin
+from checks.standin import (
+    END, PARAMS, PERIOD, REPORT_MONTH, START, THREE_WINDOWS, StandIn, standin,
+)
 from shelfwise import GapParams, sku_gap, sku_gap_platforms, sources
 from shelfwise import functions as fn
 from shelfwise.columns import BRIDGE, CELL, ENTITY, LOOKUP, METADATA, SKU, VENDOR, VENDOR_DIMS
@@ -37,17 +39,21 @@ class Steps:
     def supply_alias(self):
         return sources.alias_supply(self.s)
 
+    @cached_property
+    def pairs_of_aliases(self):
+        return alias.alias_pairs(self.demand_alias, self.supply_alias)
+
     @cached_property
     def lookup(self):
-        return alias.product_lookup(self.owner, self.demand_alias, self.supply_alias)
+        return self.s.lookups.lookup
 
     @cached_property
     def bridge(self):
-        return alias.demand_supply_bridge(self.demand_alias, self.supply_alias)
+        return self.s.lookups.bridge
 
     @cached_property
     def metadata(self):
-        return alias.product_metadata(self.s.demand_alias)
+        return self.s.lookups.metadata
 
     @cached_property
     def month(self):
@@ -158,6 +164,10 @@ class Steps:
         )
 
 
+def _euros(df: DataFrame) -> DataFrame:
+    return df.withColumn("revenue_eur", fn.in_euros(F.col("revenue_eur")))
+
+
 def _dates(df: DataFrame) -> DataFrame:
     return df.select(*SKU, "date_ref")
 
@@ -232,7 +242,7 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
     "scan_alias_supply": lambda s, x: sources.alias_supply(s),
     "scan_catalog": lambda s, x: sources.catalog_products(s).select(
         ENTITY, "catalog_master_product_id", "platform_product_id",
-        F.to_date("master_product_created_at_utc").alias("created_date"),
+        F.unix_timestamp("master_product_created_at_utc").alias("created_second"),
     ),
     "scan_vendor_month": lambda s, x: x.month,
     "scan_buyable_rate": lambda s, x: sources.active_window_rates(s, START, END),
@@ -291,13 +301,13 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
     "struct_field_access": lambda s, x: nested.unnest_order_items(s.orders).select(
         fn.field("item.value_euro.total_amt_paid_eur")
     ),
-    "join_catalog_alias_left": lambda s, x: x.lookup,
+    "join_catalog_alias_left": lambda s, x: alias.product_lookup(x.owner, x.pairs_of_aliases),
     "join_catalog_alias_inner": lambda s, x: alias.products_in_group(x.owner, x.demand_alias),
-    "join_bridge": lambda s, x: alias.alias_pairs(x.demand_alias, x.supply_alias),
+    "join_bridge": lambda s, x: alias.matched_pairs(x.pairs_of_aliases),
     "join_vendor_catalog": lambda s, x: x.catalog,
     "join_vendor_demand_products": lambda s, x: x.products,
-    "join_order_items": lambda s, x: demand.item_sums(x.items).join(x.products, SKU),
-    "join_sales_sessions": lambda s, x: x.sales_sessions,
+    "join_order_items": lambda s, x: _euros(demand.item_sums(x.items).join(x.products, SKU)),
+    "join_sales_sessions": lambda s, x: _euros(x.sales_sessions),
     "join_candidates_chain": lambda s, x: demand.carriers(x.gated, x.bridge, x.catalog).select(
         *demand.GROUP, "supply_alias_id", "platform_vendor_id", "chain_id"
     ),
@@ -313,19 +323,19 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
     "agg_vendor_sku_count": lambda s, x: x.sku_count,
     "distinct_vendor_catalog": lambda s, x: x.catalog,
     "distinct_vendor_demand_products": lambda s, x: x.products,
-    "distinct_bridge": lambda s, x: x.bridge,
-    "distinct_metadata": lambda s, x: x.metadata,
+    "distinct_bridge": lambda s, x: alias.demand_supply_bridge(x.pairs_of_aliases),
+    "distinct_metadata": lambda s, x: alias.product_metadata(s.demand_alias),
     "distinct_vendors_by_dim": lambda s, x: assortment.vendors_by_cell(x.catalog),
     "distinct_vendor_users": lambda s, x: x.links,
-    "agg_vendor_product_sales": lambda s, x: x.sales,
+    "agg_vendor_product_sales": lambda s, x: _euros(x.sales),
     "agg_market_metrics": lambda s, x: x.metrics,
     # The default limits hardly bite on this data.
     "having_quality_gate": lambda s, x: demand.quality_gate(x.metrics, 60000, 20),
     "agg_chain_count": lambda s, x: x.counted,
-    "having_private_label": lambda s, x: demand.in_two_chains(
+    "having_private_label": lambda s, x: demand.in_chains(
         x.gated, x.bridge,
-        demand.chain_spans(
-            assortment.carried_groups(x.active, x.lookup), vendors.vendor_faces(x.dims)
+        demand.first_chains(
+            assortment.carried_groups(x.active, x.lookup), vendors.vendor_faces(x.dims), 2
         ),
     ),
     "pivot_top3": lambda s, x: x.wide,
@@ -350,7 +360,7 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
         fn.or_default(F.col("is_key_partner"), False).alias("is_key_partner"),
         fn.or_default(F.col("chain_id"), 999999).alias("chain_id"),
     ),
-    "round2": lambda s, x: _ungrouped_items(s).where("total_amt_paid_eur IS NOT NULL").select(
+    "round2": lambda s, x: _ungrouped_items(s).select(
         *SKU, fn.round2(F.col("total_amt_paid_eur")).alias("paid_eur")
     ),
     "lower_not_like": lambda s, x: _vendor_expr(
@@ -376,7 +386,7 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
         *CELL, "platform_vendor_id", "targeted_usecase2"
     ),
     "lookup_refresh": lambda s, x: _lookup_refresh(s),
-    "gap_v1": lambda s, x: sku_gap(s, GapParams.preset("py", PERIOD), s.lookups),
+    "gap_v1": lambda s, x: sku_gap(s, GapParams.preset("py", THREE_WINDOWS), s.lookups),
     "gap_platform_preset": lambda s, x: sku_gap_platforms(s, PERIOD, s.lookups),
     "gap_all": lambda s, x: sku_gap(s, PARAMS, s.lookups),
     "gap_v2": lambda s, x: sku_gap(

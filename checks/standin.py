@@ -1,6 +1,6 @@
 """The nine inputs, derived by Spark from the star-schema test tables.
 
-Rules are those of FIXTURES.md, with two real market codes so that presets select something.
+Rules are those of FIXTURES.md, with a real market code of each preset, so that all six select something.
 Each input is written once per session and then read like any stored table.
 """
 
@@ -20,18 +20,26 @@ from shelfwise.operators import assortment
 from shelfwise.session import stage_root
 
 EVEN_MARKET, ODD_MARKET = "GV_ES", "PY_AR"
+#: One market of each other preset, by vendor key modulo 24.
+SMALL_MARKETS = {4: "TB_AE", 7: "HS_SA", 10: "FP_PK", 13: "EF_GR"}
 REPORT_MONTH = date(1999, 12, 1)
 START, END = date(1996, 1, 1), date(1999, 12, 31)
 PERIOD = Period(REPORT_MONTH, START, END, START, END)
 PARAMS = GapParams(period=PERIOD)
+#: Vendors of November, availability of the last years, orders of one month.
+THREE_WINDOWS = Period.rolling(date(1999, 12, 15), date(1997, 5, 1), days=2000)
 
 
 def market(key: Column) -> Column:
-    return F.when(key % 2 == 0, EVEN_MARKET).otherwise(ODD_MARKET).alias("global_entity_id")
+    name = F.when(key % 2 == 0, EVEN_MARKET).otherwise(ODD_MARKET)
+    for rest, small in SMALL_MARKETS.items():
+        name = F.when(key % 24 == rest, small).otherwise(name)
+    return name.alias("global_entity_id")
 
 
-def both_markets() -> Column:
-    return F.explode(F.array(F.lit(EVEN_MARKET), F.lit(ODD_MARKET))).alias("global_entity_id")
+def all_markets() -> Column:
+    names = (EVEN_MARKET, ODD_MARKET, *SMALL_MARKETS.values())
+    return F.explode(F.array(*map(F.lit, names))).alias("global_entity_id")
 
 
 class StandIn:
@@ -72,14 +80,15 @@ class StandIn:
 
         product = F.struct(p.alias("platform_product_id"))
         unknown = F.struct(F.lit(None).cast("bigint").alias("platform_product_id"))
-        created = F.timestamp_add("DAY", F.col("p_size"), F.lit("1995-01-01").cast("timestamp"))
+        created = F.timestamp_add("SECOND", F.col("p_size") * 86400 + p, F.lit("1995-01-01").cast("timestamp"))
         own = row(master, created, F.array(product, unknown))
         stray = row(master + 2, F.when(p % 3 != 0, listed), F.array(product))
         rows = self.raw("part").select(F.explode(F.array(own, stray)).alias("r"))
-        return self.stored("catalog", rows.select(both_markets(), "r.*"))
+        return self.stored("catalog", rows.select(all_markets(), "r.*"))
 
-    def _alias(self, keys: list[str]) -> DataFrame:
-        masters = self.raw("part").where("p_partkey % 2 = 0")
+    def _alias(self, keys: list[str], unlisted: str) -> DataFrame:
+        """Each table misses some master products, so some have only one alias, and some none."""
+        masters = self.raw("part").where("p_partkey % 2 = 0").where(f"NOT ({unlisted})")
         groups = masters.groupBy(*keys).agg(F.min("p_partkey").alias("alias_product_id"))
         return masters.join(groups, keys).withColumn(
             "catalog_master_product_id", F.col("p_partkey")
@@ -88,8 +97,8 @@ class StandIn:
     @cached_property
     def demand_alias(self) -> DataFrame:
         master = F.col("catalog_master_product_id")
-        rows = self._alias(["p_name", "p_brand", "p_type"]).select(
-            both_markets(),
+        rows = self._alias(["p_name", "p_brand", "p_type"], "p_partkey % 22 = 4").select(
+            all_markets(),
             "catalog_master_product_id",
             "alias_product_id",
             F.concat_ws(" ", "p_name", "p_brand").alias("catalog_master_product_name_alias"),
@@ -102,8 +111,8 @@ class StandIn:
 
     @cached_property
     def supply_alias(self) -> DataFrame:
-        rows = self._alias(["p_name", "p_brand"]).select(
-            both_markets(), "catalog_master_product_id", "alias_product_id"
+        rows = self._alias(["p_name", "p_brand"], "p_partkey % 26 = 6").select(
+            all_markets(), "catalog_master_product_id", "alias_product_id"
         )
         return self.stored("supply_alias", rows)
 
@@ -216,7 +225,7 @@ class StandIn:
         in_window = self.buyable_rate.where(F.col("date_ref").between(F.lit(START), F.lit(END)))
         counts = assortment.vendor_sku_count(assortment.active_skus(in_window))
         return self.stored("sku_threshold", counts.groupBy("global_entity_id").agg(
-            F.max("vendor_active_skus").alias("mature_threshold")
+            (F.max("vendor_active_skus") + 0.75).alias("mature_threshold")
         ).select(
             "global_entity_id", F.lit("grocery").alias("vertical_segment"), "mature_threshold"
         ))

@@ -24,17 +24,29 @@ def or_default(c: Column, default) -> Column:
 
 
 def round2(c: Column) -> Column:
-    """Round half away from zero at two decimals, judged on the decimal value of the double."""
-    return F.round(c.cast("decimal(38,6)"), 2).cast("double")
+    """Round half away from zero at two decimals, once, on the decimal digits of the double."""
+    return F.round(c.cast("decimal(38,15)"), 2).cast("double")
+
+
+#: Euro amounts while they are added: fifteen decimals keep the digits of any double from 10 up.
+MONEY = "decimal(38,15)"
 
 
 def sum_money(c: Column) -> Column:
-    """Sum of euro amounts, counted in whole ten-thousandths.
+    """Sum of euro amounts as a decimal, the same for every task order and partitioning.
 
-    Adding longs makes the total the same for every task order and partitioning, which adding
-    doubles does not, and costs far less per row than decimal arithmetic.
+    Sums of sums stay decimal; ``in_euros`` makes the double that is shown or divided.
     """
-    return F.sum(F.floor(c * 10000 + 0.5)) / F.lit(10000)
+    return F.sum(c.cast(MONEY))
+
+
+def in_euros(c: Column) -> Column:
+    return c.cast("double")
+
+
+def times(amount: Column, factor: Column) -> Column:
+    """A decimal amount by a small whole number, without losing decimals."""
+    return amount.cast("decimal(30,15)") * factor.cast("decimal(7,0)")
 
 
 def lower_not_like(c: Column, fragment: str) -> Column:

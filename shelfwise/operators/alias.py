@@ -34,13 +34,18 @@ def alias_pairs(demand: DataFrame, supply: DataFrame) -> DataFrame:
     )
 
 
-def product_lookup(catalog: DataFrame, demand: DataFrame, supply: DataFrame) -> DataFrame:
+def matched_pairs(pairs: DataFrame) -> DataFrame:
+    """The inner join of the alias tables: master products that both of them list."""
+    return pairs.where("demand_alias_id IS NOT NULL AND supply_alias_id IS NOT NULL")
+
+
+def product_lookup(catalog: DataFrame, pairs: DataFrame) -> DataFrame:
     """Platform product -> demand and supply group; either may be NULL.
 
     The two alias tables meet first, so the large catalog side is joined once, and a master product
     with very many listings is a hot key of one left join that adaptive execution can split.
     """
-    return catalog.join(alias_pairs(demand, supply), MASTER, "left").select(*LOOKUP)
+    return catalog.join(pairs, MASTER, "left").select(*LOOKUP)
 
 
 def products_in_group(catalog: DataFrame, alias: DataFrame) -> DataFrame:
@@ -50,14 +55,9 @@ def products_in_group(catalog: DataFrame, alias: DataFrame) -> DataFrame:
     )
 
 
-def demand_supply_bridge(demand: DataFrame, supply: DataFrame) -> DataFrame:
-    """Distinct demand-supply group pairs that share a master product."""
-    return (
-        _named(demand, "demand_alias_id")
-        .join(_named(supply, "supply_alias_id"), MASTER)
-        .select(*BRIDGE)
-        .distinct()
-    )
+def demand_supply_bridge(pairs: DataFrame) -> DataFrame:
+    """Demand and supply groups that share a master product, each pair once."""
+    return matched_pairs(pairs).select(*BRIDGE).distinct()
 
 
 def product_metadata(demand: DataFrame) -> DataFrame:

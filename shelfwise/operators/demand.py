@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.columns import BRIDGE, CELL, ENTITY, PRODUCT, SKU, VENDOR
-from shelfwise.functions import or_default, safe_divide, sum_money
+from shelfwise.functions import in_euros, or_default, safe_divide, sum_money, times
 from shelfwise.operators.assortment import unique_group_map
 
 GROUP = [*CELL, "alias_product_id"]  # one demand group in one market cell
@@ -81,7 +81,7 @@ def cell_metrics(sales: DataFrame, presence: DataFrame) -> DataFrame:
     return sales.join(presence, VENDOR).groupBy(*GROUP).agg(
         *_metrics(
             F.sum(F.col("quantity_sold") * weight),
-            sum_money(F.col("revenue_eur") * weight),
+            sum_money(times(F.col("revenue_eur"), weight)),
             F.count("platform_vendor_id"),
             F.sum(F.col("menu_sessions") * weight),
         )
@@ -91,7 +91,7 @@ def cell_metrics(sales: DataFrame, presence: DataFrame) -> DataFrame:
 def _metrics(qty: Column, revenue: Column, vendors: Column, sessions: Column) -> list[Column]:
     return [
         qty.alias("total_quantity_sold"),
-        revenue.alias("total_revenue_eur"),
+        in_euros(revenue).alias("total_revenue_eur"),
         vendors.alias("num_vendors_sold"),
         safe_divide(revenue, vendors).alias("flat_avg_revenue_eur"),
         safe_divide(qty, vendors).alias("flat_avg_qty"),
@@ -148,30 +148,38 @@ def chain_gate(counted: DataFrame, min_chains: int = 2) -> DataFrame:
     return counted.where(F.col("num_chains") >= min_chains)
 
 
-def chain_spans(groups: DataFrame, cells: DataFrame) -> DataFrame:
-    """Smallest and largest chain that carries each supply group in each cell."""
-    return (
+def first_chains(groups: DataFrame, cells: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` chains that carry each supply group in each cell.
+
+    Every vendor of a chain offers the same row, so the distinct shrinks them before the shuffle,
+    and the rank filter leaves each input partition ``most`` rows per group. Vendors without a
+    chain do not count.
+    """
+    chains = (
         groups.join(cells.select(*VENDOR, *CELL[1:], "chain_id"), VENDOR)
-        .groupBy(*CELL, "alias_product_id")
-        .agg(F.min("chain_id").alias("_lo"), F.max("chain_id").alias("_hi"))
+        .where("chain_id IS NOT NULL")
+        .select(*CELL, "alias_product_id", "chain_id").distinct()
     )
+    nth = F.row_number().over(Window.partitionBy(*CELL, "alias_product_id").orderBy("chain_id"))
+    return chains.withColumn("_nth", nth).where(F.col("_nth") <= most).drop("_nth")
 
 
-def in_two_chains(products: DataFrame, bridge: DataFrame, spans: DataFrame) -> DataFrame:
-    """Products carried by two chains or more, without listing their chains.
+def in_chains(
+    products: DataFrame, bridge: DataFrame, chains: DataFrame, least: int = 2
+) -> DataFrame:
+    """Products carried by ``least`` chains or more, from ``first_chains`` of as many.
 
-    Two distinct chains exist exactly when the smallest and the largest differ. So each supply
-    group offers one row, and a supply group that merges very many demand groups does not multiply
-    them by its chains.
+    A supply group with that many chains passes by itself, and a smaller one is there in full, so
+    the gate is exact while no group brings more than ``least`` rows to the bridge.
     """
-    rows = spans.withColumnRenamed("alias_product_id", "supply_alias_id")
+    rows = chains.withColumnRenamed("alias_product_id", "supply_alias_id")
     return (
         bridged(products, bridge)
         .join(rows, [*CELL, "supply_alias_id"])
         .groupBy(*GROUP)
-        .agg(*_own_columns(products), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
-        .where("_lo < _hi")
-        .drop("_lo", "_hi")
+        .agg(*_own_columns(products), F.count_distinct("chain_id").alias("_chains"))
+        .where(F.col("_chains") >= least)
+        .drop("_chains")
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.columns import CELL, ENTITY, GAP_KEYS, VENDOR
-from shelfwise.functions import platform_of, round2, safe_divide, sum_money
+from shelfwise.functions import in_euros, platform_of, round2, safe_divide, sum_money
 
 TOTAL = "Total"
 
@@ -29,7 +29,7 @@ def opportunity_by_entity(result: DataFrame, targeted_only: bool = True) -> Data
     return (
         _opportunity(result, targeted_only)
         .groupBy("platform", ENTITY)
-        .agg(sum_money(F.col("_eur")).alias("estimated_revenue_eur"))
+        .agg(in_euros(sum_money(F.col("_eur"))).alias("estimated_revenue_eur"))
         .orderBy("platform", F.col("estimated_revenue_eur").desc(), ENTITY)
     )
 
@@ -40,7 +40,7 @@ def opportunity_by_platform(result: DataFrame, targeted_only: bool = True) -> Da
         _opportunity(result, targeted_only)
         .rollup("platform")
         .agg(
-            sum_money(F.col("_eur")).alias("estimated_revenue_eur"),
+            in_euros(sum_money(F.col("_eur"))).alias("estimated_revenue_eur"),
             F.grouping("platform").alias("_total"),
         )
         .orderBy("_total", "platform")
@@ -65,11 +65,11 @@ def opportunity_share(
 ) -> DataFrame:
     """Total opportunity against the turnover of small vendors and of all vendors."""
     total = vendor_grain(result, targeted_only).agg(
-        F.coalesce(sum_money(F.col("total_weighted_est_rev_eur")), F.lit(0.0)).alias("opp")
+        F.coalesce(in_euros(sum_money(F.col("total_weighted_est_rev_eur"))), F.lit(0.0)).alias("opp")
     )
     gmv = gmv_per_vendor(vendor_rows).agg(
-        sum_money(F.when(~F.col("is_key"), F.col("gmv_eur"))).alias("nkp"),
-        sum_money(F.col("gmv_eur")).alias("everyone"),
+        in_euros(sum_money(F.when(~F.col("is_key"), F.col("gmv_eur")))).alias("nkp"),
+        in_euros(sum_money(F.col("gmv_eur"))).alias("everyone"),
     )
     # One row each: both sides are ungrouped aggregates.
     both = total.withColumn("_one", F.lit(1)).join(gmv.withColumn("_one", F.lit(1)), "_one")
@@ -91,9 +91,9 @@ def gmv_by_partner_type(vendor_rows: DataFrame) -> DataFrame:
         .withColumn("platform", platform_of(F.col(ENTITY)))
         .rollup("platform")
         .agg(
-            sum_money(F.when(key, 0.0).otherwise(eur)).alias("nkp_gmv_eur"),
-            sum_money(F.when(key, eur).otherwise(0.0)).alias("key_partner_gmv_eur"),
-            sum_money(eur).alias("total_gmv_eur"),
+            in_euros(sum_money(F.when(key, 0.0).otherwise(eur))).alias("nkp_gmv_eur"),
+            in_euros(sum_money(F.when(key, eur).otherwise(0.0))).alias("key_partner_gmv_eur"),
+            in_euros(sum_money(eur)).alias("total_gmv_eur"),
             F.grouping("platform").alias("_total"),
         )
         .orderBy("_total", "platform")

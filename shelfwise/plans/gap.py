@@ -13,13 +13,13 @@ from shelfwise.config import PLATFORMS, GapParams, Period
 from shelfwise.functions import platform_of
 from shelfwise.operators import assortment, demand, gaps, targeting, vendors
 from shelfwise.plans.refresh import build_lookups
-from shelfwise.session import Stage, configure, fits_broadcast, table_stage
+from shelfwise.session import Stage, configure, table_stage
 from shelfwise.sources import Lookups, Sources
 
 
 def inline_lookups(src: Sources, entities, stage: Stage) -> Lookups:
     """The alias tables' relations for one run, without stored lookup tables."""
-    built = build_lookups(src, entities)
+    built = build_lookups(src, entities, stage)
     return Lookups(
         stage("lookup", built.lookup), stage("bridge", built.bridge), built.metadata
     )
@@ -91,26 +91,20 @@ def _activity(src: Sources, params: GapParams, faces: DataFrame) -> DataFrame:
     items = sources.order_items(
         src, period.orders_from, period.orders_to, params.entities, params.order_vertical_exclude
     )
-    if fits_broadcast(faces):
-        # Drop the facts of other vendors as they are read, before anything is summed or shuffled.
-        known = F.broadcast(faces.select(*VENDOR))
-        return assortment.sku_activity(
-            assortment.of_vendors(rates, known), assortment.of_vendors(items, known)
-        )
-    return assortment.of_vendors(assortment.sku_activity(rates, items), faces)
+    # Facts of other vendors go as they are read. Spark sends the vendor keys to every executor if
+    # their stored size allows; else both sides are dealt by vendor, which the sums then reuse.
+    known = faces.select(*VENDOR).distinct()
+    return assortment.sku_activity(
+        assortment.of_vendors(rates, known), assortment.of_vendors(items, known)
+    )
 
 
 def _top_products(params, activity, groups, faces, tables: Lookups) -> DataFrame:
     sales = demand.vendor_group_sales(activity, tables.lookup)
     metrics = demand.cell_metrics(sales, vendors.vendor_presence(faces))
     passed = demand.quality_gate(metrics, params.min_avg_revenue, params.min_avg_qty)
-    if params.min_chains == 2:
-        spans = demand.chain_spans(groups, faces)
-        candidates = demand.in_two_chains(passed, tables.bridge, spans)
-    else:
-        catalog = groups.join(vendors.vendor_cells(faces), VENDOR)
-        counted = demand.chain_counts(passed, tables.bridge, catalog)
-        candidates = demand.chain_gate(counted, params.min_chains).drop("num_chains")
+    chains = demand.first_chains(groups, faces, params.min_chains)
+    candidates = demand.in_chains(passed, tables.bridge, chains, params.min_chains)
     return demand.rank_top(candidates, params.top_products)
 
 

@@ -22,12 +22,12 @@ _SETTINGS = {
     # Hash instead of sort where every partition of the build side was measured to be small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings the jobs rely on. Memory and partition counts stay yours."""
+    """Apply the runtime SQL settings the jobs rely on. Memory and partition counts stay yours, as
+    does the time zone: dates are compared as dates only."""
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -38,7 +38,8 @@ def stage_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return _local_root()
 
@@ -48,11 +49,6 @@ def _local_root() -> str:
     return tempfile.mkdtemp(prefix="shelfwise-")
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> bool:
-    """Whether a narrow relation is small enough to send to every executor, by counting it."""
-    return df.count() <= max_rows
-
-
 def lazy(_name: str, df: DataFrame) -> DataFrame:
     """A stage that stays part of one lazy plan."""
     return df

@@ -68,6 +68,4 @@ def comms_attributes(src: Sources) -> DataFrame:
 
 
 def sku_threshold(src: Sources) -> DataFrame:
-    return src.sku_threshold.select(
-        ENTITY, "vertical_segment", F.col("mature_threshold").cast("bigint")
-    )
+    return src.sku_threshold.select(ENTITY, "vertical_segment", "mature_threshold")

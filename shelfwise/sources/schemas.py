@@ -41,6 +41,6 @@ INPUT_SCHEMAS = {
         "uuid string, va_vertical_food string, cd_role string, cd_is_multi_vendor_user boolean"
     ),
     "sku_threshold": (
-        "global_entity_id string, vertical_segment string, mature_threshold bigint"
+        "global_entity_id string, vertical_segment string, mature_threshold double"
     ),
 }

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwise.columns import BRIDGE, ENTITY, LOOKUP, METADATA
 from shelfwise.functions import by_entities
@@ -36,6 +39,9 @@ class Sources:
         return cls(**{n: spark.table(names[n]) for n in INPUTS})
 
 
+#: Which versions of the lookup tables were written, and when.
+_CURRENT = "written long, version string"
+
 INPUTS = tuple(f.name for f in fields(Sources))
 
 
@@ -49,10 +55,13 @@ class Lookups:
 
     @classmethod
     def from_folder(cls, spark: SparkSession, root: str) -> Lookups:
+        """The version that was written completely last."""
+        newest = F.max_by("version", "written")
+        current = spark.read.schema(_CURRENT).parquet(f"{root}/current").agg(newest).first()[0]
         return cls(
-            spark.read.parquet(f"{root}/lookup").select(*LOOKUP),
-            spark.read.parquet(f"{root}/bridge").select(*BRIDGE),
-            spark.read.parquet(f"{root}/metadata").select(*METADATA),
+            spark.read.parquet(f"{root}/{current}/lookup").select(*LOOKUP),
+            spark.read.parquet(f"{root}/{current}/bridge").select(*BRIDGE),
+            spark.read.parquet(f"{root}/{current}/metadata").select(*METADATA),
         )
 
     @classmethod
@@ -73,17 +82,25 @@ class Lookups:
 
 
 def write_lookups(lookups: Lookups, root: str) -> None:
-    """Replace the three tables under ``root``, partitioned by market.
+    """Replace the three tables under ``root``, partitioned by market, in one step.
+
+    A version gets a folder of its own and becomes current by one row that is added at the end.
+    Readers see the old version until then, also when the write fails half way. Old versions stay;
+    remove their folders when no job reads them any more.
 
     The rebalance hint gathers each market into few files and splits a market that outweighs the
     others, so that a market with a third of all products is not written by one task.
     """
+    version = f"version-{uuid.uuid4().hex[:12]}"
     for name in ("lookup", "bridge", "metadata"):
         df: DataFrame = getattr(lookups, name)
         (
             df.hint("rebalance", ENTITY)
-            .write.mode("overwrite").partitionBy(ENTITY).parquet(f"{root}/{name}")
+            .write.partitionBy(ENTITY).parquet(f"{root}/{version}/{name}")
         )
+    spark = lookups.lookup.sparkSession
+    row = spark.createDataFrame([(time.time_ns(), version)], _CURRENT)
+    row.coalesce(1).write.mode("append").parquet(f"{root}/current")
 
 
 def write_result(result: DataFrame, path: str) -> None:

@@ -8,8 +8,7 @@ from decimal import ROUND_HALF_UP, Decimal
 def r2(x):
     if x is None:
         return None
-    six = Decimal(repr(x)).quantize(Decimal("0.000001"), ROUND_HALF_UP)
-    return float(six.quantize(Decimal("0.01"), ROUND_HALF_UP))
+    return float(Decimal(repr(x)).quantize(Decimal("0.01"), ROUND_HALF_UP))
 
 
 def gap_rows(t, p, min_chains=2):

@@ -5,7 +5,7 @@ from datetime import date, datetime
 
 import pytest
 
-from shelfwise import GapParams, build_lookups, lazy, sku_gap
+from shelfwise import GapParams, Period, build_lookups, lazy, sku_gap
 from tests import micro
 from tests.brute import gap_rows
 
@@ -91,8 +91,20 @@ def test_staged_job(spark, seed):
     assert spark_rows(sku_gap(micro.sources(spark, **t), LOOSE)) == expected
 
 
-def test_without_any_broadcast(shuffled, monkeypatch):
-    monkeypatch.setattr("shelfwise.plans.gap.fits_broadcast", lambda df: False)
+def test_three_windows(spark):
+    """Vendors of April, availability up to June, orders from the end of April."""
+    t = random_tables(1)
+    apart = Period(
+        date(2026, 4, 1), date(2026, 5, 10), date(2026, 6, 1), date(2026, 4, 30), date(2026, 5, 9)
+    )
+    params = LOOSE.with_(period=apart, min_avg_qty=0.5, min_avg_revenue=1.0)
+    expected = gap_rows(t, params)
+    swapped = Period(apart.report_month, apart.orders_from, apart.orders_to, apart.active_from, apart.active_to)
+    assert expected and expected != gap_rows(t, params.with_(period=swapped))
+    assert spark_rows(sku_gap(micro.sources(spark, **t), params)) == expected
+
+
+def test_without_any_broadcast(shuffled):
     t = random_tables(4)
     expected = gap_rows(t, LOOSE)
     assert expected

@@ -47,18 +47,29 @@ def test_safe_divide_and_rounding(spark):
     df = spark.sql("SELECT * FROM VALUES (1D, 0D), (1D, NULL), (NULL, 2D), (1D, 8D) AS t(a, b)")
     got = [r[0] for r in df.select(fn.safe_divide(F.col("a"), F.col("b"))).collect()]
     assert got == [None, None, None, 0.125]
-    halves = spark.sql("SELECT * FROM VALUES (1.005D), (-1.005D), (2.675D), (NULL) AS t(a)")
+    halves = spark.sql(
+        "SELECT * FROM VALUES (1.005D), (-1.005D), (2.675D), (NULL), (1.0049996D), (2.6749996D) AS t(a)"
+    )
     assert [r[0] for r in halves.select(fn.round2(F.col("a"))).collect()] == [
-        1.01, -1.01, 2.68, None
+        1.01, -1.01, 2.68, None, 1.0, 2.67
     ]
 
 
 def test_money_sum_ignores_order(spark):
     amounts = spark.range(200_000).select((F.col("id") * 0.1 + 0.07).alias("eur"))
     exact = sum(1000 * i + 700 for i in range(200_000)) / 10000
+    totals = set()
     for parts in (1, 7, 40):
-        total = amounts.repartition(parts).agg(fn.sum_money(F.col("eur"))).first()[0]
-        assert total == exact
+        total = amounts.repartition(parts).agg(fn.in_euros(fn.sum_money(F.col("eur")))).first()[0]
+        assert total == pytest.approx(exact, rel=1e-15)
+        totals.add(total)
+    assert len(totals) == 1
+    tiny = spark.range(1_000_000).select(F.lit(0.00004).alias("eur"))
+    assert tiny.agg(fn.in_euros(fn.sum_money(F.col("eur")))).first()[0] == 40.0
+    thrice = spark.sql("SELECT 0.123456789012345D AS eur").select(
+        fn.times(fn.sum_money(F.col("eur")), F.count("*") * 3)
+    )
+    assert str(thrice.first()[0]) == "0.370370367037035"
     assert amounts.where("id < 0").agg(fn.sum_money(F.col("eur"))).first()[0] is None
 
 
@@ -169,14 +180,14 @@ def test_lookup_keeps_products_without_alias(spark):
     )
     d, s = sources.alias_demand(src), sources.alias_supply(src)
     owner = alias.latest_catalog_rows(sources.catalog_products(src))
-    got = alias.product_lookup(owner, d, s)
+    got = alias.product_lookup(owner, alias.alias_pairs(d, s))
     # As two left joins in a row would give it.
     named_d = d.withColumnRenamed("alias_product_id", "demand_alias_id")
     named_s = s.withColumnRenamed("alias_product_id", "supply_alias_id")
     twice = owner.join(named_d, alias.MASTER, "left").join(named_s, alias.MASTER, "left")
     assert sorted(map(str, got.collect())) == sorted(map(str, twice.select(got.columns).collect()))
     assert got.where("platform_product_id = 'p4'").collect()[0][2:] == (None, None)
-    assert rows(alias.demand_supply_bridge(d, s), "demand_alias_id", "supply_alias_id") == [
+    assert rows(alias.demand_supply_bridge(alias.alias_pairs(d, s)), "demand_alias_id", "supply_alias_id") == [
         ("m1", "s1"), ("m1", "s2"), ("m2", "s1"), ("m2", "s2"),
     ]
     assert rows(alias.product_metadata(src.demand_alias), "alias_product_id") == [
@@ -212,7 +223,7 @@ def test_vendor_under_two_chains_counts_sessions_twice(spark):
     rates, items = sources.active_window_rates(src, *window), sources.order_items(src, *window)
     d, s = sources.alias_demand(src), sources.alias_supply(src)
     lookup = alias.product_lookup(
-        alias.latest_catalog_rows(sources.catalog_products(src)), d, s
+        alias.latest_catalog_rows(sources.catalog_products(src)), alias.alias_pairs(d, s)
     )
     sales = demand.vendor_product_sales(
         items, assortment.demand_products(assortment.active_skus(rates), dims, lookup)
@@ -345,6 +356,18 @@ def test_missing_threshold_shows_zero_but_compares_high(market):
         assert (r.targeted_usecase1, r.targeted_usecase2) == (False, True)
 
 
+def test_threshold_keeps_its_fraction(spark, market):
+    from dataclasses import replace
+
+    bar = spark.createDataFrame(
+        [("GV_ES", "grocery", 1.3)], "global_entity_id string, vertical_segment string, mature_threshold double"
+    )
+    made = sku_gap(replace(market, sku_threshold=bar), micro.PARAMS.with_(maturity_factor=1.0)).collect()
+    assert made and {r.mature_threshold for r in made} == {1.3}
+    for r in made:
+        assert r.targeted_usecase2 == (r.vps_v11 >= 50 and r.vendor_active_skus < 1.3)
+
+
 def test_preset_selects_its_markets(market):
     assert sku_gap(market, GapParams.preset("hs", micro.PERIOD)).count() == 0
     assert sku_gap(market, GapParams.preset("gv", micro.PERIOD)).count() == 4

@@ -117,11 +117,9 @@ def test_hot_vendor_is_split_when_not_broadcast(shuffled):
         )
         path = f"{spark.conf.get('spark.checkpoint.dir', '/tmp')}/hot-faces"
         faces.write.mode("overwrite").parquet(path)
-        spans = demand.chain_spans(groups, spark.read.parquet(path))
-        assert spans.count() == 120_000
-        out = spans.where("_lo = _hi").collect()
-        assert len(out) == 120_000
-        frame = demand.chain_spans(groups, spark.read.parquet(path))
+        frame = demand.first_chains(groups, spark.read.parquet(path), 2)
+        assert frame.count() == 120_000
+        frame = demand.first_chains(groups, spark.read.parquet(path), 2)
         frame.collect()
         assert "skew=true" in frame._jdf.queryExecution().toString()
     finally:
@@ -146,10 +144,12 @@ def test_hot_supply_group_does_not_multiply(spark):
     )
     groups = who.select("global_entity_id", "platform_vendor_id",
                         F.lit(-1).cast("bigint").alias("alias_product_id"))
-    spans = demand.chain_spans(groups, who)
-    assert spans.count() == 1
-    passing = demand.in_two_chains(products, bridge, spans)
-    assert passing.count() == n
+    for least in (2, 3):
+        few = demand.first_chains(groups, who, least)
+        assert few.count() == least
+        passing = demand.in_chains(products, bridge, few, least)
+        assert passing.count() == n
+    assert demand.in_chains(products, bridge, few, 4).count() == 0
     assert passing.agg(F.sum("total_quantity_sold")).first()[0] == n * (n - 1)
     top = demand.rank_top(passing, 10)
     wanted = demand.bridged(top.select(*demand.GROUP), bridge)
@@ -194,21 +194,52 @@ def test_stored_lookups_are_pruned_by_market(spark, src, tmp_path):
     assert Lookups.from_folder(spark, str(tmp_path)).lookup.count() == built.lookup.count()
 
 
+def test_a_refresh_that_fails_leaves_the_old_tables(spark, src, tmp_path):
+    from shelfwise import Lookups, refresh_lookups, write_lookups
+
+    refresh_lookups(spark, src, str(tmp_path))
+    old = sorted(map(str, Lookups.from_folder(spark, str(tmp_path)).metadata.collect()))
+    built = build_lookups(src)
+    broken = built.metadata.withColumn("barcode", F.raise_error(F.lit("no")).cast("string"))
+    broken = broken.withColumn("primary_barcode", F.col("barcode")).drop("barcode")
+    half = Lookups(built.lookup.limit(1), built.bridge.limit(1), broken)
+    with pytest.raises(Exception, match="no"):
+        write_lookups(half, str(tmp_path))
+    tables = Lookups.from_folder(spark, str(tmp_path))
+    assert sorted(map(str, tables.metadata.collect())) == old
+    assert tables.lookup.count() == built.lookup.count()
+
+
+def test_alias_tables_meet_once(spark, src):
+    """With a stage, one join of the alias tables feeds the lookup and the bridge."""
+    made = []
+
+    def stage(name, df):
+        made.append(name)
+        rows = df.collect()
+        return spark.createDataFrame(rows, df.schema)
+
+    built = build_lookups(src, stage=stage)
+    assert made == ["alias_pairs"]
+    assert "FullOuter" not in plan(built.bridge) + plan(built.lookup)
+
+
 def test_stage_tables_go_to_the_shared_folder(spark, tmp_path):
     from shelfwise.session import stage_root, table_stage
 
-    class Session:
-        class sparkContext:  # noqa: N801
-            master = "spark://host:7077"
+    settings = {"spark.master": "spark://host:7077", "spark.checkpoint.dir": "hdfs:///shared"}
 
+    class Session:
         class conf:  # noqa: N801
-            get = staticmethod(lambda key, default: "hdfs:///shared")
+            get = staticmethod(settings.get)
 
     assert stage_root(Session) == "hdfs:///shared"
-    Session.conf.get = staticmethod(lambda key, default: default)
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        stage_root(Session)
-    Session.sparkContext.master = "local[8]"
+    del settings["spark.checkpoint.dir"]
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]"):
+        settings["spark.master"] = master
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            stage_root(Session)
+    settings["spark.master"] = "local[8]"
     assert stage_root(Session) == stage_root(Session)
     staged = table_stage(spark, str(tmp_path))("numbers", spark.range(5))
     assert staged.count() == 5 and list(tmp_path.glob("run-*/numbers/*.parquet"))
