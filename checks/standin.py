@@ -47,6 +47,7 @@ class StandIn:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir.rstrip("/")
+        spark.conf.set("spark.sql.session.timeZone", "UTC")  # as the expected SQL reads dates
         self.root = f"{stage_root(spark)}/standin-{uuid.uuid4().hex[:12]}"
 
     def raw(self, name: str) -> DataFrame:
@@ -69,7 +70,7 @@ class StandIn:
         """Every part under its own master product and, older, under the next one."""
         p = F.col("p_partkey")
         master = p - p % 2
-        listed = F.lit("1990-01-01").cast("timestamp")
+        listed = F.timestamp_seconds(F.lit(631_152_000))  # 1990-01-01
 
         def row(master_id, created, products):
             return F.struct(
@@ -80,7 +81,7 @@ class StandIn:
 
         product = F.struct(p.alias("platform_product_id"))
         unknown = F.struct(F.lit(None).cast("bigint").alias("platform_product_id"))
-        created = F.timestamp_add("SECOND", F.col("p_size") * 86400 + p, F.lit("1995-01-01").cast("timestamp"))
+        created = F.timestamp_seconds(788_918_400 + F.col("p_size") * 86_400 + p)  # from 1995-01-01
         own = row(master, created, F.array(product, unknown))
         stray = row(master + 2, F.when(p % 3 != 0, listed), F.array(product))
         rows = self.raw("part").select(F.explode(F.array(own, stray)).alias("r"))
