@@ -410,7 +410,7 @@ STATEMENTS = {
     "agg_market_metrics": f"SELECT {_GROUP}, {_METRICS} FROM t_metric",
     "having_quality_gate": f"""SELECT {_GROUP}, {_METRICS} FROM t_metric
         WHERE avg_rev >= 60000 AND avg_qty > 20""",
-    "agg_chain_count": f"SELECT {_GROUP}, {_METRICS}, chains AS num_chains FROM t_counted",
+    "agg_chain_count": f"SELECT {_GROUP}, {_METRICS}, chains AS num_chains FROM t_top",
     "having_private_label": f"SELECT {_GROUP}, {_METRICS} FROM t_candidate",
     "pivot_top3": f"SELECT {_WIDE} FROM t_priced",
     "agg_total_gap_revenue": f"""SELECT {_KEYED_PAIRS.replace(', a AS alias_product_id', '')},

@@ -71,9 +71,23 @@ class Steps:
     def totals(self):
         return self.sessions.join(vendors.vendor_gmv_score(self.dims), VENDOR)
 
+    @cached_property
+    def activity(self):
+        """Stored, like the stages of the job, so each query does not sum the facts again."""
+        rates = sources.active_window_rates(self.s, START, END)
+        return self.s.stored("steps-activity", assortment.sku_activity(rates, self.items))
+
     @cached_property
     def active(self):
-        return assortment.active_skus(sources.active_window_rates(self.s, START, END))
+        return self.activity.select(*SKU)
+
+    @cached_property
+    def faces(self):
+        return vendors.vendor_faces(self.dims)
+
+    @cached_property
+    def groups(self):
+        return self.s.stored("steps-groups", assortment.carried_groups(self.active, self.lookup))
 
     @cached_property
     def sku_count(self):
@@ -108,12 +122,26 @@ class Steps:
         return demand.quality_gate(self.metrics)
 
     @cached_property
-    def counted(self):
-        return demand.chain_counts(self.gated, self.bridge, self.catalog)
+    def candidates(self):
+        chains = demand.first_chains(self.groups, self.faces, PARAMS.min_chains)
+        return demand.in_chains(self.gated, self.bridge, chains, PARAMS.min_chains)
+
+    @cached_property
+    def leaders(self):
+        return self.s.stored("steps-leaders", demand.rank_top(self.candidates))
+
+    @cached_property
+    def held(self):
+        wanted = demand.bridged(self.leaders.select(*demand.GROUP), self.bridge)
+        return self.s.stored("steps-held", gaps.holders(self.groups, self.faces, wanted))
 
     @cached_property
     def top(self):
-        return demand.rank_top(demand.chain_gate(self.counted))
+        """The top products with the number of chains that carry each."""
+        spread = self.held.groupBy(*demand.GROUP).agg(
+            F.count_distinct("chain_id").alias("num_chains")
+        )
+        return self.leaders.join(spread, demand.GROUP)
 
     @cached_property
     def pairs(self):
@@ -121,8 +149,7 @@ class Steps:
 
     @cached_property
     def missing(self):
-        carried = gaps.carried_pairs(self.catalog, self.bridge, self.top)
-        return gaps.drop_carried(self.pairs, carried)
+        return gaps.drop_carried(self.pairs, self.held)
 
     @cached_property
     def priced(self):
@@ -331,13 +358,8 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
     "agg_market_metrics": lambda s, x: x.metrics,
     # The default limits hardly bite on this data.
     "having_quality_gate": lambda s, x: demand.quality_gate(x.metrics, 60000, 20),
-    "agg_chain_count": lambda s, x: x.counted,
-    "having_private_label": lambda s, x: demand.in_chains(
-        x.gated, x.bridge,
-        demand.first_chains(
-            assortment.carried_groups(x.active, x.lookup), vendors.vendor_faces(x.dims), 2
-        ),
-    ),
+    "agg_chain_count": lambda s, x: x.top.drop("sku_rank"),
+    "having_private_label": lambda s, x: x.candidates,
     "pivot_top3": lambda s, x: x.wide,
     "agg_total_gap_revenue": lambda s, x: x.wide.select(
         *CELL, "platform_vendor_id", fn.round2(gaps.gap_total()).alias("total_weighted_est_rev_eur")
@@ -402,6 +424,9 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
 }
 
 
+_STEPS: dict[StandIn, Steps] = {}
+
+
 def _all_months(rows: DataFrame) -> DataFrame:
     """Vendor rows with the columns of a vendor scan."""
     return rows.select(*VENDOR_DIMS, "vertical", "is_online")
@@ -411,7 +436,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             s = standin(spark, sf_dir)
-            return build(s, Steps(s))
+            if s not in _STEPS:
+                _STEPS[s] = Steps(s)
+            return build(s, _STEPS[s])
 
         return run
 

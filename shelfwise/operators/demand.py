@@ -123,31 +123,10 @@ def carriers(products: DataFrame, bridge: DataFrame, catalog: DataFrame) -> Data
     return bridged(products, bridge).join(rows, [*CELL, "supply_alias_id"])
 
 
-def chain_counts(products: DataFrame, bridge: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Chains that carry each product in its cell; vendors without a chain do not count.
-
-    The catalog shrinks to one row per cell, group and chain before it meets the bridge. A
-    product's own columns ride along, so the products are computed once.
-    """
-    chains = catalog.select(*CELL, "alias_product_id", "chain_id").distinct()
-    return (
-        carriers(products, bridge, chains)
-        .groupBy(*GROUP)
-        .agg(
-            *_own_columns(products),
-            F.count_distinct("chain_id").alias("num_chains"),
-        )
-    )
-
-
 def _own_columns(products: DataFrame) -> list[Column]:
     return [F.any_value(c).alias(c) for c in products.columns if c not in GROUP]
 
 
-def chain_gate(counted: DataFrame, min_chains: int = 2) -> DataFrame:
-    return counted.where(F.col("num_chains") >= min_chains)
-
-
 def first_chains(groups: DataFrame, cells: DataFrame, most: int) -> DataFrame:
     """At most ``most`` chains that carry each supply group in each cell.
 

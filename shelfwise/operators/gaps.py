@@ -33,21 +33,6 @@ def priced(pairs: DataFrame) -> DataFrame:
     )
 
 
-def carried_pairs(catalog: DataFrame, bridge: DataFrame, top: DataFrame) -> DataFrame:
-    """Vendor and top product, where the vendor carries any supply group of the product.
-
-    Only the bridge rows of top products take part, never all pairs of a group.
-    """
-    wanted = bridged(top.select(ENTITY, "alias_product_id").distinct(), bridge)
-    return (
-        catalog.select(*VENDOR, F.col("alias_product_id").alias("supply_alias_id"))
-        .distinct()
-        .join(wanted, [ENTITY, "supply_alias_id"])
-        .select(*VENDOR, "alias_product_id")
-        .distinct()
-    )
-
-
 def holders(groups: DataFrame, cells: DataFrame, wanted: DataFrame) -> DataFrame:
     """Who carries each top product in its own cell: cell, product, vendor and chain.
 
