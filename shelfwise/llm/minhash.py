@@ -51,9 +51,9 @@ def run_length(threshold: float) -> int:
 
 
 def least_matches(threshold: float) -> int:
-    """Coordinates that pairs at the threshold share but for four standard deviations."""
+    """Coordinates that pairs at the threshold share but for 3.5 standard deviations."""
     return math.floor(
-        COORDINATES * threshold - 4 * math.sqrt(COORDINATES * threshold * (1 - threshold))
+        COORDINATES * threshold - 3.5 * math.sqrt(COORDINATES * threshold * (1 - threshold))
     )
 
 
@@ -86,58 +86,92 @@ def postings(classes: DataFrame, run: int) -> DataFrame:
     return classes.select("id", "signature").mapInArrow(post, "at int, value long, id long")
 
 
-def matching_pairs(classes: DataFrame, stages: Stages, threshold: float) -> DataFrame:
-    """a, b, matches: pairs of classes that share a posting list and enough coordinates.
+UNIT = ["at", "value", "lo", "hi"]
+
+
+def list_units(classes: DataFrame, stages: Stages, threshold: float) -> DataFrame:
+    """UNIT, mine, id: the members of every posting list of two or more classes.
 
     A list longer than BLOCK is cut in blocks, and each pair of blocks is a unit of work, so no
-    list has to fit in a task. Within a unit, pairs are compared on whole signatures: the lists of
-    the other coordinates are never merged. A pair is only sent from the first list it shares.
+    list has to fit in a task.
     """
-    run, least = run_length(threshold), least_matches(threshold)
-    posted = stages.put("postings", postings(classes, run))
+    posted = stages.put("postings", postings(classes, run_length(threshold)))
     lists = posted.groupBy("at", "value").agg(F.count("*").alias("n")).where("n > 1")
     lists = stages.put("lists", lists.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")))
     member = posted.join(lists.select("at", "value", "blocks"), ["at", "value"]).withColumn(
         "mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     ).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    units = member.select(
-        F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
-        "mine", "at", "value", "id",
-    ).join(classes.select("id", "signature"), "id")
-    unit = ["at", "value", "lo", "hi"]
+    return stages.put("units", member.select(
+        "at", "value", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
+        "mine", "id",
+    ))
+
+
+def matching_pairs(
+    units: DataFrame, classes: DataFrame, threshold: float, roots: DataFrame | None = None
+) -> DataFrame:
+    """a, b: pairs of classes that share a posting list and enough coordinates.
+
+    Pairs are compared on whole signatures within a unit: the lists of the other coordinates are
+    never merged, and a pair counts only in the first list that both are in. Without ``roots`` each
+    class is sent with its best partner in a unit, which keeps a large group to as many pairs as it
+    has members and lists. With ``roots`` (id, root) every matching pair of different roots is sent.
+    """
+    run, least = run_length(threshold), least_matches(threshold)
+    marked, best_only = classes.select("id", "signature"), roots is None
+    if best_only:
+        marked = marked.withColumn("root", F.col("id"))
+    else:
+        marked = marked.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, unit):
+        for table in whole_groups(batches, UNIT):
             at = table.column("at").to_numpy()
-            keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in unit], 1)
+            keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in UNIT], 1)
             mine, ids = table.column("mine").to_numpy(), table.column("id").to_numpy()
+            root = table.column("root").to_numpy()
             inner = keys[:, 2] == keys[:, 3]
             marks = _as_matrix(table.column("signature"))
             new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)])
             group = np.cumsum(new)
-            first = np.arange(len(ids))
+            best = np.zeros(len(ids), np.int64)
+            rows = np.arange(len(ids))
+            first = rows
             for shift in range(1, len(ids)):
                 first = first[: np.searchsorted(first, len(ids) - shift)]
                 first = first[group[first] == group[first + shift]]
                 if not len(first):
                     break
                 second = first + shift
-                apart = inner[first] | (mine[first] != mine[second])
-                for lo in range(0, len(first), 4096):
-                    i, j = first[lo : lo + 4096], second[lo : lo + 4096]
-                    i, j = i[apart[lo : lo + 4096]], j[apart[lo : lo + 4096]]
+                apart = (inner[first] | (mine[first] != mine[second])) & (root[first] != root[second])
+                pairs = np.flatnonzero(apart)
+                for lo in range(0, len(pairs), 4096):
+                    i, j = first[pairs[lo : lo + 4096]], second[pairs[lo : lo + 4096]]
                     same = marks[i] == marks[j]
                     n = same.sum(1)
-                    close = np.flatnonzero((n >= least) & (ids[i] != ids[j]))
-                    runs = same[close, : COORDINATES // run * run].reshape(len(close), COORDINATES // run, run)
+                    close = np.flatnonzero(n >= least)
+                    runs = same[close, : COORDINATES // run * run]
+                    runs = runs.reshape(len(close), COORDINATES // run, run)
                     close = close[runs.all(2).argmax(1) == at[i[close]]]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.minimum(ids[i], ids[j])[close]),
-                        pa.array(np.maximum(ids[i], ids[j])[close]), pa.array(n[close]),
-                    ], names=["a", "b", "matches"])
+                    i, j, n = i[close], j[close], n[close]
+                    if best_only:
+                        np.maximum.at(best, i, n * len(ids) + j)
+                        np.maximum.at(best, j, n * len(ids) + i)
+                    else:
+                        yield _pairs(ids, i, j)
+            if best_only:
+                some = rows[best > 0]
+                found = np.sort(np.stack([some, best[some] % len(ids)], 1), 1)
+                found = np.unique(found, axis=0)
+                yield _pairs(ids, found[:, 0], found[:, 1])
+
+    dealt = units.join(marked, "id").repartition(*UNIT).sortWithinPartitions(*UNIT)
+    return dealt.mapInArrow(compare, "a long, b long")
 
-    dealt = units.repartition(*unit).sortWithinPartitions(*unit)
-    return dealt.mapInArrow(compare, "a long, b long, matches long")
+
+def _pairs(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+    low, high = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
+    return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
 
 
 def whole_groups(
@@ -260,7 +294,9 @@ def _linked(docs, stages, column, value, key, text, words, numerator, denominato
         F.max("signature").alias("signature"),
     )
     classes = stages.put("classes", classes.withColumn("id", F.monotonically_increasing_id()))
-    pairs = stages.put("pairs", matching_pairs(classes, stages, threshold))
+    units = list_units(classes, stages, threshold)
+    # Each class with its best partners: that joins a group of near copies with few pairs.
+    pairs = stages.put("best-pairs", matching_pairs(units, classes, threshold).distinct())
 
     # The full sets of the classes that are in a pair, from their texts.
     used = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
@@ -273,22 +309,12 @@ def _linked(docs, stages, column, value, key, text, words, numerator, denominato
     sets = map_rows(bodies.dropDuplicates(["id"]), members, ["id"], ["body"], "members binary", step=512)
     sets = stages.put("sets", sets)
 
-    # First the pair of each class with its most often paired partner: that joins a group of near
-    # copies to its original. Then only pairs between different components are left to confirm.
-    degree = used.groupBy("id").agg(F.count("*").alias("degree"))
-    ends = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    best = ends.join(degree, F.col("b") == F.col("id")).groupBy("a").agg(
-        F.max_by("b", F.struct("degree", -F.col("b"))).alias("b")
-    )
-    first = stages.put("first-links", confirmed(best, sets, numerator, denominator))
+    first = stages.put("first-links", confirmed(pairs, sets, numerator, denominator))
     roots = components(first, stages, "first")
-    open_ = (
-        pairs.select("a", "b")
-        .join(roots.select(F.col("id").alias("a"), F.col("root").alias("root_a")), "a", "left")
-        .join(roots.select(F.col("id").alias("b"), F.col("root").alias("root_b")), "b", "left")
-        .where("coalesce(root_a, a) <> coalesce(root_b, b)")
-    )
-    rest = stages.put("other-links", confirmed(open_, sets, numerator, denominator))
+    # Then every other pair, but only between different components.
+    other = matching_pairs(units, classes, threshold, roots).join(pairs, ["a", "b"], "left_anti")
+    other = stages.put("other-pairs", other)
+    rest = stages.put("other-links", confirmed(other, sets, numerator, denominator))
     roots = components(first.unionByName(rest), stages, "all")
 
     # The smallest id has no row of its own in roots.
