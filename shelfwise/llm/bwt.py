@@ -11,7 +11,7 @@ from shelfwise.llm.repeats import Units, repeated_spans
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Places of the suffixes in the order of at least their first ``depth`` symbols (0 to 256)."""
-    rank, reach = np.zeros(len(text), np.int64), 4
+    rank, reach = np.zeros(len(text), np.int64), 7  # 257 ** 7 fits in 63 bits
     for i in range(reach):
         rank *= 257
         rank[: max(len(text) - i, 0)] += text[i:]
