@@ -106,7 +106,8 @@ def test_documents_empty_table(documents, stages, rows):
 
 
 def line_set(line):
-    starts = [m.start() for m in re.finditer(r"(?<!\S)\S", line)]
+    ideograph = "\u4e00-\u9fff\u3400-\u4dbf"
+    starts = [m.start() for m in re.finditer(rf"[{ideograph}]|[^\s{ideograph}]+", line)]
     return frozenset([line[i : i + 9] for i in starts if i + 9 <= len(line)] + [line[-9:]])
 
 
