@@ -21,7 +21,7 @@ def components(edges: DataFrame, stages: Stages, name: str) -> DataFrame:
     ).where("a <> b").distinct()
     kept, before, turn = stages.put(f"{name}-0", kept), None, 0
     while True:
-        state = kept.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
+        state = kept.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if state[0] == 0 or tuple(state) == before:
             break
         before, turn = tuple(state), turn + 1
