@@ -19,7 +19,7 @@ CENTRES, FITTED = 256, 4_096
 #: Vectors of one node that are worked on together; a larger node is cut in parts.
 PART = 8_192
 #: A node with fewer vectors is not divided further, and a node has at most so many children.
-LEAF, CHILDREN = 256, 16
+LEAF, CHILDREN = 1_024, 16
 #: Room for rounding when distances are compared; cosines decide in the end.
 SLACK = 1e-6
 
