@@ -250,19 +250,24 @@ def distinct_documents(
 ) -> DataFrame:
     """One document of each component with all its columns: the one of the smallest key, and of
     several rows with that key, the one with the smallest text digest, once."""
-    made = _linked(
-        docs, stages, "row", F.struct(*docs.columns), key, text, words, numerator, denominator
-    )
-    alone = made.where("component is null").select("row")
-    best = F.row_number().over(
-        _window("component").orderBy(F.col("key").asc_nulls_last(), "text_key", F.xxhash64("row"))
+    made = _linked(docs, stages, "key", F.col(key), key, text, words, numerator, denominator)
+    # Who stays is settled on keys and digests; the documents themselves are shuffled once.
+    heads = stages.put("heads", (
+        made.where("component IS NOT NULL").where(F.col("key").eqNullSafe(F.col("component_id")))
+        .groupBy("component").agg(F.min("text_key").alias("head"), F.min("key").alias("head_key"))
+        .drop("component")
+    ))
+    worded = F.coalesce(F.regexp_like(F.col(text), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    rows = docs.where(worded).select(
+        F.struct(*docs.columns).alias("row"), F.col(key).alias("key"),
+        text_key(F.col(text)).alias("text_key"),
     )
-    heads = (
-        made.where("component is not null")
-        .where(F.col("key").eqNullSafe(F.col("component_id")))
-        .withColumn("best", best).where("best = 1").select("row")
+    picked = rows.join(
+        heads, (F.col("text_key") == F.col("head")) & F.col("key").eqNullSafe(F.col("head_key"))
     )
-    return alone.unionByName(heads).select("row.*")
+    nth = F.row_number().over(_window("text_key", "key").orderBy(F.xxhash64("row")))
+    picked = picked.withColumn("nth", nth).where("nth = 1").select("row.*")
+    return docs.where(~worded).unionByName(picked)
 
 
 def _window(*names):
