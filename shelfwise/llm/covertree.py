@@ -71,8 +71,34 @@ def grow(vectors: np.ndarray, rows: np.ndarray, centre: np.ndarray, scale: float
     return node
 
 
+class Forest:
+    """Union-find over positions, in whole arrays: the links that join two components are kept, so
+    at most one less than there are positions, and they join what all links do."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+        self.kept: list[np.ndarray] = []
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        while True:
+            a, b = self.root[i], self.root[j]
+            open_ = a != b
+            if not open_.any():
+                return
+            i, j, a, b = i[open_], j[open_], a[open_], b[open_]
+            # Every root with a link to a smaller one is hung under one such root: no cycles.
+            high, first = np.unique(np.maximum(a, b), return_index=True)
+            self.kept.append(np.stack([i[first], j[first]], 1))
+            self.root[high] = np.minimum(a, b)[first]
+            while ((up := self.root[self.root]) != self.root).any():
+                self.root = up
+
+    def links(self) -> np.ndarray:
+        return np.concatenate(self.kept) if self.kept else np.empty((0, 2), np.int64)
+
+
 class Join:
-    """Counts links and finds, for each vector, the smallest position it is linked with."""
+    """Counts the links of each vector and keeps a spanning forest of them."""
 
     def __init__(self, left: np.ndarray, right: np.ndarray, cosine: float, same: bool,
                  left_copies: np.ndarray, right_copies: np.ndarray):
@@ -80,7 +106,9 @@ class Join:
         self.reach = math.sqrt(max(2 - 2 * cosine, 0)) + SLACK
         self.copies = left_copies, right_copies
         self.links = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
-        self.edges: list[np.ndarray] = []
+        # Right positions follow the left ones, unless both sides are the same vectors.
+        self.offset = 0 if same else len(left)
+        self.forest = Forest(self.offset + len(right))
 
     def run(self, a: Node, b: Node) -> None:
         """Dual traversal. A pair of nodes whose balls are further apart than a link is pruned;
@@ -117,12 +145,7 @@ class Join:
                     i, j = i[keep], j[keep]
             np.add.at(self.links[0], i, self.copies[1][j])
             np.add.at(self.links[1], j, self.copies[0][i])
-            if len(i):
-                # One link a vector joins the same components as all of them do, if both ends
-                # keep their link with the smallest position.
-                for key in (i, j):
-                    _, first = np.unique(key, return_index=True)
-                    self.edges.append(np.stack([i[first], j[first]], 1))
+            self.forest.add(i, j + self.offset)
 
 
 def joined(
@@ -134,8 +157,7 @@ def joined(
     least = join.reach / 4
     trees = [grow(x, np.arange(len(x)), x[0], 2.0, least) for x in ((left,) if same else (left, right))]
     join.run(trees[0], trees[-1])
-    edges = np.unique(np.concatenate(join.edges), axis=0) if join.edges else np.empty((0, 2), np.int64)
-    return join.links[0], join.links[1], edges
+    return join.links[0], join.links[1], join.forest.links() - [0, join.offset]
 
 
 def near_vectors(

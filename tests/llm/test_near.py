@@ -230,5 +230,38 @@ def test_vectors_equal_all_pairs(spark, stages, rows, monkeypatch, part, leaf):
     assert rows(near_vectors(frame, stages, cosine=0.9)) == vectors_expected(data, 0.9)
 
 
+def chains(seed, planes=15, length=14, step=0.4):
+    """Vectors of which only neighbours on a circle are linked (cosine 0.92, then 0.70), shuffled."""
+    rng = np.random.default_rng(seed)
+    data = []
+    for k in range(planes):
+        for at in range(length):
+            x = np.zeros(2 * planes)
+            x[2 * k : 2 * k + 2] = np.cos(at * step), np.sin(at * step)
+            data.append(x.tolist())
+    return [(n, data[i], None) for n, i in enumerate(rng.permutation(len(data)))]
+
+
+@pytest.mark.parametrize("part, leaf", [(8192, 1024), (8192, 8), (40, 1024), (40, 4)])
+def test_chained_vectors_are_one_component(spark, stages, rows, monkeypatch, part, leaf):
+    monkeypatch.setattr(covertree, "PART", part)
+    monkeypatch.setattr(covertree, "LEAF", leaf)
+    data = chains(part + leaf)
+    assert len({r[2] for r in vectors_expected(data, 0.9)}) == 15
+    frame = spark.createDataFrame(data, VECTOR).repartition(3)
+    assert rows(near_vectors(frame, stages, cosine=0.9)) == vectors_expected(data, 0.9)
+
+
+def test_spanning_links_join_what_all_links_do():
+    rng = np.random.default_rng(5)
+    for n in (2, 4, 10, 40):
+        for _ in range(50):
+            forest, links = covertree.Forest(n), rng.integers(0, n, (rng.integers(1, 2 * n), 2))
+            for part in np.array_split(links, 3):
+                forest.add(part[:, 0], part[:, 1])
+            kept = forest.links()
+            assert len(kept) < n and roots_of(n, kept.tolist()) == roots_of(n, links.tolist())
+
+
 def test_vectors_empty_table(spark, stages, rows):
     assert rows(near_vectors(spark.createDataFrame([], VECTOR), stages)) == []
