@@ -250,6 +250,23 @@ def test_quality_bands(documents, stages, rows):
     assert rows(quality.quality(documents([]), stages)) == []
 
 
+def test_quality_bands_reject_frequent_junk(documents, stages):
+    """Shouting, symbols after words and tables, each in one text of twenty, of the same words."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 6))) for _ in range(300)]
+    prose = lambda: [rng.choice(words) for _ in range(150)]
+    data = [(k, " ".join(prose()), "xx") for k in range(170)]
+    for k in range(10):
+        data.append((200 + k, " ".join(f"{w.upper()}!!" for w in prose()), "xx"))
+        data.append((220 + k, " ".join(w + rng.choice(["%%%", "###", "&&&"]) for w in prose()), "xx"))
+        table = prose()
+        table[2::3] = ["|"] * 50
+        data.append((240 + k, " ".join(table), "xx"))
+    made = quality.quality(documents(data), stages).collect()
+    assert not any(r.base_failed for r in made)
+    assert {r.doc_id for r in made if r.kept} == set(range(170))
+
+
 def test_hash_arrays_are_sorted_and_bounded(documents, stages):
     counts = quality.gram_counts(documents(corpus(2, 10)), "lang", "text")
     hashes, values = quality.hash_arrays(quality.kneser_ney(counts))
