@@ -36,6 +36,13 @@ ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation note"
     " search status".split()
 )
+#: Open elements that a start tag ends, if they are inside the nearest open element named second.
+ENDS = {
+    **dict.fromkeys(("td", "th"), (("td", "th"), "table")),
+    "tr": (("tr",), "table"),
+    **dict.fromkeys(("thead", "tbody", "tfoot"), (("thead", "tbody", "tfoot", "tr"), "table")),
+    **dict.fromkeys(("dt", "dd"), (("dt", "dd"), "dl")),
+}
 #: A class or id made of one of these words, alone or set off by a hyphen or an underscore.
 MARKS = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|"
@@ -94,8 +101,16 @@ def page_blocks(html: str) -> list[Block]:
     stack = [top]
     blocks: list[Block] = []
     block = Block(False)
+    places: dict[str, list[int]] = {}  # the stack positions of the open elements of a name
     at, breaks = 0, 0
 
+    def cut(depth: int) -> None:
+        while len(stack) > depth:
+            places[stack.pop().tag].pop()
+
+    def last(name: str) -> int:
+        return places[name][-1] if places.get(name) else 0
+
     def close() -> None:
         nonlocal block
         if any(not p.isspace() for p in block.parts):
@@ -131,13 +146,16 @@ def page_blocks(html: str) -> list[Block]:
         if tag in BREAKS:
             close()
         if closing:
-            for depth in range(len(stack) - 1, max(0, len(stack) - 64), -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            if depth := last(tag):
+                cut(depth)
         elif tag not in VOID:
             if tag in ("p", "li", "a", "option") and stack[-1].tag == tag:
-                stack.pop()
+                cut(len(stack) - 1)
+            elif tag in ENDS:
+                names, scope = ENDS[tag]
+                open_ = [d for name in names if (d := last(name)) > last(scope)]
+                if open_:
+                    cut(min(open_))
             up = stack[-1]
             inside = up.article or tag in ("article", "main")
             dropped = up.dropped or tag in DROPPED or tag == "header" and not inside
@@ -148,6 +166,7 @@ def page_blocks(html: str) -> list[Block]:
                     inside = inside or value in ("main", "article")
                 elif tag not in ("body", "html", "article", "main"):
                     dropped = dropped or bool(MARKS.search(value))
+            places.setdefault(tag, []).append(len(stack))
             stack.append(_Open(tag, dropped, inside, up.linked or tag == "a"))
         if tag in BREAKS:
             block.article = stack[-1].article

@@ -105,6 +105,21 @@ def test_main_text(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize("inside", [
+    "<table><tr>" + "<td>x" * 90, "<table>" + "<tr><td>x" * 90, "<dl>" + "<dt>x<dd>y" * 90, "<b><i>x" * 90,
+    "<table><tr><td><table><tr><td>x" * 90,
+])
+@pytest.mark.parametrize("tag", ["nav", "aside", "footer"])
+def test_closing_tag_at_any_depth(tag, inside):
+    html = f"<{tag}>{inside}</{tag}><article><p>{LONG}</p></article>"
+    assert main_text(html) == LONG.strip()
+
+
+def test_cells_end_cells_of_their_own_table():
+    html = f"<table><tr><td class=ads>x<td>{LONG}<tr><td id=menu><table><tr><td>x<td>y</table>{LONG}<td>{LONG}</table>"
+    assert main_text(html) == f"{LONG.strip()}\n{LONG.strip()}"
+
+
 def test_pages(spark, rows):
     shape = "page_id long, url string, html string, text string"
     data = [(1, "u", f"<article><p>{LONG}</p></article>", "own"), (2, None, None, None), (None, "v", "<p>", ""),
