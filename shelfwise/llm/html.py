@@ -43,14 +43,19 @@ ENDS = {
     **dict.fromkeys(("thead", "tbody", "tfoot"), (("thead", "tbody", "tfoot", "tr"), "table")),
     **dict.fromkeys(("dt", "dd"), (("dt", "dd"), "dl")),
 }
-#: A class or id made of one of these words, alone or set off by a hyphen or an underscore.
-MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|"
+#: A class or id of these words alone marks an element to drop; one that has them among other words
+#: ("has-sidebar", "site-footer") is doubtful, and the blocks inside decide.
+_MARK = (
+    r"(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|"
     r"breadcrumbs?|comments?|cookies?|consent|disqus|footer|masthead|menu|nav|navbar|navigation|"
     r"newsletter|notice|pagination|popup|modal|related|share|sharing|sidebar|signup|social|"
-    r"subscribe|toolbar|widget)(?:$|[\s_-])",
-    re.I,
+    r"subscribe|toolbar|widget)"
 )
+MARKS = re.compile(rf"(?:^|\s){_MARK}(?:[_-]+{_MARK})*(?:$|\s)", re.I)
+DOUBTFUL = re.compile(rf"(?:^|[\s_-]){_MARK}(?:$|[\s_-])", re.I)
+#: How far an element is dropped: a form is kept from a heading or article on, a marked element from
+#: an article on, and the others not at all.
+FORM, MARKED, WHOLLY = 1, 2, 3
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|iframe|svg|math|object|video|audio|canvas|textarea|title)"
@@ -79,6 +84,7 @@ class Rules:
 @dataclass
 class Block:
     article: bool
+    place: int = 0
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -90,19 +96,20 @@ class Block:
 @dataclass
 class _Open:
     tag: str
-    dropped: bool
+    dropped: int
     article: bool
     linked: bool
+    place: int  # 0, or the number of the doubtful element it is in
 
 
 def page_blocks(html: str) -> list[Block]:
     """Text blocks in page order, without those inside menus, footers, forms and the like."""
-    top = _Open("", False, False, False)
+    top = _Open("", 0, False, False, 0)
     stack = [top]
     blocks: list[Block] = []
     block = Block(False)
     places: dict[str, list[int]] = {}  # the stack positions of the open elements of a name
-    at, breaks = 0, 0
+    at, breaks, doubtful, seen = 0, 0, 0, False
 
     def cut(depth: int) -> None:
         while len(stack) > depth:
@@ -115,7 +122,7 @@ def page_blocks(html: str) -> list[Block]:
         nonlocal block
         if any(not p.isspace() for p in block.parts):
             blocks.append(block)
-        block = Block(stack[-1].article)
+        block = Block(stack[-1].article, stack[-1].place)
 
     def add(raw: str) -> None:
         nonlocal breaks
@@ -157,27 +164,45 @@ def page_blocks(html: str) -> list[Block]:
                 if open_:
                     cut(min(open_))
             up = stack[-1]
-            inside = up.article or tag in ("article", "main")
-            dropped = up.dropped or tag in DROPPED or tag == "header" and not inside
-            for name, *value in ATTRIBUTE.findall(attributes) if not dropped else ():
+            own, unsure, role = 0, False, ""
+            for name, *value in ATTRIBUTE.findall(attributes) if up.dropped < WHOLLY else ():
                 value = "".join(value).lower()
                 if name.lower() == "role":
-                    dropped = dropped or value in ROLES
-                    inside = inside or value in ("main", "article")
-                elif tag not in ("body", "html", "article", "main"):
-                    dropped = dropped or bool(MARKS.search(value))
+                    role = value
+                elif tag not in ("body", "html"):
+                    if MARKS.search(value):
+                        own = MARKED
+                    unsure = unsure or bool(DOUBTFUL.search(value))
+            main = tag in ("article", "main") or role in ("main", "article")
+            if tag in ("article", "main"):
+                # The first one that is not marked itself is kept wherever it is.
+                if 0 < up.dropped < WHOLLY and not unsure and (not seen or tag == "main"):
+                    up = _Open("", 0, up.article, up.linked, 0)
+                own, unsure = 0, False
+            elif tag == "h1" and up.dropped == FORM:
+                for element in stack:
+                    element.dropped = 0
+            inside = up.article or main
+            if tag == "form" or role == "form":
+                own = max(own, FORM)
+            elif tag in DROPPED or role in ROLES or tag == "header" and not inside:
+                own = WHOLLY
+            dropped = max(up.dropped, own)
+            seen = seen or main and not dropped
+            doubtful += unsure
+            place = 0 if main else doubtful if unsure else up.place
             places.setdefault(tag, []).append(len(stack))
-            stack.append(_Open(tag, dropped, inside, up.linked or tag == "a"))
+            stack.append(_Open(tag, dropped, inside, up.linked or tag == "a", place))
         if tag in BREAKS:
-            block.article = stack[-1].article
+            block.article, block.place = stack[-1].article, stack[-1].place
     add(html[at:])
     close()
     return blocks
 
 
 def first_pass(block: Block, text: str, rules: Rules) -> str:
-    """Good, bad, or short (undecided) from the block alone. In an article, few stop words leave a
-    block undecided; elsewhere they make it bad."""
+    """Good, bad, or short (undecided) from the block alone. Few stop words, as in a language without
+    any here, leave a block undecided."""
     size = len(text)
     if block.linked > rules.links * max(1, size - text.count(" ")):
         return BAD
@@ -189,21 +214,22 @@ def first_pass(block: Block, text: str, rules: Rules) -> str:
         return GOOD
     if share >= rules.stop_low:
         return GOOD if block.article or size >= rules.long else SHORT
-    return SHORT if block.article else BAD
+    return SHORT
 
 
-def second_pass(labels: list[str], articles: list[bool]) -> list[bool]:
+def second_pass(labels: list[str], articles: list[bool], containers: list[tuple[bool, int]]) -> list[bool]:
     """Undecided blocks take the label of their nearest decided neighbours in the same container
-    (article or not). Neighbours that differ, or the lack of any, leave it to the container."""
+    (article or not, doubtful element). Neighbours that differ, or the lack of any, leave it to
+    whether they are in an article."""
     n = len(labels)
     left: list[str | None] = [None] * n
     right: list[str | None] = [None] * n
     for found, order in ((left, range(n)), (right, range(n - 1, -1, -1))):
-        last: dict[bool, str] = {}
+        last: dict[tuple[bool, int], str] = {}
         for i in order:
-            found[i] = last.get(articles[i])
+            found[i] = last.get(containers[i])
             if labels[i] != SHORT:
-                last[articles[i]] = labels[i]
+                last[containers[i]] = labels[i]
     kept = []
     for label, a, b, article in zip(labels, left, right, articles):
         if label == SHORT:
@@ -218,7 +244,14 @@ def main_text(html: str | None, rules: Rules = Rules()) -> str:
         return ""
     blocks = [(b, t) for b in page_blocks(html) if (t := b.text)]
     labels = [first_pass(b, t, rules) for b, t in blocks]
-    kept = second_pass(labels, [b.article for b, _ in blocks])
+    if GOOD not in labels:
+        # No stop words on the whole page: an unknown language, where long blocks are text.
+        labels = [
+            GOOD if label == SHORT and len(t) >= rules.long else label
+            for label, (_, t) in zip(labels, blocks)
+        ]
+    articles = [b.article and not b.place for b, _ in blocks]
+    kept = second_pass(labels, articles, [(b.article, b.place) for b, _ in blocks])
     return "\n".join(t for (_, t), keep in zip(blocks, kept) if keep)
 
 

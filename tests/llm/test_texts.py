@@ -120,6 +120,23 @@ def test_cells_end_cells_of_their_own_table():
     assert main_text(html) == f"{LONG.strip()}\n{LONG.strip()}"
 
 
+CZECH = "Starý dům stál na kraji města a každý večer svítila okna do tmavé zahrady plné jabloní. " * 3
+
+
+@pytest.mark.parametrize("html, text", [
+    *((f"<div class='{c}'><article><h1>Title</h1><p>{LONG}</p></article></div>", f"Title\n{LONG.strip()}")
+      for c in ("content has-sidebar", "layout-with-nav", "no-comments", "post-share-enabled", "widget")),
+    (f"<div class='content has-sidebar'><h1>Title</h1><p>{LONG}</p></div><div class=site-footer>Imprint</div>",
+     f"Title\n{LONG.strip()}"),
+    (f"<form id=aspnet><nav>{LONG}</nav><article><p>{LONG}</p></article></form>", LONG.strip()),
+    (f"<form><div>Search</div><h1>Title</h1><p>{LONG}</p></form>", f"Title\n{LONG.strip()}"),
+    (f"<article><p>{LONG}</p></article><div class=comments><article class=comment><p>{LONG}</p></article></div>", LONG.strip()),
+    (f"<nav><a href=x>Domů</a></nav><div><p>{CZECH}</p></div><footer>{CZECH}</footer>", CZECH.strip()),
+])
+def test_main_text_in_wrappers_and_other_languages(html, text):
+    assert main_text(html) == text
+
+
 def test_pages(spark, rows):
     shape = "page_id long, url string, html string, text string"
     data = [(1, "u", f"<article><p>{LONG}</p></article>", "own"), (2, None, None, None), (None, "v", "<p>", ""),
