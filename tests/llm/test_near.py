@@ -174,6 +174,24 @@ def test_lines_empty_table(documents, stages, rows):
     assert rows(lines.line_report(documents([]), stages)) == []
 
 
+def test_linked_short_lines_share_a_key(spark):
+    """All sizes up to 13 and all differences that links allow."""
+    rng = random.Random(7)
+    token = lambda n: [rng.randrange(-(1 << 63), 1 << 63) for _ in range(n)]
+    data = []
+    for same in range(3, 14):
+        for x in range(14 - same):
+            for y in range(x, 14 - same):
+                if x + y and 100 * same >= 80 * (same + x + y):
+                    for _ in range(400):
+                        shared = token(same)
+                        data.append((same, x, y, shared + token(x), shared + token(y)))
+    assert {(8, 1, 1), (9, 1, 1), (4, 0, 1), (8, 0, 2), (11, 0, 2)} <= {r[:3] for r in data}
+    pairs = spark.createDataFrame(data, "same int, x int, y int, a array<long>, b array<long>")
+    keys = lambda c: lines.band_keys(F.col(c))
+    assert pairs.where(~F.arrays_overlap(keys("a"), keys("b"))).groupBy("same", "x", "y").count().collect() == []
+
+
 def test_lines_run_no_python(documents, stages, capsys):
     lines.line_report(documents([(1, "some line\nsome line")]), stages).explain()
     plan = capsys.readouterr().out
