@@ -174,15 +174,6 @@ def test_lines_empty_table(documents, stages, rows):
     assert rows(lines.line_report(documents([]), stages)) == []
 
 
-def test_lines_that_differ_inside_a_long_word_stay(documents, stages, rows):
-    data = ["https://example.org/a/one/index.html", "https://example.org/zz/other/index.html",
-            "QUJDREVGR0hJSktMTU5PUFFSU1RVVldYWVo=", "QUJDREVGR0hJmZzh1a2xqc2Rma2xqc2RVVldYWVo=",
-            "ประเทศไทยมีอาหารอร่อยมากมายหลายชนิดให้เลือกรับประทานทุกวันและทุกฤดูกาล",
-            "ประเทศไทยมีอาหารอร่อยมากมายหลายชนิดให้เลือกรับประทานทุกวันและทุกฤดูหนาว"]
-    made = lines.line_report(documents(list(enumerate(data))), stages)
-    assert {r.doc_id for r in made.collect() if r.n_removed} == {5}
-
-
 def test_linked_short_lines_share_a_key(spark):
     """All sizes up to 13 and all differences that links allow."""
     rng = random.Random(7)
