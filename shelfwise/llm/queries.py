@@ -7,14 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.llm import oracle
 from shelfwise.llm.bpe import bpe_digests
 from shelfwise.llm.bwt import remove_repeated_bytes
 from shelfwise.llm.common import Stages
+from shelfwise.llm.contamination import contamination_report
+from shelfwise.llm.conversations import repair_report
 from shelfwise.llm.covertree import near_vectors
 from shelfwise.llm.doubling import remove_repeated_words
 from shelfwise.llm.html import extract_pages
 from shelfwise.llm.langid import identify
 from shelfwise.llm.lines import line_report
+from shelfwise.llm.merkle import manifest_report
 from shelfwise.llm.minhash import near_duplicates
 from shelfwise.llm.mixing import mix
 from shelfwise.llm.quality import quality
@@ -68,16 +72,30 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(table(spark, sf_dir, "conversations"), Stages(spark))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Stages(spark)
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_report(table(spark, sf_dir, "documents"), Stages(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     built = (
         op1_substring_dedup,
         op3_suffix_array_dedup,
         op2_minhash_near_dedup, op4_language_id, op5_line_dedup,
         op6_embedding_near_dedup, op7_quality_rules, op8_html_extraction, op9_mixing,
-        op10_byte_bpe,
+        op10_byte_bpe, op11_conversation_repair, op12_decontamination, op13_merkle_manifest,
     )
     return {f.__name__: f for f in built}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
