@@ -21,12 +21,12 @@ from checks.standin import standin  # noqa: E402
 from shelfwise import refresh_lookups  # noqa: E402
 from shelfwise.sources import INPUTS  # noqa: E402
 
-# From single steps to whole jobs, so the longest run on a warm JVM.
+# Scans, reports and whole jobs. Steps of the job are left out: their queries read what the query
+# before them stored, so their times would say nothing.
 HEADLINE = (
-    "agg_active_skus", "distinct_vendor_catalog", "agg_vendor_product_sales",
-    "agg_market_metrics", "having_private_label", "rank_top10", "antijoin_gap", "pivot_top3",
-    "report_gmv_by_partner_type", "report_min_sku_compliance", "report_opportunity_by_platform",
-    "email_payload", "gap_v1", "gap_v2", "gap_platform_preset", "gap_all",
+    "scan_buyable_rate", "scan_orders",
+    "report_gmv_by_partner_type", "report_opportunity_by_platform", "email_payload",
+    "gap_v1", "gap_v2", "gap_platform_preset", "gap_all",
 )
 
 
@@ -39,7 +39,7 @@ def main() -> None:
     inputs = standin(spark, sf_dir)
     for name in INPUTS:
         getattr(inputs, name)
-    inputs.lookups  # noqa: B018
+    inputs.lookups, inputs.by_month, inputs.gap_result  # noqa: B018
     setup = time.perf_counter() - start
 
     def timed(run) -> float:
@@ -52,9 +52,7 @@ def main() -> None:
 
     built = registry.queries()
     times = {
-        "lookup_refresh": timed(
-            lambda: refresh_lookups(spark, inputs, f"{inputs.root}/lookups-again")
-        )
+        "lookup_refresh": timed(lambda: refresh_lookups(spark, inputs, f"{inputs.root}/lookups-again"))
     }
     for name in HEADLINE:
         times[name] = timed(

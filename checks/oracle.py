@@ -168,6 +168,21 @@ BLOCKS = {
         SELECT ge, v, chain, seg, city, a, sum(qty)::BIGINT AS qty,
                sum({exact('coalesce(paid, 0)')}) AS rev
         FROM t_item JOIN t_product USING (ge, v, p) GROUP BY ALL""",
+    # The job's own grains: known vendors, groups once per product, cells after the vendor's sums.
+    "t_known": """
+        SELECT ge, v, p FROM t_active SEMI JOIN t_dim USING (ge, v)""",
+    "t_face": "SELECT DISTINCT ge, v, vname, seg, city, chain FROM t_dim",
+    "t_side": """
+        SELECT DISTINCT ge, p, 'demand' AS side, d AS a FROM t_lookup WHERE d IS NOT NULL
+        UNION ALL SELECT DISTINCT ge, p, 'supply', s FROM t_lookup WHERE s IS NOT NULL""",
+    "t_sold": f"""
+        SELECT ge, v, a, sum(qty)::BIGINT AS qty, sum({exact('coalesce(paid, 0)')}) AS rev
+        FROM t_item JOIN t_known USING (ge, v, p)
+        JOIN (SELECT ge, p, a FROM t_side WHERE side = 'demand') USING (ge, p) GROUP BY ge, v, a""",
+    "t_presence": """
+        SELECT ge, v, seg, city, any_value(sessions) AS sessions, count(*) AS chain_rows
+        FROM (SELECT DISTINCT ge, v, seg, city, chain FROM t_dim) JOIN t_total USING (ge, v)
+        GROUP BY ge, v, seg, city""",
     "t_metric": f"""
         SELECT ge, seg, city, a, sum(qty)::BIGINT AS qty, {eur('rev')} AS rev,
                count(DISTINCT v) AS sellers,
@@ -284,13 +299,8 @@ _CATALOG = (
     f"SELECT {_GE}, {_V}, a AS alias_product_id, seg AS vertical_segment, city, "
     "vname AS vendor_name, chain AS chain_id FROM t_catalog"
 )
-_PRODUCT = (
-    f"SELECT {_SKU}, a AS alias_product_id, seg AS vertical_segment, city, chain AS chain_id "
-    "FROM t_product"
-)
-_SALE = (
-    f"{_GE}, {_V}, chain AS chain_id, seg AS vertical_segment, city, a AS alias_product_id, "
-    "qty AS quantity_sold, rev::VARCHAR::DOUBLE AS revenue_eur"
+_SOLD = (
+    f"{_GE}, {_V}, a AS alias_product_id, qty AS quantity_sold, rev::VARCHAR::DOUBLE AS revenue_eur"
 )
 _NODE = "SELECT uuid, user_gone AS is_deleted, vendor AS vendor_code, ge AS global_entity_id, "
 _NODE += "node_gone AS node_is_deleted FROM t_node"
@@ -368,20 +378,22 @@ STATEMENTS = {
     "struct_field_access": "SELECT paid AS total_amt_paid_eur FROM t_order_item",
     # ---- joins --------------------------------------------------------------------------------
     "join_catalog_alias_left": f"{_LOOKUP} FROM t_lookup",
-    "join_catalog_alias_inner": f"""SELECT {_GE}, p AS platform_product_id, a AS alias_product_id
-        FROM t_owner JOIN t_demand USING (ge, m)""",
+    "join_catalog_alias_inner": f"""SELECT DISTINCT {_GE}, p AS platform_product_id,
+        a AS alias_product_id FROM t_owner JOIN t_demand USING (ge, m)""",
     "join_bridge": f"""SELECT {_GE}, m AS catalog_master_product_id, d.a AS demand_alias_id,
         s.a AS supply_alias_id FROM t_demand AS d JOIN t_supply AS s USING (ge, m)""",
-    "join_vendor_catalog": _CATALOG,
-    "join_vendor_demand_products": _PRODUCT,
-    "join_order_items": f"""SELECT {_SKU}, a AS alias_product_id, seg AS vertical_segment, city,
-        chain AS chain_id, sum(qty)::BIGINT AS quantity_sold,
+    "join_vendor_catalog": f"""SELECT {_SKU}, a AS alias_product_id, vname AS vendor_name,
+        seg AS vertical_segment, city, chain AS chain_id
+        FROM t_known JOIN t_side USING (ge, p) JOIN t_face USING (ge, v) WHERE side = 'supply'""",
+    "join_vendor_demand_products": f"""SELECT {_SKU}, a AS alias_product_id
+        FROM t_known JOIN t_side USING (ge, p) WHERE side = 'demand'""",
+    "join_order_items": f"""SELECT {_SKU}, count(*) AS items_sold, sum(qty)::BIGINT AS quantity_sold,
         {eur('coalesce(paid, 0)')} AS revenue_eur
-        FROM t_item JOIN t_product USING (ge, v, p) GROUP BY ALL""",
-    "join_sales_sessions": f"""SELECT {_SALE}, sessions AS menu_sessions
-        FROM t_sale LEFT JOIN t_total USING (ge, v)""",
-    "join_candidates_chain": f"""SELECT {_GROUP}, s AS supply_alias_id, {_V}, chain AS chain_id
-        FROM t_carrier""",
+        FROM t_item JOIN t_known USING (ge, v, p) GROUP BY ALL""",
+    "join_sales_sessions": f"""SELECT {_SOLD}, seg AS vertical_segment, city,
+        sessions AS menu_sessions, chain_rows FROM t_sold JOIN t_presence USING (ge, v)""",
+    "join_candidates_chain": f"""SELECT {_GROUP}, {_METRICS}, s AS supply_alias_id,
+        count(DISTINCT chain) AS supply_chains FROM t_carrier GROUP BY ALL""",
     "join_top_to_vendors": f"SELECT {_PAIR} FROM t_pair",
     "join_vendor_context": f"""
         SELECT {_PAIR}, coalesce(t.sessions, 0) AS vendor_sessions,
@@ -399,19 +411,20 @@ STATEMENTS = {
     "agg_active_skus": f"SELECT {_SKU} FROM t_active",
     "agg_vendor_sku_count": f"SELECT {_GE}, {_V}, n AS vendor_active_skus FROM t_skus",
     "distinct_vendor_catalog": _CATALOG,
-    "distinct_vendor_demand_products": _PRODUCT,
+    "distinct_vendor_demand_products": f"""SELECT DISTINCT {_GE}, {_V}, a AS alias_product_id
+        FROM t_product""",
     "distinct_bridge": f"""SELECT {_GE}, d AS demand_alias_id, s AS supply_alias_id
         FROM t_bridge""",
     "distinct_metadata": f"SELECT {_GE}, a AS alias_product_id, {_META} FROM t_meta",
     "distinct_vendors_by_dim": f"""SELECT DISTINCT {_CELL}, {_V}, vname AS vendor_name
         FROM t_catalog""",
     "distinct_vendor_users": f"SELECT uuid, vendor AS vendor_code, {_GE} FROM t_link",
-    "agg_vendor_product_sales": f"SELECT {_SALE} FROM t_sale",
+    "agg_vendor_product_sales": f"SELECT {_SOLD} FROM t_sold",
     "agg_market_metrics": f"SELECT {_GROUP}, {_METRICS} FROM t_metric",
     "having_quality_gate": f"""SELECT {_GROUP}, {_METRICS} FROM t_metric
         WHERE avg_rev >= 60000 AND avg_qty > 20""",
-    "agg_chain_count": f"SELECT {_GROUP}, {_METRICS}, chains AS num_chains FROM t_top",
-    "having_private_label": f"SELECT {_GROUP}, {_METRICS} FROM t_candidate",
+    "agg_chain_count": f"SELECT {_GROUP}, {_METRICS}, chains AS num_chains FROM t_counted",
+    "having_private_label": f"SELECT {_GROUP}, {_METRICS}, chains AS num_chains FROM t_candidate",
     "pivot_top3": f"SELECT {_WIDE} FROM t_priced",
     "agg_total_gap_revenue": f"""SELECT {_KEYED_PAIRS.replace(', a AS alias_product_id', '')},
         total AS total_weighted_est_rev_eur FROM t_priced""",
@@ -425,7 +438,8 @@ STATEMENTS = {
     "qualify": f"""SELECT {_CELL}, {_V}, gmv AS gmv_eur, nth AS turnover_rank FROM (
         SELECT *, row_number() OVER (PARTITION BY ge, seg, city ORDER BY gmv DESC NULLS LAST, v)
         AS nth FROM t_dim) WHERE nth <= 5""",
-    "order_result": f"SELECT {_RESULT} FROM t_result ORDER BY ge, seg, city, v",
+    "order_result": f"""SELECT {_RESULT}, row_number() OVER (ORDER BY ge, seg, city, v, vname, uuid,
+        food, cd_role, multi) AS position FROM t_result""",
     # ---- expressions --------------------------------------------------------------------------
     "safe_divide": f"SELECT {_GE}, {_V}, month AS report_month, "
     f"{ratio('gmv', 'coalesce(sessions, 0)')} AS gmv_per_session FROM t_vendor",

@@ -16,13 +16,17 @@ from shelfwise import GapParams, sku_gap, sku_gap_platforms, sources
 from shelfwise import functions as fn
 from shelfwise.columns import BRIDGE, CELL, ENTITY, LOOKUP, METADATA, SKU, VENDOR, VENDOR_DIMS
 from shelfwise.config import previous_month
+from shelfwise.operators.alias import DEMAND, SUPPLY
 from shelfwise.operators import (
     alias, assortment, demand, gaps, nested, reports, targeting, vendors,
 )
 
 
+TOTALS = ("menu_sessions", "gmv_eur", "vps_v11")
+
+
 class Steps:
-    """The relations of the job over one stand-in, each built from the single operators."""
+    """The relations of the job over one stand-in, made by the functions that the job calls."""
 
     def __init__(self, s: StandIn):
         self.s = s
@@ -43,10 +47,6 @@ class Steps:
     def pairs_of_aliases(self):
         return alias.alias_pairs(self.demand_alias, self.supply_alias)
 
-    @cached_property
-    def lookup(self):
-        return self.s.lookups.lookup
-
     @cached_property
     def bridge(self):
         return self.s.lookups.bridge
@@ -55,6 +55,10 @@ class Steps:
     def metadata(self):
         return self.s.lookups.metadata
 
+    @cached_property
+    def product_groups(self):
+        return self.s.lookups.product_groups()
+
     @cached_property
     def month(self):
         return sources.vendor_month(self.s, REPORT_MONTH)
@@ -64,96 +68,101 @@ class Steps:
         return vendors.vendor_dims(self.month)
 
     @cached_property
-    def sessions(self):
-        return vendors.vendor_sessions(self.dims)
+    def totals(self):
+        return vendors.vendor_totals(self.dims)
 
     @cached_property
-    def totals(self):
-        return self.sessions.join(vendors.vendor_gmv_score(self.dims), VENDOR)
+    def faces(self):
+        return self.s.stored("steps-vendors", vendors.vendor_faces(self.dims))
 
     @cached_property
-    def activity(self):
-        """Stored, like the stages of the job, so each query does not sum the facts again."""
-        rates = sources.active_window_rates(self.s, START, END)
-        return self.s.stored("steps-activity", assortment.sku_activity(rates, self.items))
+    def presence(self):
+        return vendors.vendor_presence(self.faces)
 
     @cached_property
-    def active(self):
-        return self.activity.select(*SKU)
+    def items(self):
+        return sources.order_items(self.s, START, END)
+
+    # Stored where the job stores its stages, so that each query does not repeat the job up to it.
 
     @cached_property
-    def faces(self):
-        return vendors.vendor_faces(self.dims)
+    def everyones(self):
+        """What all vendors sell actively, whether or not the job knows them."""
+        rates = sources.active_window_rates(self.s, START, END)
+        return self.s.stored("steps-activity", assortment.sku_activity(rates, self.items))
 
     @cached_property
-    def groups(self):
-        return self.s.stored("steps-groups", assortment.carried_groups(self.active, self.lookup))
+    def activity(self):
+        """What known vendors sell actively."""
+        return assortment.of_vendors(self.everyones, self.faces)
 
     @cached_property
     def sku_count(self):
-        return assortment.vendor_sku_count(self.active)
+        return assortment.vendor_sku_count(self.everyones)
 
     @cached_property
-    def catalog(self):
-        return assortment.vendor_catalog(self.active, self.dims, self.lookup)
+    def in_groups(self):
+        return assortment.in_groups(self.activity, self.product_groups)
 
     @cached_property
-    def products(self):
-        return assortment.demand_products(self.active, self.dims, self.lookup)
+    def groups(self):
+        return self.s.stored("steps-groups", assortment.vendor_groups(self.in_groups), ("side",))
 
     @cached_property
-    def items(self):
-        return sources.order_items(self.s, START, END)
+    def carried(self):
+        return assortment.carried_groups(self.groups)
 
     @cached_property
     def sales(self):
-        return demand.vendor_product_sales(self.items, self.products)
+        return demand.vendor_group_sales(self.groups)
 
     @cached_property
-    def sales_sessions(self):
-        return demand.with_sessions(self.sales, self.sessions)
+    def sales_in_market(self):
+        return demand.in_market(self.sales, self.presence)
 
     @cached_property
     def metrics(self):
-        return demand.market_metrics(self.sales_sessions)
+        return demand.market_metrics(self.sales_in_market)
 
     @cached_property
-    def gated(self):
-        return demand.quality_gate(self.metrics)
+    def chains(self):
+        return self.s.stored("steps-chains", demand.carrying_chains(self.carried, self.faces))
 
     @cached_property
-    def candidates(self):
-        chains = demand.first_chains(self.groups, self.faces, PARAMS.min_chains)
-        return demand.in_chains(self.gated, self.bridge, chains, PARAMS.min_chains)
+    def carried_products(self):
+        pairs = demand.carried_products(
+            demand.quality_gate(self.metrics), self.bridge, self.chains
+        )
+        return self.s.stored("steps-carried-products", pairs)
 
     @cached_property
-    def leaders(self):
-        return self.s.stored("steps-leaders", demand.rank_top(self.candidates))
+    def counted(self):
+        return demand.chain_counts(self.carried_products, self.chains)
 
     @cached_property
-    def held(self):
-        wanted = demand.bridged(self.leaders.select(*demand.GROUP), self.bridge)
-        return self.s.stored("steps-held", gaps.holders(self.groups, self.faces, wanted))
+    def candidates(self):
+        return demand.in_chains(self.counted)
 
     @cached_property
     def top(self):
-        """The top products with the number of chains that carry each."""
-        spread = self.held.groupBy(*demand.GROUP).agg(
-            F.count_distinct("chain_id").alias("num_chains")
-        )
-        return self.leaders.join(spread, demand.GROUP)
+        return self.s.stored("steps-top", demand.rank_top(self.candidates))
+
+    @cached_property
+    def shops(self):
+        return assortment.stocked_shops(self.faces, self.carried)
 
     @cached_property
     def pairs(self):
-        return gaps.top_to_vendors(self.top, assortment.vendors_by_cell(self.catalog))
+        return gaps.top_to_vendors(self.top, self.shops)
 
     @cached_property
     def missing(self):
-        return gaps.drop_carried(self.pairs, self.held)
+        wanted = demand.bridged(self.top.select(*demand.GROUP), self.bridge)
+        return gaps.drop_carried(self.pairs, gaps.holders(self.carried, self.faces, wanted))
 
     @cached_property
     def priced(self):
-        return gaps.with_vendor_context(self.missing, self.totals)
+        return gaps.priced(self.missing)
 
     @cached_property
     def best(self):
@@ -161,7 +170,7 @@ class Steps:
 
     @cached_property
     def shown(self):
-        return gaps.with_metadata(self.best, self.metadata)
+        return gaps.with_metadata(self.best, gaps.display_of(self.top, self.metadata))
 
     @cached_property
     def wide(self):
@@ -256,13 +265,6 @@ def _date_arith(s: StandIn) -> DataFrame:
     )
 
 
-def _ungrouped_items(s: StandIn) -> DataFrame:
-    return nested.unnest_order_items(s.orders).select(
-        ENTITY, "platform_vendor_id", "item.platform_product_id", "item.quantity_sold",
-        fn.field("item.value_euro.total_amt_paid_eur").alias("total_amt_paid_eur"),
-    )
-
-
 # name -> function of (stand-in, steps)
 _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
     "scan_alias_demand": lambda s, x: sources.alias_demand(s),
@@ -272,8 +274,8 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
         F.unix_timestamp("master_product_created_at_utc").alias("created_second"),
     ),
     "scan_vendor_month": lambda s, x: x.month,
-    "scan_buyable_rate": lambda s, x: sources.active_window_rates(s, START, END),
-    "scan_orders": lambda s, x: x.items,
+    "scan_buyable_rate": lambda s, x: sources.active_window_rates(s.by_month, START, END),
+    "scan_orders": lambda s, x: sources.order_items(s.by_month, START, END),
     "scan_vendor_users": lambda s, x: nested.unnest_vendor_nodes(sources.vendor_users(s)),
     "scan_comms_attributes": lambda s, x: sources.comms_attributes(s),
     "scan_sku_threshold": lambda s, x: sources.sku_threshold(s),
@@ -323,42 +325,46 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
     "unnest_catalog": lambda s, x: nested.unnest_catalog(s.catalog).drop(
         "master_product_created_at_utc"
     ),
-    "unnest_order_items": lambda s, x: _ungrouped_items(s),
+    "unnest_order_items": lambda s, x: nested.order_lines(s.orders),
     "unnest_vendor_nodes_outer": lambda s, x: nested.unnest_vendor_nodes(s.vendor_users),
-    "struct_field_access": lambda s, x: nested.unnest_order_items(s.orders).select(
-        fn.field("item.value_euro.total_amt_paid_eur")
-    ),
+    "struct_field_access": lambda s, x: s.orders.select(F.explode(fn.field("items.value_euro.total_amt_paid_eur")).alias("total_amt_paid_eur")),
     "join_catalog_alias_left": lambda s, x: alias.product_lookup(x.owner, x.pairs_of_aliases),
-    "join_catalog_alias_inner": lambda s, x: alias.products_in_group(x.owner, x.demand_alias),
+    "join_catalog_alias_inner": lambda s, x: _side(x.product_groups, DEMAND),
     "join_bridge": lambda s, x: alias.matched_pairs(x.pairs_of_aliases),
-    "join_vendor_catalog": lambda s, x: x.catalog,
-    "join_vendor_demand_products": lambda s, x: x.products,
-    "join_order_items": lambda s, x: _euros(demand.item_sums(x.items).join(x.products, SKU)),
-    "join_sales_sessions": lambda s, x: _euros(x.sales_sessions),
-    "join_candidates_chain": lambda s, x: demand.carriers(x.gated, x.bridge, x.catalog).select(
-        *demand.GROUP, "supply_alias_id", "platform_vendor_id", "chain_id"
+    "join_vendor_catalog": lambda s, x: assortment.in_cells(
+        _side(x.in_groups, SUPPLY).select(*SKU, "alias_product_id"), x.faces
+    ),
+    "join_vendor_demand_products": lambda s, x: _side(x.in_groups, DEMAND).select(
+        *SKU, "alias_product_id"
     ),
-    "join_top_to_vendors": lambda s, x: x.pairs,
-    "join_vendor_context": lambda s, x: gaps.with_vendor_context(x.pairs, x.totals),
-    "antijoin_gap": lambda s, x: x.missing,
+    "join_order_items": lambda s, x: _euros(x.activity.where("items_sold > 0")),
+    "join_sales_sessions": lambda s, x: _euros(x.sales_in_market),
+    "join_candidates_chain": lambda s, x: x.carried_products,
+    "join_top_to_vendors": lambda s, x: x.pairs.drop(*TOTALS),
+    "join_vendor_context": lambda s, x: gaps.priced(x.pairs),
+    "antijoin_gap": lambda s, x: x.missing.drop(*TOTALS),
     "join_metadata": lambda s, x: x.shown,
     "join_targeting": lambda s, x: x.result,
     "distinct_vendor_dims": lambda s, x: x.dims,
-    "agg_vendor_sessions": lambda s, x: x.sessions,
-    "agg_vendor_gmv_score": lambda s, x: vendors.vendor_gmv_score(x.dims),
-    "agg_active_skus": lambda s, x: x.active,
+    "agg_vendor_sessions": lambda s, x: x.totals.select(*VENDOR, "menu_sessions"),
+    "agg_vendor_gmv_score": lambda s, x: x.totals.select(*VENDOR, "gmv_eur", "vps_v11"),
+    "agg_active_skus": lambda s, x: x.everyones.select(*SKU),
     "agg_vendor_sku_count": lambda s, x: x.sku_count,
-    "distinct_vendor_catalog": lambda s, x: x.catalog,
-    "distinct_vendor_demand_products": lambda s, x: x.products,
+    "distinct_vendor_catalog": lambda s, x: assortment.in_cells(x.carried, x.faces),
+    "distinct_vendor_demand_products": lambda s, x: _side(x.groups, DEMAND).select(
+        *VENDOR, "alias_product_id"
+    ),
     "distinct_bridge": lambda s, x: alias.demand_supply_bridge(x.pairs_of_aliases),
     "distinct_metadata": lambda s, x: alias.product_metadata(s.demand_alias),
-    "distinct_vendors_by_dim": lambda s, x: assortment.vendors_by_cell(x.catalog),
+    "distinct_vendors_by_dim": lambda s, x: x.shops.select(
+        *CELL, "platform_vendor_id", "vendor_name"
+    ),
     "distinct_vendor_users": lambda s, x: x.links,
     "agg_vendor_product_sales": lambda s, x: _euros(x.sales),
     "agg_market_metrics": lambda s, x: x.metrics,
     # The default limits hardly bite on this data.
     "having_quality_gate": lambda s, x: demand.quality_gate(x.metrics, 60000, 20),
-    "agg_chain_count": lambda s, x: x.top.drop("sku_rank"),
+    "agg_chain_count": lambda s, x: x.counted,
     "having_private_label": lambda s, x: x.candidates,
     "pivot_top3": lambda s, x: x.wide,
     "agg_total_gap_revenue": lambda s, x: x.wide.select(
@@ -372,7 +378,7 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
     "rank_top10": lambda s, x: x.top,
     "rank_gap_top3": lambda s, x: x.best,
     "qualify": lambda s, x: _qualify(x),
-    "order_result": lambda s, x: targeting.in_order(x.result),
+    "order_result": lambda s, x: targeting.in_order(s.gap_result, s.stored),
     "safe_divide": lambda s, x: _vendor_expr(s, fn.safe_divide(
         F.col("gmv_eur"), fn.or_default(F.col("menu_sessions"), 0)
     ).alias("gmv_per_session")),
@@ -382,7 +388,7 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
         fn.or_default(F.col("is_key_partner"), False).alias("is_key_partner"),
         fn.or_default(F.col("chain_id"), 999999).alias("chain_id"),
     ),
-    "round2": lambda s, x: _ungrouped_items(s).select(
+    "round2": lambda s, x: nested.order_lines(s.orders).select(
         *SKU, fn.round2(F.col("total_amt_paid_eur")).alias("paid_eur")
     ),
     "lower_not_like": lambda s, x: _vendor_expr(
@@ -396,7 +402,7 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
         .alias("kiosk_sessions"),
     ),
     "date_arith": lambda s, x: _date_arith(s),
-    "weighted_est_revenue": lambda s, x: x.missing.join(x.sessions, VENDOR, "left").select(
+    "weighted_est_revenue": lambda s, x: x.missing.select(
         *CELL, "platform_vendor_id", "alias_product_id",
         fn.weighted_est_revenue(F.col("rev_per_session"), F.col("menu_sessions"))
         .alias("weighted_est_revenue_eur"),
@@ -427,6 +433,10 @@ _QUERIES: dict[str, Callable[[StandIn, Steps], DataFrame]] = {
 _STEPS: dict[StandIn, Steps] = {}
 
 
+def _side(groups: DataFrame, side: str) -> DataFrame:
+    return assortment.on_side(groups, side)
+
+
 def _all_months(rows: DataFrame) -> DataFrame:
     """Vendor rows with the columns of a vendor scan."""
     return rows.select(*VENDOR_DIMS, "vertical", "is_online")

@@ -7,6 +7,7 @@ Each input is written once per session and then read like any stored table.
 from __future__ import annotations
 
 import uuid
+from copy import copy
 from datetime import date
 from functools import cached_property
 
@@ -14,8 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise import (
-    GapParams, Lookups, Period, configure, refresh_lookups, sku_gap, write_result,
+    GapParams, Lookups, Period, configure, read_result, refresh_lookups, run_stages, sku_gap,
+    write_result,
 )
+from shelfwise.columns import SKU
 from shelfwise.operators import assortment
 from shelfwise.session import stage_root
 
@@ -53,13 +56,15 @@ class StandIn:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def stored(self, name: str, df: DataFrame, fact: bool = False) -> DataFrame:
+    def stored(
+        self, name: str, df: DataFrame, by: tuple[str, ...] = (), fact: bool = False
+    ) -> DataFrame:
         """A fact table is spread over files, as its one-file source would be read by one task."""
         path = f"{self.root}/{name}"
         if fact:
-            df = df.repartition(self.spark.sparkContext.defaultParallelism)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+            df = df.repartition(self.spark.sparkContext.defaultParallelism, *by)
+        df.write.mode("overwrite").partitionBy(*by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     @cached_property
     def vendor_count(self) -> int:
@@ -224,13 +229,24 @@ class StandIn:
     def sku_threshold(self) -> DataFrame:
         """Grocery only: kiosks have no threshold on purpose."""
         in_window = self.buyable_rate.where(F.col("date_ref").between(F.lit(START), F.lit(END)))
-        counts = assortment.vendor_sku_count(assortment.active_skus(in_window))
-        return self.stored("sku_threshold", counts.groupBy("global_entity_id").agg(
+        active = in_window.groupBy(*SKU).agg(
+            F.sum("daily_buyable_rate_eligible_ref").alias("rate")).where("rate > 0")
+        return self.stored("sku_threshold", assortment.vendor_sku_count(active).groupBy("global_entity_id").agg(
             (F.max("vendor_active_skus") + 0.75).alias("mature_threshold")
         ).select(
             "global_entity_id", F.lit("grocery").alias("vertical_segment"), "mature_threshold"
         ))
 
+    @cached_property
+    def by_month(self) -> StandIn:
+        """The same inputs with both facts partitioned by month."""
+        dated = copy(self)
+        for name, day in (("buyable_rate", "date_ref"), ("orders", "order_created_date_lt")):
+            fact = getattr(self, name)
+            fact = fact.withColumn(f"{day}_month", F.trunc(day, "month"))
+            setattr(dated, name, self.stored(f"{name}_by_month", fact, (f"{day}_month",), fact=True))
+        return dated
+
     @cached_property
     def lookups(self) -> Lookups:
         """The stored alias tables."""
@@ -241,8 +257,9 @@ class StandIn:
     def gap_result(self) -> DataFrame:
         """The stored result of the gap job over all markets, which the reports read."""
         path = f"{self.root}/gap_result"
-        write_result(sku_gap(self, PARAMS, self.lookups, ordered=False), path)
-        return self.spark.read.parquet(path)
+        with run_stages(self.spark) as stage:
+            write_result(sku_gap(self, PARAMS, self.lookups, stage), path)
+        return read_result(self.spark, path)
 
 
 _OPEN: dict[tuple[str, str], StandIn] = {}

@@ -10,6 +10,7 @@ CELL = [ENTITY, "vertical_segment", "city"]  # one market cell
 
 LOOKUP = [ENTITY, "platform_product_id", "demand_alias_id", "supply_alias_id"]
 BRIDGE = [ENTITY, "demand_alias_id", "supply_alias_id"]
+GROUPS = [ENTITY, "platform_product_id", "side", "alias_product_id"]
 METADATA = [
     ENTITY, "alias_product_id", "catalog_master_product_name_alias",
     "product_name_local", "product_name_english", "primary_barcode", "product_image_url",
@@ -36,6 +37,9 @@ SLOT_ATTRIBUTES = {
     "image_url": "product_image_url",
 }
 
+# What is known of a recipient.
+PEOPLE = ["uuid", "va_vertical_food", "cd_role", "cd_is_multi_vendor_user"]
+
 GAP_KEYS = [*CELL, "platform_vendor_id", "vendor_name", "vendor_sessions"]
 
 
@@ -47,5 +51,5 @@ def gap_result_columns(slots: int = 3) -> list[str]:
         *(f"gap{n}_{a}" for n in range(1, slots + 1) for a in SLOT_ATTRIBUTES),
         "total_weighted_est_rev_eur", "pct_of_vendor_gmv", "vps_v11",
         "vendor_active_skus", "mature_threshold", "targeted_usecase1", "targeted_usecase2",
-        "uuid", "va_vertical_food", "cd_role", "cd_is_multi_vendor_user",
+        *PEOPLE,
     ]

@@ -27,6 +27,11 @@ def in_month(df: DataFrame, month: date, column: str = "report_month") -> DataFr
 
 
 def between(df: DataFrame, column: str, start: date, end: date) -> DataFrame:
+    """Both ends included. A table may be partitioned by the date, or by its month in a column
+    ``<column>_month`` that holds the month's first day; either way other partitions are skipped."""
+    month = f"{column}_month"
+    if month in df.columns:
+        df = df.where(F.col(month).between(F.lit(start.replace(day=1)), F.lit(end)))
     return df.where(F.col(column).between(F.lit(start), F.lit(end)))
 
 

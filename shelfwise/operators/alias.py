@@ -9,6 +9,7 @@ from shelfwise.columns import BRIDGE, ENTITY, LOOKUP, METADATA, PRODUCT
 from shelfwise.functions import primary_rows
 
 MASTER = [ENTITY, "catalog_master_product_id"]
+DEMAND, SUPPLY = "demand", "supply"  # the sides of a product group
 
 
 def latest_catalog_rows(catalog_rows: DataFrame) -> DataFrame:
@@ -48,10 +49,18 @@ def product_lookup(catalog: DataFrame, pairs: DataFrame) -> DataFrame:
     return catalog.join(pairs, MASTER, "left").select(*LOOKUP)
 
 
-def products_in_group(catalog: DataFrame, alias: DataFrame) -> DataFrame:
-    """Platform product -> group of one alias table; products without a group are left out."""
-    return catalog.join(alias.select(*MASTER, "alias_product_id"), MASTER).select(
-        *PRODUCT, "alias_product_id"
+def product_groups(lookup: DataFrame) -> DataFrame:
+    """Platform product -> each of its groups, under both aliases, each once: product, side, group.
+
+    One relation for both sides, so that a job which needs both deals its products out once.
+    """
+    group = F.explode(F.array(*(
+        F.struct(F.lit(side).alias("side"), F.col(f"{side}_alias_id").alias("alias_product_id"))
+        for side in (DEMAND, SUPPLY)
+    )))
+    return (
+        lookup.select(*PRODUCT, group.alias("_group")).select(*PRODUCT, "_group.*")
+        .where("alias_product_id IS NOT NULL").distinct()
     )
 
 

@@ -5,19 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.columns import CELL, ENTITY, PRODUCT, SKU, VENDOR
-from shelfwise.functions import or_default, require, sum_money
-from shelfwise.operators.vendors import vendor_cells
-
-
-def active_skus(rates: DataFrame) -> DataFrame:
-    """Products that were buyable at some time. Days are summed before the shuffle."""
-    return (
-        rates.groupBy(*SKU)
-        .agg(F.sum("daily_buyable_rate_eligible_ref").alias("_rate"))
-        .where("_rate > 0")
-        .select(*SKU)
-    )
+from shelfwise.columns import CELL, PRODUCT, SKU, VENDOR
+from shelfwise.functions import or_default, sum_money
+from shelfwise.operators.alias import SUPPLY
+from shelfwise.operators.vendors import vendor_shops
 
 
 def sku_activity(rates: DataFrame, items: DataFrame) -> DataFrame:
@@ -54,48 +45,36 @@ def vendor_sku_count(active: DataFrame) -> DataFrame:
     return active.groupBy(*VENDOR).agg(F.count("platform_product_id").alias("vendor_active_skus"))
 
 
-def group_map(lookup: DataFrame, alias_column: str) -> DataFrame:
-    """Platform product -> one of its groups; a pair may repeat."""
-    return require(lookup, alias_column).select(
-        *PRODUCT, F.col(alias_column).alias("alias_product_id")
-    )
-
+def in_groups(activity: DataFrame, groups: DataFrame) -> DataFrame:
+    """Active products in each of their groups, demand and supply side, with what was sold of them.
 
-def unique_group_map(lookup: DataFrame, alias_column: str) -> DataFrame:
-    """The same, each pair once. Partitioned by product, so a join on it needs no other shuffle."""
-    return group_map(lookup, alias_column).repartition(*PRODUCT).distinct()
+    The one join that deals activity out by product. Neither side is shuffled for anything else, so
+    adaptive execution can split a product that every vendor sells.
+    """
+    return activity.join(groups, PRODUCT)
 
 
-def carried_groups(active: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Supply groups each vendor carries."""
-    return (
-        active.select(*SKU)
-        .join(group_map(lookup, "supply_alias_id"), PRODUCT)
-        .select(*VENDOR, "alias_product_id")
-        .distinct()
+def vendor_groups(rows: DataFrame) -> DataFrame:
+    """Each group of either side at each vendor, with what was sold of it."""
+    return rows.groupBy(*VENDOR, "side", "alias_product_id").agg(
+        F.sum("items_sold").alias("items_sold"),
+        F.sum("quantity_sold").alias("quantity_sold"),
+        sum_money(F.col("revenue_eur")).alias("revenue_eur"),
     )
 
 
-def vendor_catalog(active: DataFrame, dims: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Supply groups each known vendor carries, with the vendor's cells, names and chains."""
-    faces = dims.select(*VENDOR, "vertical_segment", "city", "vendor_name", "chain_id").distinct()
-    return carried_groups(active, lookup).join(faces, VENDOR).select(
-        *VENDOR, "alias_product_id", "vertical_segment", "city", "vendor_name", "chain_id"
-    )
+def on_side(groups: DataFrame, side: str) -> DataFrame:
+    return groups.where(F.col("side") == side).drop("side")
 
 
-def demand_products(active: DataFrame, dims: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Active products of known vendors with their demand group, cell and chain.
+def carried_groups(groups: DataFrame) -> DataFrame:
+    """Supply groups each vendor carries."""
+    return on_side(groups, SUPPLY).select(*VENDOR, "alias_product_id")
 
-    Duplicates are removed from the small sides before the joins, so the large result needs no
-    distinct.
-    """
-    return (
-        active.select(*SKU)
-        .join(vendor_cells(dims), VENDOR)
-        .join(unique_group_map(lookup, "demand_alias_id"), PRODUCT)
-        .select(*SKU, "alias_product_id", *CELL[1:], "chain_id")
-    )
+
+def in_cells(carried: DataFrame, faces: DataFrame) -> DataFrame:
+    """Carried groups under each name, cell and chain of their vendor."""
+    return carried.join(faces.select(*VENDOR, "vendor_name", *CELL[1:], "chain_id"), VENDOR)
 
 
 def of_vendors(df: DataFrame, vendors: DataFrame) -> DataFrame:
@@ -103,8 +82,9 @@ def of_vendors(df: DataFrame, vendors: DataFrame) -> DataFrame:
     return df.join(vendors.select(*VENDOR), VENDOR, "left_semi")
 
 
-def vendors_by_cell(catalog: DataFrame) -> DataFrame:
-    """Vendors with a catalog, once per name and cell."""
-    return catalog.select(
-        ENTITY, "platform_vendor_id", "vendor_name", "vertical_segment", "city"
-    ).distinct()
+def stocked_shops(faces: DataFrame, carried: DataFrame) -> DataFrame:
+    """The cells and names of the vendors that carry anything, with their totals.
+
+    The distinct shrinks the groups to one row per vendor before they are shuffled.
+    """
+    return of_vendors(vendor_shops(faces), carried.select(*VENDOR).distinct())

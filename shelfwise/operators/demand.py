@@ -5,80 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.columns import BRIDGE, CELL, ENTITY, PRODUCT, SKU, VENDOR
+from shelfwise.columns import BRIDGE, CELL, ENTITY, VENDOR
 from shelfwise.functions import in_euros, or_default, safe_divide, sum_money, times
-from shelfwise.operators.assortment import unique_group_map
+from shelfwise.operators.alias import DEMAND
+from shelfwise.operators.assortment import in_cells, on_side
 
 GROUP = [*CELL, "alias_product_id"]  # one demand group in one market cell
-_SALES = [*VENDOR, "chain_id", "vertical_segment", "city", "alias_product_id"]
+CARRIED = [*CELL, "supply_alias_id"]  # one supply group in one market cell
 
 
-def item_sums(items: DataFrame) -> DataFrame:
-    """Order items summed per vendor and product, so hot products shrink before any join."""
-    return items.groupBy(*SKU).agg(
-        F.sum("quantity_sold").alias("quantity_sold"),
-        sum_money(or_default(F.col("total_amt_paid_eur"), 0.0)).alias("revenue_eur"),
-    )
-
+def vendor_group_sales(groups: DataFrame) -> DataFrame:
+    """Quantity and revenue of each demand group at each vendor that sold any of it."""
+    return on_side(groups, DEMAND).where("items_sold > 0").drop("items_sold")
 
-def vendor_product_sales(items: DataFrame, products: DataFrame) -> DataFrame:
-    """Quantity and revenue of each demand group at each vendor."""
-    return (
-        item_sums(items)
-        .join(products, SKU)
-        .groupBy(*_SALES)
-        .agg(
-            F.sum("quantity_sold").alias("quantity_sold"),
-            sum_money(F.col("revenue_eur")).alias("revenue_eur"),
-        )
-    )
 
+def in_market(sales: DataFrame, presence: DataFrame) -> DataFrame:
+    """A vendor's sales in each of its cells, with its sessions.
 
-def vendor_group_sales(activity: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Quantity and revenue of each demand group at each vendor, from summed activity."""
-    return (
-        activity.where("items_sold > 0")
-        .select(*SKU, "quantity_sold", "revenue_eur")
-        .join(unique_group_map(lookup, "demand_alias_id"), PRODUCT)
-        .groupBy(*VENDOR, "alias_product_id")
-        .agg(
-            F.sum("quantity_sold").alias("quantity_sold"),
-            sum_money(F.col("revenue_eur")).alias("revenue_eur"),
-        )
-    )
-
-
-def with_sessions(sales: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Add the sessions of the selling vendor."""
-    return sales.join(sessions.select(*VENDOR, "menu_sessions"), VENDOR, "left")
-
-
-def market_metrics(sales_sessions: DataFrame) -> DataFrame:
-    """Demand of each group in each cell.
-
-    Sessions are summed per sales row, so a vendor that sells under two chains counts twice. The
-    distinct vendor count runs in two steps, the first spread over vendors, so one hot group does
-    not land on one task.
+    Cells are attached after the vendor's sums, as they depend on the vendor alone.
     """
-    return sales_sessions.groupBy(*GROUP).agg(
-        *_metrics(
-            F.sum("quantity_sold"),
-            sum_money(F.col("revenue_eur")),
-            F.count_distinct("platform_vendor_id"),
-            F.sum("menu_sessions"),
-        )
-    )
+    return sales.join(presence, VENDOR)
 
 
-def cell_metrics(sales: DataFrame, presence: DataFrame) -> DataFrame:
-    """The same relation from ``vendor_group_sales``.
+def market_metrics(rows: DataFrame) -> DataFrame:
+    """Demand of each group in each cell, from ``in_market``.
 
-    Cells are attached after the vendor's sums, as they depend on the vendor alone. With each
-    vendor once per cell, and its chain rows as a weight, vendors need no distinct count: all is
-    summed before the one shuffle.
+    Sales and sessions count once per chain row, so a vendor that sells under two chains counts
+    twice. With each vendor once per cell, and its chain rows as a weight, vendors need no distinct
+    count: all is summed before the one shuffle.
     """
     weight = F.col("chain_rows")
-    return sales.join(presence, VENDOR).groupBy(*GROUP).agg(
+    return rows.groupBy(*GROUP).agg(
         *_metrics(
             F.sum(F.col("quantity_sold") * weight),
             sum_money(times(F.col("revenue_eur"), weight)),
@@ -117,49 +74,58 @@ def bridged(products: DataFrame, bridge: DataFrame) -> DataFrame:
     return products.join(pairs, [ENTITY, "alias_product_id"])
 
 
-def carriers(products: DataFrame, bridge: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Catalog rows, in the product's own cell, that carry the product under any supply group."""
-    rows = catalog.withColumnRenamed("alias_product_id", "supply_alias_id")
-    return bridged(products, bridge).join(rows, [*CELL, "supply_alias_id"])
+def carrying_chains(carried: DataFrame, faces: DataFrame) -> DataFrame:
+    """The chains that carry each supply group in each cell, each once; NULL for chainless vendors.
+
+    Every vendor of a chain offers the same row, so the distinct shrinks them before the shuffle,
+    and it spreads a hot group over its chains.
+    """
+    rows = in_cells(carried, faces).withColumnRenamed("alias_product_id", "supply_alias_id")
+    return rows.select(*CARRIED, "chain_id").distinct()
 
 
-def _own_columns(products: DataFrame) -> list[Column]:
-    return [F.any_value(c).alias(c) for c in products.columns if c not in GROUP]
+def carried_products(products: DataFrame, bridge: DataFrame, chains: DataFrame) -> DataFrame:
+    """Each supply group that stands for a product and is carried in the product's own cell, with
+    the number of chains that carry it. A group's chains are counted once, not once per product."""
+    sizes = chains.groupBy(*CARRIED).agg(F.count("chain_id").alias("supply_chains"))
+    return bridged(products, bridge).join(sizes, CARRIED)
 
 
-def first_chains(groups: DataFrame, cells: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` chains that carry each supply group in each cell.
+def chain_counts(pairs: DataFrame, chains: DataFrame) -> DataFrame:
+    """``num_chains`` of every product, from ``carried_products``: the exact distinct number of chains
+    that carry any of its supply groups in its cell.
 
-    Every vendor of a chain offers the same row, so the distinct shrinks them before the shuffle,
-    and the rank filter leaves each input partition ``most`` rows per group. Vendors without a
-    chain do not count.
+    The chains of a product's largest supply group are known by their number. Only those of its
+    other groups are listed, and count if they do not carry the largest one. So a supply group that
+    merges very many products is not multiplied by its chains, and most products list none.
     """
-    chains = (
-        groups.join(cells.select(*VENDOR, *CELL[1:], "chain_id"), VENDOR)
-        .where("chain_id IS NOT NULL")
-        .select(*CELL, "alias_product_id", "chain_id").distinct()
+    own = [c for c in pairs.columns if c not in (*GROUP, "supply_alias_id", "supply_chains")]
+    largest = F.max(F.struct("supply_chains", "supply_alias_id"))
+    products = pairs.groupBy(*GROUP).agg(
+        *(F.any_value(c).alias(c) for c in own), largest.alias("_largest"), F.count("*").alias("_groups")
+    )
+    several = products.where("_groups > 1").select(
+        *GROUP, F.col("_largest.supply_alias_id").alias("_base"))
+    others = (
+        pairs.select(*GROUP, "supply_alias_id").join(several, GROUP)
+        .where("supply_alias_id <> _base")
+        .join(chains.where("chain_id IS NOT NULL"), CARRIED)
+        .select(*GROUP, "_base", "chain_id").distinct()
+    )
+    known = chains.withColumnRenamed("supply_alias_id", "_base")
+    more = (
+        others.join(known, [*CELL, "_base", "chain_id"], "left_anti")
+        .groupBy(*GROUP).agg(F.count("*").alias("_more"))
+    )
+    return products.join(more, GROUP, "left").select(
+        *GROUP, *own,
+        (F.col("_largest.supply_chains") + or_default(F.col("_more"), 0)).alias("num_chains"),
     )
-    nth = F.row_number().over(Window.partitionBy(*CELL, "alias_product_id").orderBy("chain_id"))
-    return chains.withColumn("_nth", nth).where(F.col("_nth") <= most).drop("_nth")
-
 
-def in_chains(
-    products: DataFrame, bridge: DataFrame, chains: DataFrame, least: int = 2
-) -> DataFrame:
-    """Products carried by ``least`` chains or more, from ``first_chains`` of as many.
 
-    A supply group with that many chains passes by itself, and a smaller one is there in full, so
-    the gate is exact while no group brings more than ``least`` rows to the bridge.
-    """
-    rows = chains.withColumnRenamed("alias_product_id", "supply_alias_id")
-    return (
-        bridged(products, bridge)
-        .join(rows, [*CELL, "supply_alias_id"])
-        .groupBy(*GROUP)
-        .agg(*_own_columns(products), F.count_distinct("chain_id").alias("_chains"))
-        .where(F.col("_chains") >= least)
-        .drop("_chains")
-    )
+def in_chains(counted: DataFrame, least: int = 2) -> DataFrame:
+    """Products carried by ``least`` chains or more."""
+    return counted.where(F.col("num_chains") >= least)
 
 
 def rank_top(candidates: DataFrame, k: int = 10) -> DataFrame:

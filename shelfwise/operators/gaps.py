@@ -15,11 +15,6 @@ def top_to_vendors(top: DataFrame, vendors: DataFrame) -> DataFrame:
     return top.join(vendors, CELL)
 
 
-def with_vendor_context(pairs: DataFrame, totals: DataFrame) -> DataFrame:
-    """Add sessions, turnover and score, and price the gap by the vendor's sessions."""
-    return priced(pairs.join(totals, VENDOR, "left"))
-
-
 def priced(pairs: DataFrame) -> DataFrame:
     """Price the gap by the sessions of the vendor, whose totals are beside it."""
     sessions = or_default(F.col("menu_sessions"), 0)
@@ -33,23 +28,20 @@ def priced(pairs: DataFrame) -> DataFrame:
     )
 
 
-def holders(groups: DataFrame, cells: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Who carries each top product in its own cell: cell, product, vendor and chain.
+def holders(carried: DataFrame, faces: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Who carries each top product in its own cell: cell, product and vendor.
 
     ``wanted`` is the handful of bridged top products. It thins the large carried groups by a
     semi-join before cells are attached, so a supply group that is a top product in many cells is
     not multiplied by them.
     """
-    rows = groups.withColumnRenamed("alias_product_id", "supply_alias_id")
+    rows = carried.withColumnRenamed("alias_product_id", "supply_alias_id").join(
+        wanted.select(ENTITY, "supply_alias_id"), [ENTITY, "supply_alias_id"], "left_semi"
+    )
+    cells = faces.select(*VENDOR, *CELL[1:]).distinct()
     return (
-        rows.join(
-            wanted.select(ENTITY, "supply_alias_id"),
-            [ENTITY, "supply_alias_id"],
-            "left_semi",
-        )
-        .join(cells.select(*VENDOR, *CELL[1:], "chain_id"), VENDOR)
-        .join(wanted, [*CELL, "supply_alias_id"])
-        .select(*CELL, "alias_product_id", "platform_vendor_id", "chain_id")
+        rows.join(cells, VENDOR).join(wanted, [*CELL, "supply_alias_id"])
+        .select(*CELL, "alias_product_id", "platform_vendor_id")
     )
 
 

@@ -23,13 +23,8 @@ def unnest_catalog(catalog: DataFrame) -> DataFrame:
     )
 
 
-def unnest_order_items(orders: DataFrame) -> DataFrame:
-    """One row per order item, as struct ``item``; orders without items vanish."""
-    return orders.select(ENTITY, "platform_vendor_id", F.explode("items").alias("item"))
-
-
 def order_lines(orders: DataFrame) -> DataFrame:
-    """The three fields of each order item that the jobs use.
+    """One row per order item, with the three fields that the jobs use; orders without items vanish.
 
     An exploded item struct is read whole as soon as two of its fields are used. Zipping the wanted
     fields first lets the reader skip all others, which in real orders are most of the bytes.

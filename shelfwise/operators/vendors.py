@@ -20,14 +20,6 @@ def _largest(column: str):
     return F.max(or_default(F.col(column), 0)).alias(column)
 
 
-def vendor_sessions(dims: DataFrame) -> DataFrame:
-    return dims.groupBy(*VENDOR).agg(_largest("menu_sessions"))
-
-
-def vendor_gmv_score(dims: DataFrame) -> DataFrame:
-    return dims.groupBy(*VENDOR).agg(_largest("gmv_eur"), _largest("vps_v11"))
-
-
 def vendor_totals(dims: DataFrame) -> DataFrame:
     """Sessions, turnover and score in one pass."""
     return dims.groupBy(*VENDOR).agg(
@@ -35,11 +27,6 @@ def vendor_totals(dims: DataFrame) -> DataFrame:
     )
 
 
-def vendor_cells(dims: DataFrame) -> DataFrame:
-    """The market cells and chains each vendor belongs to."""
-    return dims.select(*VENDOR, "vertical_segment", "city", "chain_id").distinct()
-
-
 def vendor_faces(dims: DataFrame) -> DataFrame:
     """Each name, cell and chain of a vendor, beside the vendor's totals.
 

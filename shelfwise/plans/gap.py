@@ -20,9 +20,7 @@ from shelfwise.sources import Lookups, Sources
 def inline_lookups(src: Sources, entities, stage: Stage) -> Lookups:
     """The alias tables' relations for one run, without stored lookup tables."""
     built = build_lookups(src, entities, stage)
-    return Lookups(
-        stage("lookup", built.lookup), stage("bridge", built.bridge), built.metadata
-    )
+    return Lookups(built.lookup, stage("bridge", built.bridge), built.metadata)
 
 
 def sku_gap(
@@ -30,12 +28,13 @@ def sku_gap(
     params: GapParams,
     lookups: Lookups | None = None,
     stage: Stage | None = None,
-    ordered: bool = True,
+    ordered: bool = False,
 ) -> DataFrame:
     """One row per vendor, market cell and recipient, with the vendor's best gaps side by side.
 
     ``lookups`` are the stored alias tables; without them they are built for this run. ``stage``
-    says where intermediate tables go; by default, to the session's checkpoint folder.
+    says where intermediate tables go; by default, to the session's checkpoint folder. ``ordered``
+    adds a column ``position``.
     """
     spark = configure(src.orders.sparkSession)
     stage = stage or table_stage(spark)
@@ -45,15 +44,21 @@ def sku_gap(
     dims = vendors.vendor_dims(sources.vendor_month(src, period.report_month, entities))
     faces = stage("vendors", vendors.vendor_faces(dims))
 
-    # Both fact tables, read once and reduced to one row per active product of a known vendor.
+    # Both fact tables, read once and reduced to one row per active product of a known vendor; then
+    # dealt out by product once, for the groups of both aliases.
     activity = stage("activity", _activity(src, params, faces))
-    groups = stage("carried_groups", assortment.carried_groups(activity, tables.lookup))
+    groups = stage(
+        "vendor_groups",
+        assortment.vendor_groups(assortment.in_groups(activity, tables.product_groups())),
+        by=("side",),
+    )
+    carried = assortment.carried_groups(groups)
 
-    top = stage("top_products", _top_products(params, activity, groups, faces, tables))
-    wanted = stage("wanted_groups", demand.bridged(top.select(*demand.GROUP), tables.bridge))
-    held = stage("holders", gaps.holders(groups, faces, wanted))
+    top = stage("top_products", _top_products(params, groups, carried, faces, tables, stage))
+    wanted = demand.bridged(top.select(*demand.GROUP), tables.bridge)
+    held = gaps.holders(carried, faces, wanted)
 
-    ranked = _ranked_gaps(params, top, held, groups, faces)
+    ranked = _ranked_gaps(params, top, held, carried, faces)
     shown = gaps.with_metadata(ranked, gaps.display_of(top, tables.metadata))
     targeted = targeting.with_targeting(
         gaps.pivot_gaps(shown, params.gaps_per_vendor),
@@ -66,7 +71,7 @@ def sku_gap(
         sources.comms_attributes(src),
     )
     result = targeting.with_recipients(targeted, contacts, params.gaps_per_vendor)
-    return targeting.in_order(result) if ordered else result
+    return targeting.in_order(result, stage) if ordered else result
 
 
 def sku_gap_platforms(
@@ -75,7 +80,8 @@ def sku_gap_platforms(
 ) -> DataFrame:
     """Several market presets in one job, each row tagged with its preset.
 
-    Every step is keyed by market, so this equals one run per preset but reads the facts once.
+    Every step is keyed by market, so this equals one run per preset but reads the facts once. Write
+    it with ``by=("platform",)``, and who reads one preset reads nothing of the others.
     """
     markets = tuple(chain.from_iterable(PLATFORMS[p] for p in platforms))
     params = GapParams(period=period, entities=markets, **changes)
@@ -99,20 +105,18 @@ def _activity(src: Sources, params: GapParams, faces: DataFrame) -> DataFrame:
     )
 
 
-def _top_products(params, activity, groups, faces, tables: Lookups) -> DataFrame:
-    sales = demand.vendor_group_sales(activity, tables.lookup)
-    metrics = demand.cell_metrics(sales, vendors.vendor_presence(faces))
-    passed = demand.quality_gate(metrics, params.min_avg_revenue, params.min_avg_qty)
-    chains = demand.first_chains(groups, faces, params.min_chains)
-    candidates = demand.in_chains(passed, tables.bridge, chains, params.min_chains)
+def _top_products(params, groups, carried, faces, tables: Lookups, stage: Stage) -> DataFrame:
+    sales = demand.in_market(demand.vendor_group_sales(groups), vendors.vendor_presence(faces))
+    passed = demand.quality_gate(
+        demand.market_metrics(sales), params.min_avg_revenue, params.min_avg_qty
+    )
+    chains = stage("chains", demand.carrying_chains(carried, faces))
+    pairs = stage("carried_products", demand.carried_products(passed, tables.bridge, chains))
+    candidates = demand.in_chains(demand.chain_counts(pairs, chains), params.min_chains)
     return demand.rank_top(candidates, params.top_products)
 
 
-def _ranked_gaps(params, top, held, groups, faces) -> DataFrame:
-    spread = held.groupBy(*demand.GROUP).agg(F.count_distinct("chain_id").alias("num_chains"))
-    # The distinct shrinks the groups to one row per vendor before they are shuffled.
-    stocked = groups.select(*VENDOR).distinct()
-    shops = assortment.of_vendors(vendors.vendor_shops(faces), stocked)
-    pairs = gaps.top_to_vendors(top.join(spread, demand.GROUP), shops)
+def _ranked_gaps(params, top, held, carried, faces) -> DataFrame:
+    pairs = gaps.top_to_vendors(top, assortment.stocked_shops(faces, carried))
     missing = gaps.drop_carried(pairs, held)
     return gaps.rank_gaps(gaps.priced(missing), params.gaps_per_vendor)

@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 from shelfwise import sources
 from shelfwise.functions import by_entities
 from shelfwise.operators import alias
-from shelfwise.session import Stage, configure, lazy, table_stage
+from shelfwise.session import Stage, configure, lazy, run_stages
 from shelfwise.sources import Lookups, Sources, write_lookups
 
 
@@ -25,8 +25,9 @@ def build_lookups(src: Sources, entities=None, stage: Stage = lazy) -> Lookups:
     )
 
 
-def refresh_lookups(spark: SparkSession, src: Sources, root: str) -> Lookups:
-    """Replace the three tables under ``root`` in one step and read them back."""
+def refresh_lookups(spark: SparkSession, src: Sources, root: str, keep: int = 2) -> Lookups:
+    """Replace the tables under ``root`` in one step and read them back. ``keep`` versions stay."""
     configure(spark)
-    write_lookups(build_lookups(src, stage=table_stage(spark)), root)
+    with run_stages(spark) as stage:
+        write_lookups(build_lookups(src, stage=stage), root, keep)
     return Lookups.from_folder(spark, root)

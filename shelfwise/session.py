@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
-Stage = Callable[[str, DataFrame], DataFrame]
+
+class Stage(Protocol):
+    """Takes an intermediate relation, possibly stored; ``by`` are columns its readers filter on."""
+
+    def __call__(self, name: str, df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame: ...
+
 
 # Join strategy is left to Spark, so that only a side whose size has been measured is broadcast:
 # adaptive execution compares the finished shuffle's bytes with the broadcast threshold and falls
@@ -49,22 +56,44 @@ def _local_root() -> str:
     return tempfile.mkdtemp(prefix="shelfwise-")
 
 
-def lazy(_name: str, df: DataFrame) -> DataFrame:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def lazy(_name: str, df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """A stage that stays part of one lazy plan."""
     return df
 
 
-def table_stage(spark: SparkSession, root: str | None = None) -> Stage:
-    """Stages written as parquet tables of this run.
+class table_stage:  # noqa: N801  used like a function
+    """Stages written as parquet tables of this run, in a folder of its own.
 
     A stage table is computed once however many steps read it, outlives lost executors, lets each
-    reader prune columns, and gives the planner a true size for the joins that follow.
+    reader prune columns and ``by`` values, and gives the planner a true size for the joins that
+    follow. The folder stays until ``drop``; results read it when they are computed.
     """
-    run = f"{(root or stage_root(spark)).rstrip('/')}/run-{uuid.uuid4().hex[:12]}"
 
-    def stage(name: str, df: DataFrame) -> DataFrame:
-        path = f"{run}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+    def __init__(self, spark: SparkSession, root: str | None = None):
+        self.spark = spark
+        self.folder = f"{(root or stage_root(spark)).rstrip('/')}/run-{uuid.uuid4().hex[:12]}"
+
+    def __call__(self, name: str, df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        df.write.mode("overwrite").partitionBy(*by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    def drop(self) -> None:
+        remove(self.spark, self.folder)
+
 
-    return stage
+@contextmanager
+def run_stages(spark: SparkSession, root: str | None = None) -> Iterator[table_stage]:
+    """Stages for one run, whose folder goes at the end of the block, also after a failure. Write
+    or collect the result inside the block."""
+    stage = table_stage(spark, root)
+    try:
+        yield stage
+    finally:
+        stage.drop()

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import time
-import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from shelfwise.columns import BRIDGE, ENTITY, LOOKUP, METADATA
+from shelfwise.columns import BRIDGE, ENTITY, GROUPS, LOOKUP, METADATA
 from shelfwise.functions import by_entities
+from shelfwise.operators.alias import product_groups
+from shelfwise.sources.versions import Versions
 
 
 @dataclass(frozen=True)
@@ -39,70 +38,62 @@ class Sources:
         return cls(**{n: spark.table(names[n]) for n in INPUTS})
 
 
-#: Which versions of the lookup tables were written, and when.
-_CURRENT = "written long, version string"
-
 INPUTS = tuple(f.name for f in fields(Sources))
 
 
 @dataclass(frozen=True)
 class Lookups:
-    """Derived product-alias tables: lookup, bridge and display metadata."""
+    """Derived product-alias tables: lookup, bridge and display metadata, and the lookup's groups of
+    each product, one row each, which are derived where they are not given."""
 
     lookup: DataFrame
     bridge: DataFrame
     metadata: DataFrame
+    groups: DataFrame | None = None
 
     @classmethod
     def from_folder(cls, spark: SparkSession, root: str) -> Lookups:
         """The version that was written completely last."""
-        newest = F.max_by("version", "written")
-        current = spark.read.schema(_CURRENT).parquet(f"{root}/current").agg(newest).first()[0]
-        return cls(
-            spark.read.parquet(f"{root}/{current}/lookup").select(*LOOKUP),
-            spark.read.parquet(f"{root}/{current}/bridge").select(*BRIDGE),
-            spark.read.parquet(f"{root}/{current}/metadata").select(*METADATA),
-        )
+        return cls(*Versions(spark, root).read("lookup", "bridge", "metadata", "groups"))
 
     @classmethod
     def from_tables(cls, spark: SparkSession, names: Mapping[str, str]) -> Lookups:
+        """Catalog tables, given as field -> table name; ``groups`` may be missing."""
         return cls(
             spark.table(names["lookup"]).select(*LOOKUP),
             spark.table(names["bridge"]).select(*BRIDGE),
             spark.table(names["metadata"]).select(*METADATA),
+            spark.table(names["groups"]).select(*GROUPS) if "groups" in names else None,
         )
 
     def only(self, entities) -> Lookups:
-        """Restrict all three to the given markets; prunes partitions of written tables."""
-        return Lookups(
-            by_entities(self.lookup, entities),
-            by_entities(self.bridge, entities),
-            by_entities(self.metadata, entities),
-        )
+        """Restrict all of them to the given markets; prunes partitions of written tables."""
+        return Lookups(*(
+            by_entities(df, entities)
+            for df in (self.lookup, self.bridge, self.metadata, self.product_groups())
+        ))
 
+    def product_groups(self) -> DataFrame:
+        return product_groups(self.lookup) if self.groups is None else self.groups
 
-def write_lookups(lookups: Lookups, root: str) -> None:
-    """Replace the three tables under ``root``, partitioned by market, in one step.
 
-    A version gets a folder of its own and becomes current by one row that is added at the end.
-    Readers see the old version until then, also when the write fails half way. Old versions stay;
-    remove their folders when no job reads them any more.
+def write_lookups(lookups: Lookups, root: str, keep: int = 2) -> None:
+    """Replace the tables under ``root``, partitioned by market, in one step; see ``Versions``."""
+    with Versions(lookups.lookup.sparkSession, root).writing(keep) as new:
+        lookup = new.put("lookup", lookups.lookup, [ENTITY])
+        new.put("bridge", lookups.bridge, [ENTITY])
+        new.put("metadata", lookups.metadata, [ENTITY])
+        # From what is written, so that the catalog is not joined again.
+        new.put("groups", product_groups(lookup), [ENTITY])
 
-    The rebalance hint gathers each market into few files and splits a market that outweighs the
-    others, so that a market with a third of all products is not written by one task.
-    """
-    version = f"version-{uuid.uuid4().hex[:12]}"
-    for name in ("lookup", "bridge", "metadata"):
-        df: DataFrame = getattr(lookups, name)
-        (
-            df.hint("rebalance", ENTITY)
-            .write.partitionBy(ENTITY).parquet(f"{root}/{version}/{name}")
-        )
-    spark = lookups.lookup.sparkSession
-    row = spark.createDataFrame([(time.time_ns(), version)], _CURRENT)
-    row.coalesce(1).write.mode("append").parquet(f"{root}/current")
+
+def write_result(result: DataFrame, root: str, by: tuple[str, ...] = (ENTITY,), keep: int = 2) -> None:
+    """Replace the stored gap result in one step, partitioned by market, or by preset with
+    ``by=("platform",)``; see ``Versions``. Its own inputs may be an older version."""
+    with Versions(result.sparkSession, root).writing(keep) as new:
+        new.put("result", result, list(by))
 
 
-def write_result(result: DataFrame, path: str) -> None:
-    """Replace the stored gap result."""
-    result.write.mode("overwrite").parquet(path)
+def read_result(spark: SparkSession, root: str) -> DataFrame:
+    """The gap result that was written completely last. Filters on its partitions skip the others."""
+    return Versions(spark, root).read("result")[0]

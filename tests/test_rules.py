@@ -1,11 +1,12 @@
 """One small case for each rule that is easy to get wrong."""
 
+import random
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise import PLATFORMS, GapParams, Period, sku_gap, sources
+from shelfwise import PLATFORMS, GapParams, Period, build_lookups, sku_gap, sources
 from shelfwise import functions as fn
 from shelfwise.columns import gap_result_columns
 from shelfwise.operators import alias, assortment, demand, gaps, nested, reports, vendors
@@ -204,8 +205,9 @@ def test_active_needs_a_positive_sum(spark):
         buyable("v", "once", rate=0.0), buyable("v", "once", rate=0.01),
         buyable("v", "later", day=date(2026, 6, 1)),
     ])
-    active = assortment.active_skus(
-        sources.active_window_rates(src, micro.MONTH, date(2026, 5, 31))
+    window = (micro.MONTH, date(2026, 5, 31))
+    active = assortment.sku_activity(
+        sources.active_window_rates(src, *window), sources.order_items(src, *window)
     )
     assert rows(active, "platform_product_id") == [("once",)]
 
@@ -225,22 +227,68 @@ def test_vendor_under_two_chains_counts_sessions_twice(spark):
     lookup = alias.product_lookup(
         alias.latest_catalog_rows(sources.catalog_products(src)), alias.alias_pairs(d, s)
     )
-    sales = demand.vendor_product_sales(
-        items, assortment.demand_products(assortment.active_skus(rates), dims, lookup)
-    )
-    by_rows = demand.market_metrics(demand.with_sessions(sales, vendors.vendor_sessions(dims)))
     activity = assortment.sku_activity(rates, items)
-    by_weight = demand.cell_metrics(
-        demand.vendor_group_sales(activity, lookup),
-        vendors.vendor_presence(vendors.vendor_faces(dims)),
+    groups = assortment.vendor_groups(assortment.in_groups(activity, alias.product_groups(lookup)))
+    presence = vendors.vendor_presence(vendors.vendor_faces(dims))
+    m = demand.market_metrics(
+        demand.in_market(demand.vendor_group_sales(groups), presence)
+    ).collect()
+    assert len(m) == 1
+    assert m[0].total_quantity_sold == 2 + 2 + 4
+    assert m[0].total_revenue_eur == 15.0
+    assert m[0].num_vendors_sold == 2
+    assert m[0].rev_per_session == 15.0 / (30 + 30 + 5)
+
+
+def test_a_product_counts_once_in_each_of_its_groups(spark):
+    """A lookup row per pair of groups must not multiply what was sold."""
+    src = micro.sources(
+        spark, vendor_month=[vendor("v1", chain="1")],
+        catalog=[listing("m1", "p1"), listing("m2", "p2")],
+        demand_alias=[d_alias("m1", "d1"), d_alias("m1", "d2"), d_alias("m2", "d1")],
+        supply_alias=[supply("m1", "s1"), supply("m1", "s2"), supply("m1", "s3")],
+        buyable_rate=[buyable("v1", "p1"), buyable("v1", "p2")],
+        orders=[order("v1", ("p1", 2, 7.5), ("p2", 1, 1.0)), order("v1", ("p1", 1, None))],
     )
-    for metrics in (by_rows, by_weight):
-        m = metrics.collect()
-        assert len(m) == 1
-        assert m[0].total_quantity_sold == 2 + 2 + 4
-        assert m[0].total_revenue_eur == 15.0
-        assert m[0].num_vendors_sold == 2
-        assert m[0].rev_per_session == 15.0 / (30 + 30 + 5)
+    window = (micro.MONTH, date(2026, 5, 31))
+    activity = assortment.sku_activity(
+        sources.active_window_rates(src, *window), sources.order_items(src, *window))
+    lookup = build_lookups(src).lookup
+    assert lookup.count() == 7
+    groups = assortment.vendor_groups(assortment.in_groups(activity, alias.product_groups(lookup)))
+    assert rows(demand.vendor_group_sales(groups), "alias_product_id", "quantity_sold") == [
+        ("d1", 4), ("d2", 3)]
+    assert rows(assortment.carried_groups(groups), "alias_product_id") == [("s1",), ("s2",), ("s3",)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_chains_are_counted_exactly(spark, seed):
+    """Against sets, with supply groups shared, nested, chainless and absent."""
+    r = random.Random(seed)
+    cell = ("E", "s", "c")
+    carried = {(s, r.choice([None, *range(6)])) for s in range(12) for _ in range(r.randrange(5))}
+    bridge = {(d, r.randrange(14)) for d in range(25) for _ in range(r.randrange(1, 5))}
+    chains = spark.createDataFrame(
+        [(*cell, *x) for x in carried],
+        "global_entity_id string, vertical_segment string, city string, supply_alias_id long, "
+        "chain_id long")
+    products = spark.createDataFrame(
+        [(*cell, d, 10 * d) for d in range(25)],
+        "global_entity_id string, vertical_segment string, city string, alias_product_id long, "
+        "total_quantity_sold long")
+    pairs = demand.carried_products(products, spark.createDataFrame(
+        [("E", *x) for x in bridge],
+        "global_entity_id string, demand_alias_id long, supply_alias_id long"), chains)
+    got = demand.chain_counts(pairs, chains)
+    want = {}
+    for d, s in bridge:
+        for t, chain in carried:
+            if s == t:
+                want.setdefault(d, set()).add(chain)
+    assert rows(got, "alias_product_id", "total_quantity_sold", "num_chains") == sorted(
+        (d, 10 * d, len(found - {None})) for d, found in want.items())
+    assert rows(demand.in_chains(got, 3), "alias_product_id") == sorted(
+        (d,) for d, found in want.items() if len(found - {None}) >= 3)
 
 
 def test_quality_gate_bounds(spark):
@@ -377,7 +425,7 @@ def test_preset_selects_its_markets(market):
 
 
 def test_reports_count_a_vendor_once(spark, market):
-    got = sku_gap(market, micro.PARAMS, ordered=False)
+    got = sku_gap(market, micro.PARAMS)
     targeted = {r.platform_vendor_id: r.total_weighted_est_rev_eur for r in got.collect()
                 if r.targeted_usecase1}
     total = sum(targeted.values())
@@ -408,8 +456,9 @@ def test_compliance_counts_vendors_with_nothing_active(spark):
         sku_threshold=[("GV_ES", "grocery", 2), ("PY_AR", "grocery", 1)],
     )
     dims = vendors.vendor_dims(sources.vendor_month(src, micro.MONTH))
-    counts = assortment.vendor_sku_count(assortment.active_skus(
-        sources.active_window_rates(src, micro.MONTH, date(2026, 5, 31))
+    window = (micro.MONTH, date(2026, 5, 31))
+    counts = assortment.vendor_sku_count(assortment.sku_activity(
+        sources.active_window_rates(src, *window), sources.order_items(src, *window)
     ))
     table = reports.min_sku_compliance(dims, counts, sources.sku_threshold(src))
     assert [tuple(r) for r in table.collect()] == [

@@ -8,11 +8,11 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise import build_lookups, lazy, sku_gap, sources
-from shelfwise.operators import assortment, demand, gaps
+from shelfwise import build_lookups, lazy, refresh_lookups, sku_gap, sources, table_stage
+from shelfwise.operators import alias, assortment, demand, gaps
 from tests import micro
 from tests.micro import buyable, order, plain_products, vendor
-from tests.test_gap_brute import LOOSE, random_tables
+from tests.test_gap_brute import LOOSE, random_tables, spark_rows
 
 
 def plan(df) -> str:
@@ -113,13 +113,13 @@ def test_hot_vendor_is_split_when_not_broadcast(shuffled):
         )
         faces = groups.select("global_entity_id", "platform_vendor_id").distinct().select(
             "*", F.lit("s").alias("vertical_segment"), F.lit("c").alias("city"),
-            F.crc32("platform_vendor_id").alias("chain_id"),
+            F.lit("v").alias("vendor_name"), F.crc32("platform_vendor_id").alias("chain_id"),
         )
         path = f"{spark.conf.get('spark.checkpoint.dir', '/tmp')}/hot-faces"
         faces.write.mode("overwrite").parquet(path)
-        frame = demand.first_chains(groups, spark.read.parquet(path), 2)
+        frame = demand.carrying_chains(groups, spark.read.parquet(path))
         assert frame.count() == 120_000
-        frame = demand.first_chains(groups, spark.read.parquet(path), 2)
+        frame = demand.carrying_chains(groups, spark.read.parquet(path))
         frame.collect()
         assert "skew=true" in frame._jdf.queryExecution().toString()
     finally:
@@ -127,6 +127,84 @@ def test_hot_vendor_is_split_when_not_broadcast(shuffled):
             spark.conf.unset(key)
 
 
+def test_product_that_all_vendors_sell_is_split(shuffled, tmp_path):
+    """The only join by product, with its groups as they are stored and as they are derived."""
+    spark = shuffled
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        entity = F.lit("E").alias("global_entity_id")
+        product = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 200)
+        spark.range(0, 120_000, 1, 8).select(
+            entity, F.col("id").alias("platform_vendor_id"), product.alias("platform_product_id"),
+            F.lit(1).cast("long").alias("items_sold"), F.col("id").alias("quantity_sold"),
+            F.lit(0.5).cast("decimal(38,15)").alias("revenue_eur"),
+        ).write.parquet(f"{tmp_path}/activity")
+        lookup = spark.range(-1, 200).select(
+            entity, F.col("id").alias("platform_product_id"),
+            F.explode(F.array(F.lit(1), F.lit(2))).alias("demand_alias_id"),
+            F.lit(7).alias("supply_alias_id"))
+        alias.product_groups(lookup).write.parquet(f"{tmp_path}/groups")
+        activity = spark.read.parquet(f"{tmp_path}/activity")
+        for groups in (spark.read.parquet(f"{tmp_path}/groups"), alias.product_groups(lookup)):
+            frame = assortment.vendor_groups(assortment.in_groups(activity, groups))
+            found = frame.collect()
+            assert len(found) == 3 * 120_000
+            assert sum(r.quantity_sold for r in found) == 3 * sum(range(120_000))
+            assert "skew=true" in frame._jdf.queryExecution().toString()
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+
+
+def test_job_deals_activity_out_by_product_once(spark, shuffled, src, tmp_path):
+    """What is shuffled by product, in all plans of the job, besides the facts' own sums: activity
+    and the groups, once each."""
+    plans, store = [], table_stage(spark, str(tmp_path))
+
+    def stage(name, df, by=()):
+        plans.append(plan(df))
+        return store(name, df, by)
+
+    stored = refresh_lookups(spark, src, f"{tmp_path}/lookups")
+    plans.append(plan(sku_gap(src, LOOSE, stored, stage)))
+    dealt = [
+        keys for text in plans for keys in re.findall(r"hashpartitioning\((.*?)\), ENSURE", text)
+        if "platform_product_id" in keys and "platform_vendor_id" not in keys
+    ]
+    assert len(dealt) == 2
+
+
+@pytest.mark.parametrize("unit", ["day", "month"])
+def test_dated_facts_are_pruned_by_partition(spark, src, tmp_path, unit):
+    """Tables partitioned by the date, and by its month."""
+    facts = {"orders": "order_created_date_lt", "buyable_rate": "date_ref"}
+    for name, column in facts.items():
+        part = column if unit == "day" else f"{column}_month"
+        rows = getattr(src, name).withColumn(part, F.trunc(column, unit) if unit == "month" else F.col(column))
+        rows.write.partitionBy(part).parquet(f"{tmp_path}/{name}")
+    dated = replace(src, **{n: spark.read.parquet(f"{tmp_path}/{n}") for n in facts})
+    window = (micro.DAY, micro.DAY)
+    first = micro.DAY if unit == "day" else micro.MONTH
+    for scan, column in ((sources.order_items, "order_created_date_lt"),
+                         (sources.active_window_rates, "date_ref")):
+        part = column if unit == "day" else f"{column}_month"
+        text = plan(scan(dated, *window))
+        filters = re.search(r"PartitionFilters: (.*)", text).group(1)
+        assert f"({part}" in filters and ">=" in filters and "<=" in filters
+        ours, plain = scan(dated, *window), scan(src, *window)
+        assert sorted(map(str, ours.collect())) == sorted(map(str, plain.collect()))
+        assert len(list(tmp_path.glob(f"*/{part}=*"))) > 1
+        read = [r[0] for r in ours.select(F.input_file_name()).distinct().collect()]
+        assert read and all(f"{part}={first}" in f for f in read)
+    assert spark_rows(sku_gap(dated, LOOSE)) == spark_rows(sku_gap(src, LOOSE))
+
+
 def test_hot_supply_group_does_not_multiply(spark):
     """One supply group merges 20,000 demand groups and is sold by 500 chains: 10 million pairs."""
     n, chains = 20_000, 500
@@ -141,20 +219,28 @@ def test_hot_supply_group_does_not_multiply(spark):
     )
     who = spark.range(chains).select(
         *cell, F.col("id").alias("platform_vendor_id"), F.col("id").alias("chain_id")
-    )
+    )  # chains 0 to 499
     groups = who.select("global_entity_id", "platform_vendor_id",
                         F.lit(-1).cast("bigint").alias("alias_product_id"))
-    for least in (2, 3):
-        few = demand.first_chains(groups, who, least)
-        assert few.count() == least
-        passing = demand.in_chains(products, bridge, few, least)
-        assert passing.count() == n
-    assert demand.in_chains(products, bridge, few, 4).count() == 0
-    assert passing.agg(F.sum("total_quantity_sold")).first()[0] == n * (n - 1)
-    top = demand.rank_top(passing, 10)
+    # Every product has a small group of its own besides the hot one, sold by two more chains.
+    bridge = bridge.unionByName(spark.range(n).select(
+        cell[0], F.col("id").alias("demand_alias_id"), F.col("id").alias("supply_alias_id")))
+    who = who.withColumn("vendor_name", F.lit("v")).unionByName(spark.range(2).select(
+        *cell, (F.col("id") + 1000).alias("platform_vendor_id"),
+        (F.col("id") + 499).alias("chain_id"), F.lit("v").alias("vendor_name")))
+    groups = groups.unionByName(
+        spark.range(n).select(cell[0], F.explode(F.expr("array(1000L, 1001L)"))
+                              .alias("platform_vendor_id"), F.col("id").alias("alias_product_id")))
+    carrying = demand.carrying_chains(groups, who)
+    assert carrying.count() == chains + 2 * n
+    pairs = demand.carried_products(products, bridge, carrying)
+    assert pairs.count() == 2 * n  # not n * chains
+    counted = demand.chain_counts(pairs, carrying)
+    assert counted.groupBy("num_chains").count().collect() == [(chains + 1, n)]
+    top = demand.rank_top(demand.in_chains(counted, 3), 10)
     wanted = demand.bridged(top.select(*demand.GROUP), bridge)
     held = gaps.holders(groups, who, wanted)
-    assert held.count() == 10 * chains
+    assert held.count() == 10 * (chains + 2)
 
 
 def test_hot_vendor_and_hot_product_in_the_whole_job(spark):
@@ -184,8 +270,9 @@ def test_stored_lookups_are_pruned_by_market(spark, src, tmp_path):
 
     stored = refresh_lookups(spark, src, str(tmp_path))
     built = build_lookups(src)
-    for name in ("lookup", "bridge", "metadata"):
-        ours, fresh = getattr(stored, name), getattr(built, name)
+    derived = replace(built, groups=built.product_groups())
+    for name in ("lookup", "bridge", "metadata", "groups"):
+        ours, fresh = getattr(stored, name), getattr(derived, name)
         assert ours.columns == fresh.columns
         assert sorted(map(str, ours.collect())) == sorted(map(str, fresh.collect()))
     one = Lookups.from_folder(spark, str(tmp_path)).only(["PY_AR"])
@@ -205,6 +292,7 @@ def test_a_refresh_that_fails_leaves_the_old_tables(spark, src, tmp_path):
     half = Lookups(built.lookup.limit(1), built.bridge.limit(1), broken)
     with pytest.raises(Exception, match="no"):
         write_lookups(half, str(tmp_path))
+    assert len(list(tmp_path.glob("version-*"))) == 1  # what was half written is gone
     tables = Lookups.from_folder(spark, str(tmp_path))
     assert sorted(map(str, tables.metadata.collect())) == old
     assert tables.lookup.count() == built.lookup.count()
@@ -214,7 +302,7 @@ def test_alias_tables_meet_once(spark, src):
     """With a stage, one join of the alias tables feeds the lookup and the bridge."""
     made = []
 
-    def stage(name, df):
+    def stage(name, df, by=()):
         made.append(name)
         rows = df.collect()
         return spark.createDataFrame(rows, df.schema)
