@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.session import remove
+
 #: A word, in Java's and in Python's syntax. ``bytes.split()`` splits at the same six characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -34,25 +36,62 @@ def shared_folder(spark: SparkSession) -> str:
 
 class Stages:
     """Tables of one run in the shared folder. A stage is computed once, survives lost executors
-    and cuts lineage."""
+    and cuts lineage. ``drop`` deletes tables that nothing will read again."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex[:12]}"
+        self.paths: dict[str, str] = {}
         self.made = 0
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
         self.made += 1
-        path = f"{self.root}/{self.made:03d}-{name}"
+        path = self.paths[name] = f"{self.root}/{self.made:03d}-{name}"
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Delete the tables of these names, or all of them."""
+        for path in [self.paths.pop(n) for n in names] if names else [self.root]:
+            remove(self.spark, path)
+
 
 def text_key(text: Column) -> Column:
     """128-bit digest of a text, as 16 bytes; a null text has the digest of the empty one."""
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
+#: Bits of a sieve; it has at most 2 ** (SIEVE - 15) rows of 4 KB, so 1 MB in all.
+SIEVE = 23
+
+
+def _sieve_place(value: str) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(1 << SIEVE))
+
+
+def sieve(wanted: DataFrame, value: str) -> DataFrame:
+    """The values of a column as bits, for ``sifted``."""
+    at = _sieve_place(value)
+    return wanted.groupBy(F.shiftright(at, 15).alias("_page")).agg(
+        F.bitmap_construct_agg(at.bitwiseAND(32767)).alias("_bits")
+    )
+
+
+def sifted(rows: DataFrame, value: str, bits: DataFrame) -> DataFrame:
+    """``rows`` without those whose value is certainly not among the wanted ones.
+
+    Some others stay, the more the more values are wanted; so a join with them has to follow, but
+    shuffles little of what it would drop. The sieve may be broadcast, as its size is bounded.
+    """
+    at = _sieve_place(value)
+    byte = F.conv(F.hex(F.substr("_bits", F.shiftright(at.bitwiseAND(32767), 3) + 1, F.lit(1))), 16, 10)
+    mask = F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), (at.bitwiseAND(7) + 1).cast("int"))
+    return (
+        rows.join(F.broadcast(bits), F.shiftright(at, 15) == F.col("_page"))
+        .where(byte.cast("int").bitwiseAND(mask) > 0).drop("_page", "_bits")
+    )
+
+
 def map_rows(
     df: DataFrame, fn: Callable[[list[list]], list[list]], keep: list[str], read: list[str],
     out: str, step: int = 2048,
