@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import Stages
+from shelfwise.llm.common import Stages, sieve, sifted
 
 #: What stands between words, after A-Z have become a-z.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -125,15 +125,17 @@ def contamination(docs: DataFrame, items: DataFrame, stages: Stages, window: int
     found = stages.put("candidates", candidates(texts, bodies, sizes, stages))
     starts = found.groupBy("digest").agg(F.collect_list(F.struct("start", "k")).alias("starts"))
     once = stages.put("starts", starts)
-    # Of equal texts one row is enough, but texts are not shuffled for it where ``once`` is small.
-    spans = with_words(texts.join(once, "digest"), "digest", "starts").select(
+    # Of texts without a candidate hardly any is shuffled, and of equal texts one for each task.
+    some = sifted(texts, "digest", stages.put("sieve", sieve(once, "digest")))
+    some = some.groupBy("digest").agg(F.any_value("text").alias("text")).join(once, "digest")
+    spans = with_words(some, "digest", "starts").select(
         "digest",
         F.explode(F.transform("starts", lambda at: F.struct(
             at["start"].alias("start"), at["k"].alias("k"),
             F.array_join(F.slice("words", at["start"] + 1, at["k"]), " ").alias("body"),
         ))).alias("span"),
     )
-    same = stages.put("hits", spans.select("digest", "span.*").distinct().join(bodies, ["body", "k"])
+    same = stages.put("hits", spans.select("digest", "span.*").join(bodies, ["body", "k"])
                       .select("digest", "start", "k", "body"))
     hits = same.groupBy("digest").agg(covered(F.collect_set(F.struct("start", "k"))).alias("n_hit"))
     named = (
