@@ -10,18 +10,36 @@ from shelfwise.llm.repeats import Units, repeated_spans
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
-    """Places of the suffixes in the order of at least their first ``depth`` symbols (0 to 256)."""
-    rank, reach = np.zeros(len(text), np.int64), 7  # 257 ** 7 fits in 63 bits
+    """Places of the suffixes in the order of at least their first ``depth`` symbols (0 to 256).
+
+    A suffix's rank is where its group of so far equal ones begins. Only groups of several suffixes
+    are sorted again, by the rank of what follows.
+    """
+    n, reach = len(text), 7  # 257 ** 7 fits in 63 bits
+    rank = np.zeros(n, np.int64)
     for i in range(reach):
         rank *= 257
-        rank[: max(len(text) - i, 0)] += text[i:]
-    rank = np.unique(rank, return_inverse=True)[1]
-    while reach < depth and rank.max(initial=0) + 1 < len(text):
-        key = rank * np.int64(len(text) + 1)
-        key[: max(len(text) - reach, 0)] += rank[reach:] + 1
-        rank = np.unique(key, return_inverse=True)[1]
+        rank[: max(n - i, 0)] += text[i:]
+    order = np.argsort(rank)
+    places, key = np.arange(n), rank[order]
+    while True:
+        first = np.ones(len(key), bool)
+        first[1:] = key[1:] != key[:-1]
+        last = np.ones(len(key), bool)
+        last[:-1] = first[1:]
+        begins = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
+        rank[order[places]] = places[begins]
+        places = places[~(first & last)]
+        if reach >= depth or not len(places):
+            return order
+        at = order[places]
+        after = np.zeros(len(at), np.int64)
+        inside = at + reach < n
+        after[inside] = rank[at[inside] + reach] + 1
+        key = rank[at] * np.int64(n + 1) + after
+        by = np.argsort(key)
+        order[places], key = at[by], key[by]
         reach *= 2
-    return np.argsort(rank, kind="stable")
 
 
 def prefix_bounds(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
@@ -33,40 +51,49 @@ def prefix_bounds(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarray
     length reached, and only such an interval is extended further. So shared prefixes come in
     increasing order, and the search stops at ``least``. Symbol 0 ends a piece and is not put in
     front of a string.
+
+    An interval's extension by a symbol reaches from the first to the last place in it that the
+    symbol stands before: places whose neighbour with the same symbol lies outside.
     """
     n = len(text)
     before = text[order - 1]
-    to_front = np.empty(n, np.int64)
-    to_front[np.argsort(before, kind="stable")] = np.arange(n)
-    shared = np.full(n + 1, -1, np.int64)
-    ends = np.cumsum(np.bincount(text))
-    ends = ends[np.bincount(text) > 0]
-    low, high = np.concatenate([[0], ends[:-1]]), ends
+    ended = before == 0
+    by_symbol = np.argsort(before.astype(np.uint16), kind="stable").astype(np.int32)
+    to_front = np.empty(n, np.int32)
+    to_front[by_symbol] = np.arange(n, dtype=np.int32)
+    previous, following = np.full(n, -1, np.int32), np.full(n, n, np.int32)
+    same = before[by_symbol[1:]] == before[by_symbol[:-1]]
+    previous[by_symbol[1:][same]] = by_symbol[:-1][same]
+    following[by_symbol[:-1][same]] = by_symbol[1:][same]
+    previous[ended], following[ended] = n, -1  # neither first nor last in any interval
+
+    shared = np.full(n + 1, -1, np.int32)
+    counts = np.bincount(text)
+    high = np.cumsum(counts)[counts > 0].astype(np.int32)
+    low = np.concatenate([[0], high[:-1]]).astype(np.int32)
     shared[0] = 0
     shared[high] = 0
+    alone = low[:0]  # intervals of one place
     for length in range(1, least):
+        one = high - low == 1
+        alone = np.concatenate([alone, low[one]])
+        low, high = low[~one], high[~one]
         size = high - low
-        single = low[(size == 1)]
-        single = single[before[single] > 0]
-        low, size = low[size > 1], size[size > 1]
-        skipped = np.cumsum(size) - size
-        inside = np.arange(size.sum()) + np.repeat(low - skipped, size)
-        key = np.repeat(np.arange(len(low)) * 257, size) + before[inside]
-        use = before[inside] > 0
-        inside, key = inside[use], key[use]
-        by = np.argsort(key, kind="stable")
-        inside, key = inside[by], key[by]
-        first = np.ones(len(key), bool)
-        first[1:] = key[1:] != key[:-1]
-        last = np.ones(len(key), bool)
-        last[:-1] = first[1:]
-        low = np.concatenate([to_front[inside[first]], to_front[single]])
-        high = np.concatenate([to_front[inside[last]], to_front[single]]) + 1
+        of = np.repeat(np.arange(len(low), dtype=np.int32), size)
+        skipped = np.cumsum(size, dtype=np.int32) - size
+        inside = np.arange(len(of), dtype=np.int32) + (low - skipped)[of]
+        first = inside[previous[inside] < low[of]]
+        last = inside[following[inside] >= high[of]]
+        # In front order the extensions follow each other, so that starts and ends pair up.
+        low, high = np.sort(to_front[first]), np.sort(to_front[last]) + 1
+        alone = to_front[alone[~ended[alone]]]
         fresh = shared[high] < 0
         low, high = low[fresh], high[fresh]
-        if not len(low):
+        alone = alone[shared[alone + 1] < 0]
+        if not len(low) and not len(alone):
             break
         shared[high] = length
+        shared[alone + 1] = length
     return shared[:n]
 
 
