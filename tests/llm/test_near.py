@@ -106,11 +106,20 @@ def test_documents_empty_table(documents, stages, rows):
 
 
 def line_set(line):
+    """Nine characters from each word's start, from each ideograph, from every place of a longer word
+    that leaves nine in it, and the last nine of the line."""
     ideograph = "\u4e00-\u9fff\u3400-\u4dbf"
-    starts = [m.start() for m in re.finditer(rf"[{ideograph}]|[^\s{ideograph}]+", line)]
+    starts = []
+    for m in re.finditer(rf"[{ideograph}]|[^\s{ideograph}]+", line):
+        starts += range(m.start(), max(m.start(), m.end() - 9) + 1)
     return frozenset([line[i : i + 9] for i in starts if i + 9 <= len(line)] + [line[-9:]])
 
 
+def all_places(line):
+    """Nine characters from every place."""
+    return frozenset(line[i : i + 9] for i in range(max(1, len(line) - 8)))
+
+
 def lines_expected(data):
     cut = [(k, i, x) for k, t in data if t is not None for i, x in enumerate(t.split("\n"))
            if re.search(r"[^\x20\x09-\x0D]", x)]
@@ -174,6 +183,33 @@ def test_lines_empty_table(documents, stages, rows):
     assert rows(lines.line_report(documents([]), stages)) == []
 
 
+LONG_TOKENS = [
+    "https://example.org/a/one/index.html", "https://example.org/zz/other/index.html",
+    "https://example.org/a/one/index.html?page=1&sort=up&view=all&lang=en&more=2",
+    "https://example.org/a/one/index.html?page=1&sort=up&view=all&lang=en&more=3",
+    "QUJDREVGR0hJSktMTU5PUFFSU1RVVldYWVo=", "QUJDREVGR0hJmZzh1a2xqc2Rma2xqc2RVVldYWVo=",
+    "ประเทศไทยมีอาหารอร่อยมากมายหลายชนิดให้เลือกรับประทานทุกวันและทุกฤดูกาล",
+    "ประเทศไทยมีอาหารอร่อยมากมายหลายชนิดให้เลือกรับประทานทุกวันและทุกฤดูหนาว",
+    "if(a[i]==b[j]){x+=1;y-=2;return(x*y)%modulus;}", "if(a[i]==b[k]){x+=7;y-=2;return(x+y)%modulus;}",
+    "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaab",
+    "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789abcdefXYZ_tail",
+    "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ 012345678_other_XYZ_tail",
+]
+
+
+def test_long_words_count_at_every_place(documents, stages, rows):
+    """Lines of one or two long words, against shingles from every place of the line."""
+    data = list(enumerate(LONG_TOKENS))
+    want = {
+        j for j, b in data for i, a in data[:j]
+        if 100 * len(all_places(a) & all_places(b)) >= 80 * len(all_places(a) | all_places(b))
+    }
+    made = lines.line_report(documents(data), stages)
+    assert {r.doc_id for r in made.collect() if r.n_removed} == want == {3, 7}
+    # Of words that long the sets are those of every place, but for shingles across words.
+    assert all(line_set(x) == all_places(x) for x in LONG_TOKENS[:11])
+
+
 def test_linked_short_lines_share_a_key(spark):
     """All sizes up to 13 and all differences that links allow."""
     rng = random.Random(7)
@@ -185,11 +221,39 @@ def test_linked_short_lines_share_a_key(spark):
                 if x + y and 100 * same >= 80 * (same + x + y):
                     for _ in range(400):
                         shared = token(same)
-                        data.append((same, x, y, shared + token(x), shared + token(y)))
-    assert {(8, 1, 1), (9, 1, 1), (4, 0, 1), (8, 0, 2), (11, 0, 2)} <= {r[:3] for r in data}
-    pairs = spark.createDataFrame(data, "same int, x int, y int, a array<long>, b array<long>")
-    keys = lambda c: lines.band_keys(F.col(c))
-    assert pairs.where(~F.arrays_overlap(keys("a"), keys("b"))).groupBy("same", "x", "y").count().collect() == []
+                        data.append((len(data), f"{same} {x} {y}", shared + token(x), shared + token(y)))
+    assert {"8 1 1", "9 1 1", "4 0 1", "8 0 2", "11 0 2"} <= {r[1] for r in data}
+    pairs = spark.createDataFrame(data, "id long, kind string, a array<long>, b array<long>")
+    keys = lambda c: lines.signatures(pairs.select("id", F.explode(c).alias("hash"))).select(
+        "id", F.explode(lines.band_keys()).alias("band"))
+    met = keys("a").join(keys("b"), ["id", "band"])
+    assert pairs.join(met, "id", "left_anti").groupBy("kind").count().collect() == []
+
+
+@pytest.mark.parametrize("size", [20, 31, 60, 300])
+def test_linked_long_lines_share_a_key(spark, size):
+    """At the threshold: none missed up to 31 shingles, few above."""
+    rng, data = random.Random(size), []
+    for i in range(2000):
+        pool = rng.sample(range(-(1 << 60), 1 << 60), 2 * size)
+        only = size // 9  # of each line: J just above 0.8
+        shared = pool[: size - only]
+        data.append((i, shared + pool[size : size + only], shared + pool[size + only : size + 2 * only]))
+    pairs = spark.createDataFrame(data, "id long, a array<long>, b array<long>")
+    keys = lambda c: lines.signatures(pairs.select("id", F.explode(c).alias("hash"))).select(
+        "id", F.explode(lines.band_keys()).alias("band"))
+    missed = pairs.join(keys("a").join(keys("b"), ["id", "band"]), "id", "left_anti").count()
+    assert missed <= (0 if size <= 31 else 16)
+
+
+def test_lines_are_shingled_where_they_meet(spark, documents, stages, monkeypatch):
+    """One exchange by line before its shingles, none of shingles."""
+    plans, put = {}, type(stages).put
+    monkeypatch.setattr(type(stages), "put", lambda self, name, df: (
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString()), put(self, name, df))[1])
+    lines.line_report(documents([(1, "some line\nsome line")]), stages)
+    assert plans["posted"].count("Exchange hashpartitioning") == 1
+    assert not re.search("Python|Pandas|Arrow", "".join(p.split("ExistingRDD")[0] for p in plans.values()))
 
 
 def test_lines_run_no_python(documents, stages, capsys):
