@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -11,8 +13,8 @@ from shelfwise.llm.common import WORD, Stages
 
 #: A document is taken at most this often, and a source at most this many times its size.
 MOST = 3
-#: The remaining budget, in words, that is fitted exactly.
-FITTED = 65_536
+#: Sums that a knapsack may hold before no more documents are given back to it (a bound of memory).
+SUMS = 1 << 26
 #: Parts by seeded order that the documents of one source and size are ranked in.
 PARTS = 4_096
 #: Documents of each size that are kept for the exact fit.
@@ -42,48 +44,69 @@ def target_sizes(sizes: list[int], weights: list[float]) -> list[float]:
     return targets
 
 
-def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each size to take so that the words come as near ``budget`` as found.
+def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, copies: int = 1) -> np.ndarray:
+    """How many to take of each size so that the words come nearest to ``budget``, below or above.
 
-    Every size first gives its even share but for a few documents, so the mix keeps the source's
-    lengths. Of what remains, the part above FITTED is filled from the largest size down. The rest is a bounded
-    knapsack over the documents not yet taken; its table has FITTED entries at most.
+    Every document may be taken ``copies`` times. Each size first gives its even share but for a few
+    documents, so the mix keeps the source's lengths, and the largest sizes fill up to twice the
+    largest document below the budget. The rest is a bounded knapsack over all that is left. If no
+    sum hits the budget, it is done again with less given before, at last with nothing: then the
+    knapsack holds every document, and the nearest sum is the nearest there is.
     """
-    order = np.argsort(-sizes)
-    sizes, counts = sizes[order], counts[order]
-    words = int((sizes * counts).sum())
     taken = np.zeros(len(sizes), np.int64)
-    if words and budget > 0:
-        shares = np.array([int(c) * budget // words for c in counts], np.int64)
-        taken = np.maximum(shares - SPARE, 0)
-        taken[sizes == 0] = 0
-        left = budget - int((sizes * taken).sum())
-        for i, (size, free) in enumerate(zip(sizes.tolist(), (counts - taken).tolist())):
-            if left <= FITTED or not size:
+    used = np.flatnonzero((sizes > 0) & (counts > 0))
+    if not len(used) or budget <= 0:
+        return taken
+    used = used[np.argsort(-sizes[used], kind="stable")]
+    unit = int(np.gcd.reduce(sizes[used]))
+    size, count = sizes[used] // unit, counts[used]
+    goal = budget / unit
+    spare, best = SPARE, None
+    while True:
+        given = np.array([int(c * goal // max(int((size * count).sum()), 1)) for c in count], np.int64)
+        given = np.clip(given - spare, 0, count)
+        below = 2 * int(size[0]) * max(1, spare // SPARE)
+        left = int(goal) - int((size * given).sum())
+        for i, (each, free) in enumerate(zip(size.tolist(), (count - given).tolist())):
+            if left > below:
+                more = min(free, (left - below) // each)
+                given[i] += more
+                left -= more * each
+        for times in sorted({1, copies}):
+            rest = goal - int((size * given).sum())
+            made = given + nearest_sum(size, count * times - given, rest)
+            off = abs(int((size * made).sum()) - goal)
+            if best is None or off < best[0]:
+                best = off, made
+            if best[0] <= 0.5:
                 break
-            more = min(free, left // size)
-            taken[i] += more
-            left -= more * size
-        if left <= FITTED:
-            taken += _knapsack(sizes, counts - taken, left)
-    out = np.zeros(len(sizes), np.int64)
-    out[order] = taken
-    return out
-
-
-def _knapsack(sizes: np.ndarray, free: np.ndarray, budget: int) -> np.ndarray:
-    """Counts whose words come nearest to ``budget`` without passing it. A count is split in powers
-    of two, and each sum remembers the item that first made it."""
+        if best[0] <= 0.5 or not given.any() or below > SUMS:
+            break
+        spare *= 8
+    taken[used] = best[1]
+    return taken
+
+
+def nearest_sum(sizes: np.ndarray, free: np.ndarray, goal: float) -> np.ndarray:
+    """Counts, at most ``free``, whose sizes sum up nearest to ``goal``; of two, the lower sum.
+
+    A bounded knapsack: a count is split in powers of two, and each sum remembers the item that
+    first made it. Sums are followed up to the largest size above the goal, where the next higher
+    one lies at the latest.
+    """
     more = np.zeros(len(sizes), np.int64)
-    made = np.zeros(budget + 1, bool)
+    room = free > 0
+    if not room.any() or goal <= 0:
+        return more
+    most = min(int(goal) + int(sizes[room].max()), int((sizes * free).sum()))
+    made = np.zeros(most + 1, bool)
     made[0] = True
-    by = np.full(budget + 1, -1, np.int64)
+    by = np.full(most + 1, -1, np.int32)
     items: list[tuple[int, int]] = []
+    hit = math.ceil(goal - 0.5)
     for i, (size, n) in enumerate(zip(sizes.tolist(), free.tolist())):
-        if not 0 < size <= budget:
-            continue
-        n, part = min(n, budget // size), 1
-        while n > 0 and not made[budget]:
+        n, part = min(n, most // size), 1
+        while n > 0 and not (hit <= most and made[hit]):
             part = min(part, n)
             step = part * size
             new = np.flatnonzero(made[:-step] & ~made[step:]) + step
@@ -91,9 +114,8 @@ def _knapsack(sizes: np.ndarray, free: np.ndarray, budget: int) -> np.ndarray:
             made[new] = True
             items.append((i, part))
             n, part = n - part, part * 2
-        if made[budget]:
-            break
-    at = int(np.flatnonzero(made)[-1])
+    sums = np.flatnonzero(made)
+    at = int(sums[np.argmin(np.abs(sums - goal))])
     while at:
         i, part = items[by[at]]
         more[i] += part
@@ -109,7 +131,7 @@ def mix(
 
     Sources by code point, null last, take the weights in turn. A source whose target is at least
     its size is taken whole as often as fits; the remaining budget is fitted by counts per document
-    size, and the documents of a size are taken in the seeded order of their keys. Only counts by
+    size to the nearest sum, which may lie above it, and the documents of a size are taken in the seeded order of their keys. Only counts by
     source and size meet in one task: at most as many rows as a source has different sizes. Equal
     rows are told apart by nothing, so which of them is taken makes no difference. A null text has
     size 0, and documents of size 0 are in the mix only as often as their whole source is.
@@ -159,15 +181,15 @@ def _mixed(docs, stages, row: Column, key, text, source, weights, seed) -> DataF
     def fitted(frame: pd.DataFrame) -> pd.DataFrame:
         more = fit_budget(
             frame["size"].to_numpy(np.int64), frame["n"].to_numpy(np.int64),
-            int(frame["budget"].iloc[0]),
+            int(frame["budget"].iloc[0]), MOST - int(frame["whole"].iloc[0]),
         )
-        return frame[["origin", "size"]].assign(quota=more)
+        return frame[["origin", "size"]].assign(docs=frame["n"], quota=more)
 
     parts = stages.put("parts", sized.groupBy("origin", "size", "part").agg(F.count("*").alias("n")))
     by_size = parts.groupBy("origin", "size").agg(F.sum("n").alias("n"))
     quotas = (
         by_size.join(plan, "origin").groupBy("origin")
-        .applyInPandas(fitted, "origin string, size long, quota long")
+        .applyInPandas(fitted, "origin string, size long, docs long, quota long")
     )
     before = Window.partitionBy("origin", "size").orderBy("part").rowsBetween(
         Window.unboundedPreceding, -1
@@ -175,11 +197,12 @@ def _mixed(docs, stages, row: Column, key, text, source, weights, seed) -> DataF
     room = (
         parts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .join(quotas, ["origin", "size"])
-        .select("origin", "size", "part", (F.col("quota") - F.col("before")).alias("room"))
+        .select("origin", "size", "part", F.expr("quota div docs").alias("each"),
+                (F.expr("quota % docs") - F.col("before")).alias("room"))
     )
     rank = F.row_number().over(Window.partitionBy("origin", "size", "part").orderBy("order"))
     ranked = sized.withColumn("rank", rank).join(room, ["origin", "size", "part"])
     ranked = ranked.join(plan, "origin")
     return ranked.withColumn(
-        "copies", F.col("whole") + (F.col("rank") <= F.col("room")).cast("long")
+        "copies", F.col("whole") + F.col("each") + (F.col("rank") <= F.col("room")).cast("long")
     )
