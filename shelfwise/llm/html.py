@@ -28,8 +28,7 @@ BREAKS = frozenset(
     " option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 DROPPED = frozenset(
-    "aside button datalist dialog fieldset footer form head input label menu nav option search"
-    " select".split()
+    "aside button datalist dialog fieldset footer head menu nav option search select".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 ROLES = frozenset(
@@ -43,24 +42,29 @@ ENDS = {
     **dict.fromkeys(("thead", "tbody", "tfoot"), (("thead", "tbody", "tfoot", "tr"), "table")),
     **dict.fromkeys(("dt", "dd"), (("dt", "dd"), "dl")),
 }
-#: A class or id of these words alone marks an element to drop; one that has them among other words
-#: ("has-sidebar", "site-footer") is doubtful, and the blocks inside decide.
-_MARK = (
-    r"(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|"
-    r"breadcrumbs?|comments?|cookies?|consent|disqus|footer|masthead|menu|nav|navbar|navigation|"
-    r"newsletter|notice|pagination|popup|modal|related|share|sharing|sidebar|signup|social|"
-    r"subscribe|toolbar|widget)"
+#: Words, among those of a class or id, of elements beside the text or about it.
+MARKS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner"
+    " breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer masthead menu nav"
+    " navbar navigation newsletter pagination popup modal related share sharing sidebar signup social"
+    " subscribe toolbar".split()
 )
-MARKS = re.compile(rf"(?:^|\s){_MARK}(?:[_-]+{_MARK})*(?:$|\s)", re.I)
-DOUBTFUL = re.compile(rf"(?:^|[\s_-]){_MARK}(?:$|[\s_-])", re.I)
-#: How far an element is dropped: a form is kept from a heading or article on, a marked element from
-#: an article on, and the others not at all.
-FORM, MARKED, WHOLLY = 1, 2, 3
+#: Words of elements that may as well hold the text; the blocks inside decide.
+DOUBTFUL = frozenset("notice notices widget widgets".split())
+#: A word after one of these says what a page has or lacks, not what the element is.
+ABOUT = frozenset("has have no not with without hide hidden show is enable".split())
+NAME = re.compile(r"[^\s_-]+")
+#: Characters, but for spaces, of a paragraph of some length.
+PARAGRAPH = 50
+
+_ATTRIBUTES = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*')*+"
+_RAW = "script|style|noscript|template|iframe|svg|object|video|audio|canvas|textarea|title"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|iframe|svg|math|object|video|audio|canvas|textarea|title)"
-    r"\b[^>]*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    # Drawings and formulas may be closed where they are opened.
+    r"|<(svg|math)(?=[\s/>])(?:[^>\"'/]++|/(?!>)|\"[^\"]*+\"|'[^']*')*+/>"
+    rf"|<({_RAW})(?=[\s/>])(?:{_ATTRIBUTES}>|[^>]*+>).*?(?:</\2\s*>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>"
     r"|<[!?/][^>]*+>",
     re.S | re.I,
@@ -85,6 +89,7 @@ class Rules:
 class Block:
     article: bool
     place: int = 0
+    mark: int = 0
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -96,18 +101,49 @@ class Block:
 @dataclass
 class _Open:
     tag: str
-    dropped: int
+    dropped: bool
     article: bool
     linked: bool
     place: int  # 0, or the number of the doubtful element it is in
+    mark: int  # 0, or the number of the innermost marked element it is in
+
+
+@dataclass
+class _Mark:
+    """A marked element or form, and what it holds."""
+
+    up: int
+    article: bool  # it stands in an article
+    form: bool
+    main: bool = False  # it holds the page's first article
+    heading: int = -1  # the number of the block that its first main heading begins
+    size: int = 0
+    paragraphs: int = 0
+
+
+def names_of(value: str) -> tuple[bool, bool]:
+    """Whether the words of a class or id mark an element, and whether they make it doubtful."""
+    marked = doubtful = False
+    before = ""
+    for word in NAME.findall(value):
+        if before not in ABOUT:
+            marked |= word in MARKS
+            doubtful |= word in DOUBTFUL
+        before = word
+    return marked, doubtful
 
 
 def page_blocks(html: str) -> list[Block]:
-    """Text blocks in page order, without those inside menus, footers, forms and the like."""
-    top = _Open("", 0, False, False, 0)
-    stack = [top]
+    """Text blocks in page order, without those inside menus, footers, forms and the like.
+
+    What stands in a marked element or a form is out, unless that holds the page's first article or,
+    on a page without any, most of the text. A form counts as such only with several paragraphs, or
+    from its main heading on.
+    """
+    stack = [_Open("", False, False, False, 0, 0)]
     blocks: list[Block] = []
     block = Block(False)
+    marks = [_Mark(0, False, False)]
     places: dict[str, list[int]] = {}  # the stack positions of the open elements of a name
     at, breaks, doubtful, seen = 0, 0, 0, False
 
@@ -122,7 +158,7 @@ def page_blocks(html: str) -> list[Block]:
         nonlocal block
         if any(not p.isspace() for p in block.parts):
             blocks.append(block)
-        block = Block(stack[-1].article, stack[-1].place)
+        block = Block(stack[-1].article, stack[-1].place, stack[-1].mark)
 
     def add(raw: str) -> None:
         nonlocal breaks
@@ -137,12 +173,12 @@ def page_blocks(html: str) -> list[Block]:
     for m in TOKEN.finditer(html):
         add(html[at : m.start()])
         at = m.end()
-        tag = m[3] or m[6]
+        tag = m[4] or m[7]
         if tag is None:
-            if m[1]:
+            if m[1] or m[2]:
                 add(" ")
             continue
-        tag, closing, attributes = tag.lower(), bool(m[2] or m[5]), m[4] or m[7] or ""
+        tag, closing, attributes = tag.lower(), bool(m[3] or m[6]), m[5] or m[8] or ""
         if tag == "br":
             breaks += 1
             if breaks == 2:
@@ -164,40 +200,67 @@ def page_blocks(html: str) -> list[Block]:
                 if open_:
                     cut(min(open_))
             up = stack[-1]
-            own, unsure, role = 0, False, ""
-            for name, *value in ATTRIBUTE.findall(attributes) if up.dropped < WHOLLY else ():
+            marked, unsure, role = False, False, ""
+            for name, *value in ATTRIBUTE.findall(attributes) if not up.dropped else ():
                 value = "".join(value).lower()
                 if name.lower() == "role":
                     role = value
                 elif tag not in ("body", "html"):
-                    if MARKS.search(value):
-                        own = MARKED
-                    unsure = unsure or bool(DOUBTFUL.search(value))
+                    own = names_of(value)
+                    marked, unsure = marked or own[0], unsure or own[1]
             main = tag in ("article", "main") or role in ("main", "article")
-            if tag in ("article", "main"):
-                # The first one that is not marked itself is kept wherever it is.
-                if 0 < up.dropped < WHOLLY and not unsure and (not seen or tag == "main"):
-                    up = _Open("", 0, up.article, up.linked, 0)
-                own, unsure = 0, False
-            elif tag == "h1" and up.dropped == FORM:
-                for element in stack:
-                    element.dropped = 0
             inside = up.article or main
-            if tag == "form" or role == "form":
-                own = max(own, FORM)
-            elif tag in DROPPED or role in ROLES or tag == "header" and not inside:
-                own = WHOLLY
-            dropped = max(up.dropped, own)
-            seen = seen or main and not dropped
+            dropped = up.dropped or tag in DROPPED or role in ROLES and role != "form" or (
+                tag == "header" and not inside)
+            first = main and not seen and not dropped and not marked
+            if main and not dropped and not marked or tag == "main":
+                marked, unsure = False, False
+            mark = up.mark
+            form = tag == "form" or role == "form"
+            if (marked or form) and not dropped:
+                marks.append(_Mark(up.mark, up.article, form and not marked))
+                mark = len(marks) - 1
+            if first or tag == "h1" and not dropped:
+                held, seen = mark, seen or first
+                while held:
+                    marks[held].main |= first
+                    if marks[held].heading < 0 and not first:
+                        marks[held].heading = len(blocks)
+                    held = marks[held].up
             doubtful += unsure
             place = 0 if main else doubtful if unsure else up.place
             places.setdefault(tag, []).append(len(stack))
-            stack.append(_Open(tag, dropped, inside, up.linked or tag == "a", place))
+            stack.append(_Open(tag, dropped, inside, up.linked or tag == "a", place, mark))
         if tag in BREAKS:
-            block.article, block.place = stack[-1].article, stack[-1].place
+            here = stack[-1]
+            block.article, block.place, block.mark = here.article, here.place, here.mark
     add(html[at:])
     close()
-    return blocks
+    return _unmarked(blocks, marks, seen)
+
+
+def _unmarked(blocks: list[Block], marks: list[_Mark], seen: bool) -> list[Block]:
+    """The blocks that no marked element takes out."""
+    if len(marks) == 1:
+        return blocks
+    for b in blocks:
+        size = len("".join("".join(b.parts).split()))
+        marks[b.mark].size += size
+        marks[b.mark].paragraphs += size >= PARAGRAPH
+    for m in reversed(marks[1:]):  # an element has a larger number than what it is in
+        marks[m.up].size += m.size
+        marks[m.up].paragraphs += m.paragraphs
+    start = [0]  # the first block that is not out
+    for m in marks[1:]:
+        most = not seen and not m.article and 2 * m.size > marks[0].size
+        if m.main or most and (m.paragraphs > 1 or not m.form):
+            own = 0
+        else:
+            own = m.heading if m.form and not m.article and m.heading >= 0 else len(blocks)
+        if m.form and not m.main and m.heading >= 0:
+            own = max(own, m.heading)
+        start.append(max(start[m.up], own))
+    return [b for i, b in enumerate(blocks) if i >= start[b.mark]]
 
 
 def first_pass(block: Block, text: str, rules: Rules) -> str:
@@ -245,9 +308,10 @@ def main_text(html: str | None, rules: Rules = Rules()) -> str:
     blocks = [(b, t) for b in page_blocks(html) if (t := b.text)]
     labels = [first_pass(b, t, rules) for b, t in blocks]
     if GOOD not in labels:
-        # No stop words on the whole page: an unknown language, where long blocks are text.
+        # No stop words on the whole page: an unknown language, where every block that is not short
+        # is text.
         labels = [
-            GOOD if label == SHORT and len(t) >= rules.long else label
+            GOOD if label == SHORT and len(t) >= rules.short else label
             for label, (_, t) in zip(labels, blocks)
         ]
     articles = [b.article and not b.place for b, _ in blocks]
