@@ -137,6 +137,46 @@ def test_main_text_in_wrappers_and_other_languages(html, text):
     assert main_text(html) == text
 
 
+RUSSIAN = "Старый дом стоял на краю города, и каждый вечер в нём горели окна допоздна."
+CHINESE = "老房子坐落在城边每天晚上窗户里的灯光照进黑暗的花园里种满了苹果树孩子们在那里玩耍直到深夜" * 5
+
+
+@pytest.mark.parametrize("beside", [
+    "<svg class=logo />", "<svg viewBox='0 0 1 1'/>", "<title-bar>Shop</title-bar>",
+    "<video-player src=x></video-player>", "<svg-icon name=a></svg-icon>", "<object-x></object-x>",
+    "<svg><title>Logo</title><path d='M0>1'/></svg>", "<script src='a>b'>var x = '<p>';</script>",
+    "<div class=cookie-bar>We use cookies and it is fine.</div>", "<div class=right-sidebar>See also.</div>",
+    f"<div class='right-sidebar'><p>{LONG}</p></div>", f"<form class=signup><p>{LONG}</p></form>",
+])
+def test_elements_beside_the_article(beside):
+    page = f"<body>{beside}<article><h1>Title</h1><p>{LONG}</p></article>{beside}</body>"
+    assert main_text(page).removeprefix("Shop\n").removesuffix("\nShop") == f"Title\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("inside", [
+    f"<section id=reader-comments><p>{LONG}</p><p>{LONG}</p></section>",
+    f"<div class=comment-list><div><p>{LONG}</p></div></div>", f"<div class='user-comments-list'><p>{LONG}</p></div>",
+    f"<div class='ad-slot'><p>{LONG}</p></div>", f"<div id=newsletter-box><p>{LONG}</p></div>",
+    f"<form><h1>Write to us</h1><p>{LONG}</p><p>{LONG}</p></form>",
+])
+def test_elements_inside_the_article_that_are_not_its_text(inside):
+    assert main_text(f"<article><h1>Title</h1><p>{LONG}</p>{inside}<p>{LONG}</p></article>") == (
+        f"Title\n{LONG.strip()}\n{LONG.strip()}")
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<article><p>{LONG}</p><p>It follows that <math><mi>x</mi></math> is <label>so</label>.</p></article>",
+     f"{LONG.strip()}\nIt follows that x is so."),
+    (f"<div class=widget><h1>Title</h1><p>{LONG}</p></div>", f"Title\n{LONG.strip()}"),
+    (f"<form id=aspnet><div><p>{LONG}</p><p>{LONG}</p></div></form>", f"{LONG.strip()}\n{LONG.strip()}"),
+    (f"<div>{CHINESE}</div>", CHINESE),
+    ("<nav><a href=x>Домой</a></nav><div>" + f"<p>{RUSSIAN}</p>" * 6 + "</div>", "\n".join([RUSSIAN] * 6)),
+    (f"<div class='post no-comments'><p>{LONG}</p></div><div class=comments><p>Nice.</p></div>", LONG.strip()),
+])
+def test_text_is_not_lost(html, text):
+    assert main_text(f"<html><head><title>T</title></head><body>{html}</body></html>") == text
+
+
 def test_pages(spark, rows):
     shape = "page_id long, url string, html string, text string"
     data = [(1, "u", f"<article><p>{LONG}</p></article>", "own"), (2, None, None, None), (None, "v", "<p>", ""),
@@ -316,22 +356,50 @@ def test_target_sizes():
     assert mixing.target_sizes([], []) == []
 
 
-@pytest.mark.parametrize("fitted", [65_536, 30])
-def test_budget_is_met(monkeypatch, fitted):
-    monkeypatch.setattr(mixing, "FITTED", fitted)
-    rng = np.random.default_rng(1)
-    for _ in range(40):
-        sizes = np.unique(rng.integers(0, 60, 12))
-        counts = rng.integers(1, 9, len(sizes))
-        budget = int(rng.integers(0, (sizes * counts).sum() + 1))
-        taken = mixing.fit_budget(sizes, counts, budget)
-        assert ((taken >= 0) & (taken <= counts)).all()
-        assert budget - 60 <= (sizes * taken).sum() <= budget
-
-
-def test_budget_is_exact_where_a_subset_is():
-    taken = mixing._knapsack(np.array([7, 5, 3]), np.array([2, 1, 1]), 17)
-    assert (taken * [7, 5, 3]).sum() == 17
+def nearest(sizes, counts, budget, copies):
+    """How far the nearest sum of documents, each taken up to ``copies`` times, is from the budget."""
+    sums = {0}
+    for size, n in zip(sizes, counts):
+        sums = {x + size * k for x in sums for k in range(n * copies + 1)}
+    return min(abs(x - budget) for x in sums)
+
+
+@pytest.mark.parametrize("scale", [1, 100])
+def test_budget_is_met_as_nearly_as_documents_allow(scale):
+    rng = random.Random(scale)
+    for _ in range(400):
+        sizes = [scale * x for x in rng.sample(range(1, 500), rng.randrange(1, 6))]
+        counts, copies = [rng.randrange(1, 5) for _ in sizes], rng.choice([1, 2, 3])
+        budget = rng.randrange(0, sum(map(int.__mul__, sizes, counts)) + 1)
+        taken = mixing.fit_budget(np.array([*sizes, 0]), np.array([*counts, 3]), budget, copies)
+        assert all(0 <= k <= n * copies for k, n in zip(taken, [*counts, 0]))
+        words = int((taken[:-1] * sizes).sum())
+        assert abs(words - budget) == nearest(sizes, counts, budget, copies)
+
+
+def test_budgets_of_large_documents():
+    fit = lambda sizes, counts, budget, copies=1: int(
+        (mixing.fit_budget(np.array(sizes), np.array(counts), budget, copies) * sizes).sum())
+    assert fit([70_000, 40_000], [1, 2], 80_000) == 80_000
+    assert fit([400_000, 300_000, 100], [1, 2, 5], 600_000) == 600_000
+    assert fit([810_000], [1], 640_000, 3) == 810_000  # nearer than nothing
+    assert fit([1000, 999], [1_000_000, 1], 300_500) == 300_999
+    rng = np.random.default_rng(3)
+    sizes = np.unique(rng.lognormal(6, 1.5, 30_000).astype(np.int64))[1:]
+    counts = rng.integers(1, 300, len(sizes))
+    for share in (0.001, 0.3, 0.97):
+        budget = int((sizes * counts).sum() * share)
+        assert budget > 65_536 and fit(sizes, counts, budget) == budget
+
+
+def test_mix_of_sources_with_one_document(documents, stages):
+    data = [(1, "w " * 150, "x", "a"), (2, "w " * 810, "x", "b"), (3, "w " * 40, "x", "c"), (4, "w " * 9, "x", "c")]
+    made = {r.doc_id: r for r in mixing.mix(documents(data), stages).collect()}
+    for group in ([1], [2], [3, 4]):
+        target = made[group[0]].target
+        taken = sum(made[k].taken for k in group)
+        sizes = [made[k]["size"] for k in group]
+        assert abs(taken - target) == pytest.approx(nearest(sizes, [1] * len(sizes), target, 3))
 
 
 def test_mix(documents, stages, rows):
