@@ -107,68 +107,105 @@ def list_units(classes: DataFrame, stages: Stages, threshold: float) -> DataFram
     ))
 
 
-def matching_pairs(
-    units: DataFrame, classes: DataFrame, threshold: float, roots: DataFrame | None = None
-) -> DataFrame:
-    """a, b: pairs of classes that share a posting list and enough coordinates.
+def matching_pairs(units: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """a, b: each class with its best partner in every unit, by shared coordinates.
 
     Pairs are compared on whole signatures within a unit: the lists of the other coordinates are
-    never merged, and a pair counts only in the first list that both are in. Without ``roots`` each
-    class is sent with its best partner in a unit, which keeps a large group to as many pairs as it
-    has members and lists. With ``roots`` (id, root) every matching pair of different roots is sent.
+    never merged, and a pair counts only in the first list that both are in. Best partners keep a
+    large group to as many pairs as it has members and lists.
     """
     run, least = run_length(threshold), least_matches(threshold)
-    marked, best_only = classes.select("id", "signature"), roots is None
-    if best_only:
-        marked = marked.withColumn("root", F.col("id"))
-    else:
-        marked = marked.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, UNIT):
-            at = table.column("at").to_numpy()
-            keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in UNIT], 1)
-            mine, ids = table.column("mine").to_numpy(), table.column("id").to_numpy()
-            root = table.column("root").to_numpy()
-            inner = keys[:, 2] == keys[:, 3]
-            marks = _as_matrix(table.column("signature"))
-            new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)])
-            group = np.cumsum(new)
+            ids = table.column("id").to_numpy()
             best = np.zeros(len(ids), np.int64)
-            rows = np.arange(len(ids))
-            first = rows
-            for shift in range(1, len(ids)):
-                first = first[: np.searchsorted(first, len(ids) - shift)]
-                first = first[group[first] == group[first + shift]]
-                if not len(first):
-                    break
-                second = first + shift
-                apart = (inner[first] | (mine[first] != mine[second])) & (root[first] != root[second])
-                pairs = np.flatnonzero(apart)
-                for lo in range(0, len(pairs), 4096):
-                    i, j = first[pairs[lo : lo + 4096]], second[pairs[lo : lo + 4096]]
-                    same = marks[i] == marks[j]
-                    n = same.sum(1)
-                    close = np.flatnonzero(n >= least)
-                    runs = same[close, : COORDINATES // run * run]
-                    runs = runs.reshape(len(close), COORDINATES // run, run)
-                    close = close[runs.all(2).argmax(1) == at[i[close]]]
-                    i, j, n = i[close], j[close], n[close]
-                    if best_only:
-                        np.maximum.at(best, i, n * len(ids) + j)
-                        np.maximum.at(best, j, n * len(ids) + i)
-                    else:
-                        yield _pairs(ids, i, j)
-            if best_only:
-                some = rows[best > 0]
-                found = np.sort(np.stack([some, best[some] % len(ids)], 1), 1)
-                found = np.unique(found, axis=0)
-                yield _pairs(ids, found[:, 0], found[:, 1])
-
-    dealt = units.join(marked, "id").repartition(*UNIT).sortWithinPartitions(*UNIT)
+            for i, j, n in _close_pairs(table, ids, run, least):
+                np.maximum.at(best, i, n * len(ids) + j)
+                np.maximum.at(best, j, n * len(ids) + i)
+            some = np.flatnonzero(best)
+            found = np.sort(np.stack([some, best[some] % len(ids)], 1), 1)
+            found = np.unique(found, axis=0)
+            yield _pairs(ids, found[:, 0], found[:, 1])
+
+    marked = units.join(classes.select("id", "signature"), "id")
+    dealt = marked.repartition(*UNIT).sortWithinPartitions(*UNIT)
     return dealt.mapInArrow(compare, "a long, b long")
 
 
+def links_between(
+    units: DataFrame, classes: DataFrame, sets: DataFrame, roots: DataFrame, stages: Stages,
+    threshold: float, numerator: int, denominator: int,
+) -> DataFrame:
+    """a, b: linked classes of different roots (id, root). Every matching pair is confirmed on full
+    sets where it is found, so that a group of nearly similar classes sends no pairs, only links."""
+    run, least = run_length(threshold), least_matches(threshold)
+    rooted = units.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    rooted = stages.put("rooted-units", rooted)
+    open_ = rooted.groupBy(*UNIT).agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    open_ = stages.put("open-units", open_.where("x < y").select(*UNIT))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, UNIT, 2_000):
+            ids, root = table.column("id").to_numpy(), table.column("root").to_numpy()
+            members = [np.frombuffer(m, np.uint64) for m in table.column("members").to_pylist()]
+            for i, j, _ in _close_pairs(table, root, run, least):
+                linked = [
+                    k for k, (x, y) in enumerate(zip(i.tolist(), j.tolist()))
+                    if _similar(members[x], members[y], numerator, denominator)
+                ]
+                yield _pairs(ids, i[linked], j[linked])
+
+    marked = (
+        rooted.join(open_, UNIT, "left_semi").join(classes.select("id", "signature"), "id")
+        .join(sets, "id")
+    )
+    dealt = marked.repartition(*UNIT).sortWithinPartitions(*UNIT)
+    return dealt.mapInArrow(compare, "a long, b long")
+
+
+def _close_pairs(
+    table: pa.Table, root: np.ndarray, run: int, least: int
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows i and j of one unit and of different roots that share ``least`` coordinates or more, and
+    how many; only in the first list that both are in."""
+    at = table.column("at").to_numpy()
+    keys = np.stack([table.column(c).to_numpy().astype(np.int64) for c in UNIT], 1)
+    mine = table.column("mine").to_numpy()
+    inner = keys[:, 2] == keys[:, 3]
+    marks = _as_matrix(table.column("signature"))
+    new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)])
+    group = np.cumsum(new)
+    first = np.arange(len(mine))
+    for shift in range(1, len(mine)):
+        first = first[: np.searchsorted(first, len(mine) - shift)]
+        first = first[group[first] == group[first + shift]]
+        if not len(first):
+            break
+        second = first + shift
+        apart = (inner[first] | (mine[first] != mine[second])) & (root[first] != root[second])
+        pairs = np.flatnonzero(apart)
+        for lo in range(0, len(pairs), 4096):
+            i, j = first[pairs[lo : lo + 4096]], second[pairs[lo : lo + 4096]]
+            same = marks[i] == marks[j]
+            n = same.sum(1)
+            close = np.flatnonzero(n >= least)
+            runs = same[close, : COORDINATES // run * run]
+            runs = runs.reshape(len(close), COORDINATES // run, run)
+            close = close[runs.all(2).argmax(1) == at[i[close]]]
+            yield i[close], j[close], n[close]
+
+
+def _similar(x: np.ndarray, y: np.ndarray, numerator: int, denominator: int) -> bool:
+    """Whether two sets, as sorted hashes, are as similar as asked for."""
+    small, large = sorted((len(x), len(y)))
+    if denominator * small < numerator * large:
+        return False
+    both = np.sort(np.concatenate([x, y]))
+    shared = int((both[1:] == both[:-1]).sum())
+    return denominator * shared >= numerator * (len(x) + len(y) - shared)
+
+
 def _pairs(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
     low, high = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
     return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
@@ -210,14 +247,10 @@ def confirmed(
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.sort(np.concatenate([x, y]))
-                shared = int((both[1:] == both[:-1]).sum())
-                linked.append(
-                    denominator * shared >= numerator * (len(x) + len(y) - shared)
-                )
+            linked = [
+                _similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), numerator, denominator)
+                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1)], names=["a", "b"]
             ).filter(pa.array(linked, pa.bool_()))
@@ -316,10 +349,9 @@ def _linked(docs, stages, column, value, key, text, words, numerator, denominato
 
     first = stages.put("first-links", confirmed(pairs, sets, numerator, denominator))
     roots = components(first, stages, "first")
-    # Then every other pair, but only between different components.
-    other = matching_pairs(units, classes, threshold, roots).join(pairs, ["a", "b"], "left_anti")
-    other = stages.put("other-pairs", other)
-    rest = stages.put("other-links", confirmed(other, sets, numerator, denominator))
+    # Then every link between different components. A class without a set is close to no other.
+    rest = stages.put("other-links", links_between(
+        units, classes, sets, roots, stages, threshold, numerator, denominator))
     roots = components(first.unionByName(rest), stages, "all")
 
     # The smallest id has no row of its own in roots.
