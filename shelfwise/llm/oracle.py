@@ -19,8 +19,8 @@ def crc32(text: str) -> str:
 
 def _edit(state: int, cost: str, letter: str, more: str) -> str:
     """What a state becomes by an edit; ``more`` is the row that stays, if any."""
-    line = f" || {chr(39)}{chr(39)}" if not more else (
-        f" || {more}" if state == 0 else f" || chr(10) || {more}")
+    sep = "" if state == 0 else " || chr(10)"
+    line = f"{sep} || {more}" if more else ""
     out = f"i{state}" if letter != "I" else f"s{state}"
     return f"{{'c': {out}.c + {cost}, 'a': {out}.a || '{letter}', 'o': {out}.o{line}}}"
 
