@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.columns import CELL, PRODUCT, SKU, VENDOR
 from shelfwise.functions import or_default, sum_money
-from shelfwise.operators.alias import SUPPLY
+from shelfwise.operators.alias import DEMAND, SUPPLY
 from shelfwise.operators.vendors import vendor_shops
 
 
@@ -54,6 +54,13 @@ def in_groups(activity: DataFrame, groups: DataFrame) -> DataFrame:
     return activity.join(groups, PRODUCT)
 
 
+def demand_products(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """Active products of known vendors with their demand group, in each cell and chain, from
+    ``in_groups``."""
+    products = on_side(rows, DEMAND).select(*SKU, "alias_product_id")
+    return products.join(cells, VENDOR).select(*products.columns, *CELL[1:], "chain_id")
+
+
 def vendor_groups(rows: DataFrame) -> DataFrame:
     """Each group of either side at each vendor, with what was sold of it."""
     return rows.groupBy(*VENDOR, "side", "alias_product_id").agg(

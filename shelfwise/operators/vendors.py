@@ -36,6 +36,11 @@ def vendor_faces(dims: DataFrame) -> DataFrame:
     return faces.join(vendor_totals(dims), VENDOR)
 
 
+def vendor_cells(faces: DataFrame) -> DataFrame:
+    """The market cells and chains each vendor belongs to."""
+    return faces.select(*VENDOR, *CELL[1:], "chain_id").distinct()
+
+
 def vendor_presence(faces: DataFrame) -> DataFrame:
     """Each vendor once per market cell, with the number of chains it counts under there."""
     return (

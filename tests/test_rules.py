@@ -6,6 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks import registry
 from shelfwise import PLATFORMS, GapParams, Period, build_lookups, sku_gap, sources
 from shelfwise import functions as fn
 from shelfwise.columns import gap_result_columns
@@ -240,6 +241,68 @@ def test_vendor_under_two_chains_counts_sessions_twice(spark):
     assert m[0].rev_per_session == 15.0 / (30 + 30 + 5)
 
 
+class Shops:
+    """Two markets' tables as the registered steps read them: v1 in two chains, v2 in none."""
+
+    def __init__(self, spark):
+        src = micro.sources(
+            spark,
+            vendor_month=[
+                vendor("v1", chain="1"), vendor("v1", chain="2"), vendor("v2"),
+                vendor("v3", online=False),
+            ],
+            catalog=[listing("m1", "p1"), listing("m2", "p2"), listing("m3", "p3")],
+            demand_alias=[d_alias("m1", "d1"), d_alias("m1", "d2"), d_alias("m2", "d1")],
+            supply_alias=[supply("m1", "s1"), supply("m2", "s1"), supply("m2", "s2")],
+            buyable_rate=[
+                buyable(v, p) for v in ("v1", "v2", "v3") for p in ("p1", "p2", "p3")
+            ] + [buyable("v2", "p2", rate=-1.0)],
+            orders=[
+                order("v1", ("p1", 2, 7.5), ("p2", 1, 1.0)), order("v1", ("p1", 1, None)),
+                order("v2", ("p1", 4, 0.5), ("p3", 9, 9.0)), order("v3", ("p1", 1, 1.0)),
+            ],
+        )
+        self.lookups = build_lookups(src)
+        self.src = src
+        for name in ("buyable_rate", "orders", "vendor_month"):
+            setattr(self, name, getattr(src, name))
+
+    def stored(self, name, df, by=(), fact=False):
+        return df
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    x = registry.Steps(Shops(spark))
+    window = (micro.MONTH, date(2026, 5, 31))
+    x.month = sources.vendor_month(x.s, micro.MONTH)
+    x.items = sources.order_items(x.s, *window)
+    x.everyones = assortment.sku_activity(sources.active_window_rates(x.s, *window), x.items)
+    return x
+
+
+def made(steps, name, *columns):
+    return sorted(
+        (tuple(r) for r in registry._QUERIES[name](steps.s, steps).select(*columns).collect()),
+        key=repr,
+    )
+
+
+def in_chains(v, *rest):
+    return [(v, chain, *rest) for chain in (("1", "2") if v == "v1" else (None,))]
+
+
+def test_demand_products_stand_in_every_cell_and_chain(steps):
+    got = made(
+        steps, "join_vendor_demand_products", "platform_vendor_id", "chain_id",
+        "platform_product_id", "alias_product_id", "vertical_segment", "city",
+    )
+    want = [("v1", "p1", "d1"), ("v1", "p1", "d2"), ("v1", "p2", "d1"), ("v2", "p1", "d1"),
+            ("v2", "p1", "d2")]
+    assert got == sorted(
+        (row for v, *rest in want for row in in_chains(v, *rest, "grocery", "Madrid")), key=repr)
+
+
 def test_a_product_counts_once_in_each_of_its_groups(spark):
     """A lookup row per pair of groups must not multiply what was sold."""
     src = micro.sources(
