@@ -303,6 +303,16 @@ def test_demand_products_stand_in_every_cell_and_chain(steps):
         (row for v, *rest in want for row in in_chains(v, *rest, "grocery", "Madrid")), key=repr)
 
 
+def test_order_items_meet_every_group_cell_and_chain(steps):
+    got = made(
+        steps, "join_order_items", "platform_vendor_id", "chain_id", "platform_product_id",
+        "alias_product_id", "quantity_sold", "revenue_eur",
+    )
+    want = [("v1", "p1", "d1", 3, 7.5), ("v1", "p1", "d2", 3, 7.5), ("v1", "p2", "d1", 1, 1.0),
+            ("v2", "p1", "d1", 4, 0.5), ("v2", "p1", "d2", 4, 0.5)]
+    assert got == sorted((row for v, *rest in want for row in in_chains(v, *rest)), key=repr)
+
+
 def test_a_product_counts_once_in_each_of_its_groups(spark):
     """A lookup row per pair of groups must not multiply what was sold."""
     src = micro.sources(
