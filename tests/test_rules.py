@@ -313,6 +313,17 @@ def test_order_items_meet_every_group_cell_and_chain(steps):
     assert got == sorted((row for v, *rest in want for row in in_chains(v, *rest)), key=repr)
 
 
+def test_candidates_meet_every_vendor_and_chain_that_carries_them(steps, monkeypatch):
+    monkeypatch.setattr(steps, "gated", steps.metrics.where("alias_product_id = 'd1'"))
+    got = made(
+        steps, "join_candidates_chain", "platform_vendor_id", "chain_id", "alias_product_id",
+        "supply_alias_id", "vertical_segment", "city",
+    )
+    want = [("v1", "d1", "s1"), ("v1", "d1", "s2"), ("v2", "d1", "s1")]
+    assert got == sorted(
+        (row for v, *rest in want for row in in_chains(v, *rest, "grocery", "Madrid")), key=repr)
+
+
 def test_a_product_counts_once_in_each_of_its_groups(spark):
     """A lookup row per pair of groups must not multiply what was sold."""
     src = micro.sources(
