@@ -303,6 +303,13 @@ def test_demand_products_stand_in_every_cell_and_chain(steps):
         (row for v, *rest in want for row in in_chains(v, *rest, "grocery", "Madrid")), key=repr)
 
 
+def test_distinct_demand_products_keep_product_cell_and_chain(steps):
+    columns = ("platform_vendor_id", "chain_id", "platform_product_id", "alias_product_id")
+    got = made(steps, "distinct_vendor_demand_products", *columns, "vertical_segment", "city")
+    assert len(got) == 8 and len(set(got)) == 8
+    assert ("v1", "2", "p2", "d1", "grocery", "Madrid") in got
+
+
 def test_order_items_meet_every_group_cell_and_chain(steps):
     got = made(
         steps, "join_order_items", "platform_vendor_id", "chain_id", "platform_product_id",
