@@ -320,6 +320,17 @@ def test_order_items_meet_every_group_cell_and_chain(steps):
     assert got == sorted((row for v, *rest in want for row in in_chains(v, *rest)), key=repr)
 
 
+def test_product_sales_are_summed_by_cell_and_chain(steps):
+    got = made(
+        steps, "agg_vendor_product_sales", "platform_vendor_id", "chain_id", "alias_product_id",
+        "vertical_segment", "city", "quantity_sold", "revenue_eur",
+    )
+    want = [("v1", "d1", 4, 8.5), ("v1", "d2", 3, 7.5), ("v2", "d1", 4, 0.5), ("v2", "d2", 4, 0.5)]
+    assert got == sorted(
+        (row for v, d, *sums in want for row in in_chains(v, d, "grocery", "Madrid", *sums)),
+        key=repr)
+
+
 def test_candidates_meet_every_vendor_and_chain_that_carries_them(steps, monkeypatch):
     monkeypatch.setattr(steps, "gated", steps.metrics.where("alias_product_id = 'd1'"))
     got = made(
