@@ -7,7 +7,6 @@ Each input is written once per session and then read like any stored table.
 from __future__ import annotations
 
 import uuid
-from copy import copy
 from datetime import date
 from functools import cached_property
 
@@ -30,6 +29,10 @@ START, END = date(1996, 1, 1), date(1999, 12, 31)
 PERIOD = Period(REPORT_MONTH, START, END, START, END)
 PARAMS = GapParams(period=PERIOD)
 #: Vendors of November, availability of the last years, orders of one month.
+#: Rows of a stand-in file.
+FILE_ROWS = 250_000
+#: Rows of a fact from which on each month is dealt to several tasks, one more for as many rows.
+MONTH_ROWS = 10_000_000
 THREE_WINDOWS = Period.rolling(date(1999, 12, 15), date(1997, 5, 1), days=2000)
 
 
@@ -56,13 +59,14 @@ class StandIn:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def stored(
-        self, name: str, df: DataFrame, by: tuple[str, ...] = (), fact: bool = False
-    ) -> DataFrame:
-        """A fact table is spread over files, as its one-file source would be read by one task."""
+    def files(self, name: str, each: int = 1) -> int:
+        """Over how many files to spread ``each`` rows for every row of a raw table. A one-file source
+        would be read by one task; a count that does not grow would let every task grow instead."""
+        rows = self.raw(name).count() * each
+        return max(self.spark.sparkContext.defaultParallelism, -(-rows // FILE_ROWS))
+
+    def stored(self, name: str, df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         path = f"{self.root}/{name}"
-        if fact:
-            df = df.repartition(self.spark.sparkContext.defaultParallelism, *by)
         df.write.mode("overwrite").partitionBy(*by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
@@ -89,14 +93,16 @@ class StandIn:
         created = F.timestamp_seconds(788_918_400 + F.col("p_size") * 86_400 + p)  # from 1995-01-01
         own = row(master, created, F.array(product, unknown))
         stray = row(master + 2, F.when(p % 3 != 0, listed), F.array(product))
-        rows = self.raw("part").select(F.explode(F.array(own, stray)).alias("r"))
+        parts = self.raw("part").repartition(self.files("part", 12), p)  # two rows in six markets
+        rows = parts.select(F.explode(F.array(own, stray)).alias("r"))
         return self.stored("catalog", rows.select(all_markets(), "r.*"))
 
     def _alias(self, keys: list[str], unlisted: str) -> DataFrame:
         """Each table misses some master products, so some have only one alias, and some none."""
         masters = self.raw("part").where("p_partkey % 2 = 0").where(f"NOT ({unlisted})")
         groups = masters.groupBy(*keys).agg(F.min("p_partkey").alias("alias_product_id"))
-        return masters.join(groups, keys).withColumn(
+        spread = masters.repartition(self.files("part", 6), "p_partkey")
+        return spread.join(groups, keys).withColumn(
             "catalog_master_product_id", F.col("p_partkey")
         )
 
@@ -149,19 +155,38 @@ class StandIn:
             ((k * 31) % 101).cast("double").alias("vps_v11"),
         ))
 
-    @cached_property
-    def buyable_rate(self) -> DataFrame:
+    def _rates(self) -> DataFrame:
         rate = F.when(F.col("l_returnflag") == "R", 1 - F.col("l_discount")).otherwise(0.0)
-        return self.stored("buyable_rate", self.raw("lineitem").select(
+        return self.raw("lineitem").select(
             market(F.col("l_suppkey")),
             F.col("l_suppkey").alias("platform_vendor_id"),
             F.col("l_partkey").alias("platform_product_id"),
             F.col("l_shipdate").cast("date").alias("date_ref"),
             rate.alias("daily_buyable_rate_eligible_ref"),
-        ), fact=True)
+        )
+
+    @cached_property
+    def buyable_rate(self) -> DataFrame:
+        return self.stored(
+            "buyable_rate", self._rates().repartition(self.files("lineitem"), *SKU, "date_ref")
+        )
+
+    def _lines(self) -> DataFrame:
+        """Order lines with their order, spread by it: the one exchange of the join."""
+        n = self.files("lineitem")
+        lines = self.raw("lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount"
+        ).repartition(n, "l_orderkey")
+        orders = self.raw("orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+        return lines.join(
+            orders.repartition(n, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")
+        )
 
     @cached_property
     def orders(self) -> DataFrame:
+        return self.stored("orders", self._orders(self._lines()))
+
+    def _orders(self, lines: DataFrame) -> DataFrame:
         """One order per line; a quantity above 1 is split into a paid and an unpriced item."""
         qty = F.col("l_quantity").cast("bigint")
         half = F.floor(qty / 2)
@@ -178,17 +203,14 @@ class StandIn:
             half > 0, F.array(item(qty - half, paid), item(half, F.lit(None).cast("double")))
         ).otherwise(F.array(item(qty, paid)))
         key = F.col("l_orderkey")
-        lines = self.raw("lineitem").join(
-            self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey")
-        )
-        return self.stored("orders", lines.select(
+        return lines.select(
             market(F.col("l_suppkey")),
             F.col("l_suppkey").alias("platform_vendor_id"),
             F.col("o_orderdate").cast("date").alias("order_created_date_lt"),
             (F.col("o_orderstatus") != "P").alias("is_successful"),
             F.when(key % 10 == 0, "darkstores").when(key % 10 != 1, "shop").alias("vertical_type"),
             items.alias("items"),
-        ), fact=True)
+        )
 
     @cached_property
     def vendor_users(self) -> DataFrame:
@@ -238,14 +260,15 @@ class StandIn:
         ))
 
     @cached_property
-    def by_month(self) -> StandIn:
-        """The same inputs with both facts partitioned by month."""
-        dated = copy(self)
-        for name, day in (("buyable_rate", "date_ref"), ("orders", "order_created_date_lt")):
-            fact = getattr(self, name)
-            fact = fact.withColumn(f"{day}_month", F.trunc(day, "month"))
-            setattr(dated, name, self.stored(f"{name}_by_month", fact, (f"{day}_month",), fact=True))
-        return dated
+    def by_month(self) -> ByMonth:
+        return ByMonth(self)
+
+    def dealt_by_month(self, rows: DataFrame, day: Column, *spread: str) -> DataFrame:
+        """Rows of a fact dealt out by month. A month of a large fact is cut in several, by the columns
+        ``spread``, as the sort that writes its folders holds what one task was dealt."""
+        pieces = self.raw("lineitem").count() // MONTH_ROWS + 1
+        piece = F.pmod(F.xxhash64(*spread), F.lit(pieces))
+        return rows.repartition(self.files("lineitem"), F.trunc(day.cast("date"), "month"), piece)
 
     @cached_property
     def lookups(self) -> Lookups:
@@ -262,6 +285,33 @@ class StandIn:
         return read_result(self.spark, path)
 
 
+class ByMonth:
+    """The facts of a stand-in partitioned by month, each made when it is first read, from the raw
+    tables: a query over one of them makes neither the other nor the fact in its first layout."""
+
+    def __init__(self, s: StandIn):
+        self.s = s
+
+    def _stored(self, name: str, rows: DataFrame, day: str) -> DataFrame:
+        month = f"{day}_month"
+        return self.s.stored(
+            f"{name}_by_month", rows.withColumn(month, F.trunc(day, "month")), (month,)
+        )
+
+    @cached_property
+    def buyable_rate(self) -> DataFrame:
+        rows = self.s.dealt_by_month(
+            self.s._rates(), F.col("date_ref"), "platform_vendor_id", "platform_product_id"
+        )
+        return self._stored("buyable_rate", rows, "date_ref")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        # Dealt before the items are nested, which are several times as large.
+        lines = self.s.dealt_by_month(self.s._lines(), F.col("o_orderdate"), "l_orderkey")
+        return self._stored("orders", self.s._orders(lines), "order_created_date_lt")
+
+
 _OPEN: dict[tuple[str, str], StandIn] = {}
 
 

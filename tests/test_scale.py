@@ -8,6 +8,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from checks import standin
 from shelfwise import build_lookups, lazy, refresh_lookups, sku_gap, sources, table_stage
 from shelfwise.operators import alias, assortment, demand, gaps
 from tests import micro
@@ -59,6 +60,53 @@ def test_whole_job_has_no_cross_join_and_no_python(shuffled, src):
     assert "LeftAnti" in text and "WindowGroupLimit" in text
 
 
+@pytest.fixture
+def raw_tables(spark, tmp_path):
+    """Star-schema tables of 100 parts, 40 vendors and 1,000 lines of one month."""
+    n = F.col("id")
+    tables = {
+        "part": spark.range(100).select(
+            n.alias("p_partkey"), F.concat(F.lit("n"), n % 5).alias("p_name"),
+            F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"),
+            F.lit(1).alias("p_size")),
+        "supplier": spark.range(40).select(
+            n.alias("s_suppkey"), F.lit("s").alias("s_name"), F.lit(1.0).alias("s_acctbal")),
+        "orders": spark.range(500).select(
+            n.alias("o_orderkey"), F.lit("1997-03-05").cast("timestamp").alias("o_orderdate"),
+            F.lit("F").alias("o_orderstatus")),
+        "lineitem": spark.range(1000).select(
+            (n % 500).alias("l_orderkey"), (n % 100).alias("l_partkey"), (n % 40).alias("l_suppkey"),
+            F.lit(2.0).alias("l_quantity"), F.lit(10.0).alias("l_extendedprice"),
+            F.lit(0.1).alias("l_discount"), F.lit("R").alias("l_returnflag"),
+            F.lit("1997-03-05").cast("timestamp").alias("l_shipdate")),
+    }
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_stand_in_files_grow_with_the_input(spark, raw_tables, monkeypatch):
+    monkeypatch.setattr(standin, "FILE_ROWS", 50)
+    s = standin.StandIn(spark, raw_tables)
+    assert s.catalog.count() == 100 * 2 * 6
+    assert s.demand_alias.count() == 45 * 6  # masters 4, 26, 48, 70 and 92 are unlisted
+    cores = spark.sparkContext.defaultParallelism
+    for table in (s.catalog, s.buyable_rate, s.orders):
+        assert len(table.inputFiles()) > cores
+    assert s.buyable_rate.count() == s.orders.count() == 1000
+
+
+def test_a_month_of_a_large_fact_is_several_tasks(spark, raw_tables, monkeypatch):
+    monkeypatch.setattr(standin, "MONTH_ROWS", 100)
+    s = standin.StandIn(spark, raw_tables)
+    rates = sources.active_window_rates(s.by_month, standin.START, standin.END)
+    assert rates.count() == 1000 and len(rates.inputFiles()) > 1
+    made = {**vars(s), **vars(s.by_month)}
+    assert "orders" not in made and "buyable_rate" not in vars(s)
+    items = sources.order_items(s.by_month, standin.START, standin.END)
+    assert items.count() == 2000 and len(s.by_month.orders.inputFiles()) > 1
+
+
 def test_rank_filters_reach_the_shuffle(spark):
     df = spark.range(100).select(
         F.lit("E").alias("global_entity_id"), F.lit("s").alias("vertical_segment"),
