@@ -18,11 +18,12 @@ SPACES = " \t\n\x0b\x0c\r"
 
 #: n-grams are this many bytes of the words of a text, joined by one space; four fit in 32 bits.
 ORDER = 4
-#: Model entries are kept under hashes of this many bits, so there are at most 2 ** 22 of them
-#: (64 MB), however large the corpus is. Entries whose hashes meet share the larger value.
-HASH_BITS = 22
+#: A task holds the bits of at most this many n-grams (12 MB), the most frequent ones, however large
+#: the corpus is. It finds them under hashes of this many bits. The bits of all others, and of those
+#: whose hashes meet, come from a join.
+HEAD_GRAMS, HASH_BITS = 1 << 20, 32
 #: Rows of counts a task holds before it sends them on.
-HELD_GRAMS = 4_000_000
+HELD_GRAMS = 1_000_000
 #: Width of a band: so many robust standard deviations (interquartile range / 1.349) from the median.
 BAND, DEVIATION = 6.0, 1.349
 #: The clean model learns from texts within so many interquartile ranges of the median, with at
@@ -206,8 +207,50 @@ def _slots(lang: str, kind: int | np.ndarray, grams: np.ndarray) -> np.ndarray:
     return ((x ^ x >> np.uint64(32)) >> np.uint64(64 - HASH_BITS)).astype(np.uint32)
 
 
-def hash_arrays(entries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The model as sorted hashes and their values: at most ``2 ** HASH_BITS`` of each."""
+def chances(counts: DataFrame, entries: DataFrame) -> DataFrame:
+    """lang, gram, n, value: the model's probability of every counted n-gram, seen by it or not."""
+    rows = counts.select(
+        "lang", "gram", "n", F.lit(None).cast("double").alias("value"), F.lit(1.0).alias("weight")
+    )
+    for k in range(ORDER, 0, -1):
+        seen = entries.where(F.col("kind") == k).select(
+            "lang", F.col("gram").alias("part"), F.col("value").alias("own")
+        )
+        back = entries.where(F.col("kind") == ORDER + k).select(
+            "lang", F.col("gram").alias("context"), F.col("value").alias("back")
+        )
+        rows = (
+            rows.withColumn("part", _suffix(k)).withColumn("context", F.shiftright("part", 8))
+            .join(seen, ["lang", "part"], "left").join(back, ["lang", "context"], "left")
+            .select(
+                "lang", "gram", "n",
+                F.coalesce(F.col("value"), F.col("weight") * F.col("own")).alias("value"),
+                (F.col("weight") * F.coalesce(F.col("back"), F.lit(1.0))).alias("weight"),
+            )
+        )
+    return rows.select(
+        "lang", "gram", "n", F.coalesce(F.col("value"), F.col("weight") / 256).alias("value")
+    )
+
+
+def _head(rows: DataFrame) -> Column:
+    """Whether an n-gram is frequent enough to be held: by powers of two, at most HEAD_GRAMS are."""
+    level = F.floor(F.log2("n"))
+    sizes = rows.groupBy(level.alias("level")).count().collect()
+    least, held = 64, 0
+    for row in sorted(sizes, reverse=True):
+        held += row[1]
+        if held > HEAD_GRAMS:
+            break
+        least = row[0]
+    return level >= least
+
+
+def hash_arrays(
+    entries: DataFrame, held: Column | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of entries and their values: those that are to be ``held`` (all) and whose hash
+    no other entry has, held or not. So a hash that is found is that of the entry looked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,13 +261,17 @@ def hash_arrays(entries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 own = lang == name
                 slot[own] = _slots(name, kind[own].astype(np.uint64), gram[own])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), batch.column(3)], names=["slot", "value"]
+                [pa.array(slot), batch.column(3), batch.column(4)], names=["slot", "value", "held"]
             )
 
-    slots = entries.select("lang", "kind", "gram", "value").mapInArrow(
-        run, "slot long, value double"
+    held = F.lit(True) if held is None else held
+    slots = entries.select("lang", "kind", "gram", "value", held.alias("held")).mapInArrow(
+        run, "slot long, value double, held boolean"
     )
-    rows = slots.groupBy("slot").agg(F.max("value").alias("value")).toArrow()
+    alone = slots.groupBy("slot").agg(
+        F.max("value").alias("value"), F.max("held").alias("held"), F.count("*").alias("met")
+    )
+    rows = alone.where("held AND met = 1").select("slot", "value").toArrow()
     slot = rows.column("slot").to_numpy()
     order = np.argsort(slot)
     return slot[order].astype(np.uint32), rows.column("value").to_numpy()[order]
@@ -234,32 +281,41 @@ class Scorer:
     def __init__(self, hashes: np.ndarray, values: np.ndarray):
         self.hashes, self.values = hashes, values
 
-    def _find(self, lang: str, kind: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        slots = _slots(lang, kind, grams)
-        at = np.minimum(np.searchsorted(self.hashes, slots), max(len(self.hashes) - 1, 0))
-        found = self.hashes[at] == slots if len(self.hashes) else np.zeros(len(slots), bool)
-        return found, (self.values[at] if len(self.values) else np.zeros(len(slots)))
-
-    def bits_per_byte(self, lang: str, text: str | None) -> float | None:
-        """Mean number of bits for a byte of the text's words; null for a text without words."""
+    def bits(self, lang: str, text: str | None) -> tuple:
+        """The bits of the n-grams of a text that are held, the number of its n-grams (null bits
+        without any), and the n-grams that are not held with how often each occurs."""
         packed = grams_of(text)
         if not len(packed):
-            return None
+            return None, 0, [], []
         grams, times = np.unique(packed, return_counts=True)
-        p, weight = np.zeros(len(grams)), np.ones(len(grams))
-        open_ = np.arange(len(grams))
-        for n in range(ORDER, 0, -1):
-            if not len(open_):
-                break
-            part = grams[open_] & np.uint32((1 << 8 * n) - 1)
-            found, value = self._find(lang, n, part)
-            p[open_[found]] = weight[open_[found]] * value[found]
-            open_, part = open_[~found], part[~found]
-            if len(open_):
-                known, back = self._find(lang, ORDER + n, part >> np.uint32(8))
-                weight[open_[known]] *= back[known]
-        p[open_] = weight[open_] / 256
-        return float(-(np.log2(p) @ times) / times.sum())
+        slots = _slots(lang, ORDER, grams)
+        at = np.minimum(np.searchsorted(self.hashes, slots), max(len(self.hashes) - 1, 0))
+        found = self.hashes[at] == slots if len(self.hashes) else np.zeros(len(slots), bool)
+        held = float(-(np.log2(self.values[at[found]]) @ times[found]))
+        return held, int(times.sum()), grams[~found].tolist(), times[~found].tolist()
+
+
+#: What ``Scorer.bits`` returns.
+BITS = "held double, n_grams long, far_grams array<long>, far_times array<long>"
+
+
+def _scored(rows: DataFrame, model: DataFrame, stages: Stages, name: str) -> DataFrame:
+    """``rows`` with the mean number of bits for a byte of their words as column ``name``, instead of
+    BITS. The n-grams that tasks did not hold are joined with the model; their sums are a table of
+    known size, so documents are not shuffled for few of them."""
+    far = F.explode(F.arrays_zip("far_grams", "far_times")).alias("far")
+    times = rows.where(F.size("far_grams") > 0).select("at", F.col("tongue").alias("lang"), far).select(
+        "at", "lang", F.col("far.far_grams").alias("gram"), F.col("far.far_times").alias("times")
+    )
+    more = stages.put(f"far-{name}", times.join(model, ["lang", "gram"]).groupBy("at").agg(
+        F.sum(-F.log2("value") * F.col("times")).alias("more")
+    ))
+    bits = F.try_divide(
+        F.col("held") + F.coalesce(F.col("more"), F.lit(0.0)), F.col("n_grams").cast("double")
+    )
+    return rows.join(more, "at", "left").withColumn(name, bits).drop(
+        "more", *(f.split()[0] for f in BITS.split(", "))
+    )
 
 
 def quality(
@@ -292,26 +348,34 @@ def quality_documents(
 
 def _judged(docs: DataFrame, stages: Stages, row: Column, text: str, lang: str) -> DataFrame:
     context = docs.sparkSession.sparkContext
+
+    def held(chances_: DataFrame):
+        entries = chances_.withColumn("kind", F.lit(ORDER))
+        return context.broadcast(hash_arrays(entries, _head(chances_)))
+
     counts = stages.put("gram-counts", gram_counts(docs, lang, text))
-    model = context.broadcast(hash_arrays(kneser_ney(counts, stages)))
+    # It was counted over all texts, so it has seen every n-gram.
+    seen = kneser_ney(counts, stages).where(F.col("kind") == ORDER).drop("kind")
+    chance = stages.put("chances", counts.join(seen, ["lang", "gram"]))
+    model = held(chance)
 
     def measure(columns: list[list]) -> list[list]:
         scorer = Scorer(*model.value)
-        rows = [
-            (*base_counts(body), scorer.bits_per_byte(name, body))
-            for body, name in zip(*columns)
-        ]
-        return [list(c) for c in zip(*rows)] if rows else [[] for _ in range(6)]
+        rows = [(*base_counts(body), *scorer.bits(name, body)) for body, name in zip(*columns)]
+        return [list(c) for c in zip(*rows)] if rows else [[] for _ in range(9)]
 
     rows = docs.select(
         row.alias("row"), F.col(text).alias("body"), F.coalesce(F.col(lang), F.lit("")).alias("tongue")
     )
     measured = map_rows(
-        rows, measure, ["row", "body", "tongue"], ["body", "tongue"], f"{BASE}, bits_per_byte double"
+        rows, measure, ["row", "body", "tongue"], ["body", "tongue"], f"{BASE}, {BITS}"
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    measured = stages.put("measured", measured.withColumn("base_failed", failed))
+    measured = stages.put("measured", measured.withColumn("base_failed", failed).withColumn(
+        "at", F.monotonically_increasing_id()
+    ))
     model.destroy()
+    measured = _scored(measured, chance, stages, "bits_per_byte")
 
     share = F.col("n_symbols") / F.col("word_chars")
     middle = stages.put("middle", _middle(
@@ -320,21 +384,24 @@ def _judged(docs: DataFrame, stages: Stages, row: Column, text: str, lang: str)
     near = F.abs(F.col("bits_per_byte") - F.col("median")) <= TRUSTED * F.col("spread")
     plain = share <= F.greatest(F.lit(SYMBOL_SHARE), 2 * F.col("symbols"))
     trusted = measured.where(~F.col("base_failed")).join(middle, "tongue").where(near & plain)
-    counts = stages.put("clean-counts", gram_counts(trusted, "tongue", "body"))
-    clean = context.broadcast(hash_arrays(kneser_ney(counts, stages)))
+    clean_counts = stages.put("clean-counts", gram_counts(trusted, "tongue", "body"))
+    chance = stages.put("clean-chances", chances(counts, kneser_ney(clean_counts, stages)))
+    clean = held(chance)
 
     def again(columns: list[list]) -> list[list]:
         scorer = Scorer(*clean.value)
-        return [[
-            None if failed else scorer.bits_per_byte(name, body)
+        rows = [
+            scorer.bits(name, None if failed else body)
             for body, name, failed in zip(*columns)
-        ]]
+        ]
+        return [list(c) for c in zip(*rows)] if rows else [[] for _ in range(4)]
 
     keep = [c for c in measured.columns if c != "body"]
     judged = stages.put("judged", map_rows(
-        measured, again, keep, ["body", "tongue", "base_failed"], "clean_bits double"
+        measured, again, keep, ["body", "tongue", "base_failed"], BITS
     ))
     clean.destroy()
+    judged = _scored(judged, chance, stages, "clean_bits")
     width = BAND / DEVIATION * F.col("spread")
     # A table of one row per language, of known size: Spark need not shuffle documents by language.
     bands = stages.put("bands", _middle(judged, "clean_bits").select(

@@ -346,6 +346,25 @@ def test_hash_arrays_are_sorted_and_bounded(documents, stages):
     assert ((values > 0) & (values <= 1.0001)).all()
 
 
+@pytest.mark.parametrize("held", [0, 40, 1 << 20])
+def test_quality_is_exact_whatever_is_held(documents, stages, monkeypatch, held):
+    """Against the plain model: n-grams that tasks do not hold are joined."""
+    monkeypatch.setattr(quality, "HEAD_GRAMS", held)
+    data = [(k, t, "xx" if k % 3 else None) for k, (_, t) in enumerate(corpus(6, 20))]
+    made = {r.doc_id: r.bits_per_byte for r in quality.quality(documents(data), stages).collect()}
+    models = {lang: plain_model([t for _, t, x in data if x == lang]) for lang in ("xx", None)}
+    for k, t, x in data:
+        want = models[x](t)
+        assert (made[k] is None) == (want is None) and (want is None or abs(made[k] - want) < 1e-9)
+
+
+def test_entries_whose_hashes_meet_are_not_held(documents):
+    counts = quality.gram_counts(documents(corpus(2, 10)), "lang", "text")
+    entries = quality.kneser_ney(counts).where("kind = 4")
+    hashes, values = quality.hash_arrays(entries.unionByName(entries.where("value > 0.5")))
+    assert len(hashes) == entries.where("value <= 0.5").count() and (values <= 0.5).all()
+
+
 # --- mixing
 
 
