@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import Stages, map_rows
@@ -174,10 +174,11 @@ def kneser_ney(counts: DataFrame, stages: Stages | None = None) -> DataFrame:
             "cut", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2"))
             .otherwise(F.col("d3"))
         ).withColumn("context", F.shiftright("gram", 8))
-        contexts = grams.groupBy("lang", "context").agg(
-            F.sum("c").alias("total"), (F.sum("cut") / F.sum("c")).alias("weight")
+        # A context has at most 256 n-grams, so its rows are few.
+        same = Window.partitionBy("lang", "context")
+        seen = grams.withColumn("total", F.sum("c").over(same)).withColumn(
+            "weight", F.sum("cut").over(same) / F.col("total")
         )
-        seen = grams.join(contexts, ["lang", "context"])
         if lower is None:
             below = F.lit(1 / 256)
         else:
@@ -187,12 +188,11 @@ def kneser_ney(counts: DataFrame, stages: Stages | None = None) -> DataFrame:
             )
             below = F.col("below")
         value = (F.col("c") - F.col("cut")) / F.col("total") + F.col("weight") * below
-        lower = put(
-            f"seen-{n}", seen.select("lang", F.lit(n).alias("kind"), "gram", value.alias("value"))
-        )
-        weights = contexts.select(
-            "lang", F.lit(ORDER + n).alias("kind"), F.col("context").alias("gram"),
-            F.col("weight").alias("value"),
+        table = put(f"seen-{n}", seen.select("lang", "gram", value.alias("value"), "context", "weight"))
+        # The kind is no column of the table: who reads one kind has a plan with that table alone.
+        lower = table.select("lang", F.lit(n).alias("kind"), "gram", "value")
+        weights = table.groupBy("lang", "context").agg(F.max("weight").alias("value")).select(
+            "lang", F.lit(ORDER + n).alias("kind"), F.col("context").alias("gram"), "value"
         )
         both = lower.unionByName(weights)
         entries = both if entries is None else entries.unionByName(both)
@@ -207,8 +207,10 @@ def _slots(lang: str, kind: int | np.ndarray, grams: np.ndarray) -> np.ndarray:
     return ((x ^ x >> np.uint64(32)) >> np.uint64(64 - HASH_BITS)).astype(np.uint32)
 
 
-def chances(counts: DataFrame, entries: DataFrame) -> DataFrame:
-    """lang, gram, n, value: the model's probability of every counted n-gram, seen by it or not."""
+def chances(counts: DataFrame, entries: DataFrame, stages: Stages | None = None) -> DataFrame:
+    """lang, gram, n, value: the model's probability of every counted n-gram, seen by it or not.
+    With ``stages`` the rows after each order are a table, so that no plan joins all orders."""
+    put = stages.put if stages else lambda name, df: df
     rows = counts.select(
         "lang", "gram", "n", F.lit(None).cast("double").alias("value"), F.lit(1.0).alias("weight")
     )
@@ -219,7 +221,7 @@ def chances(counts: DataFrame, entries: DataFrame) -> DataFrame:
         back = entries.where(F.col("kind") == ORDER + k).select(
             "lang", F.col("gram").alias("context"), F.col("value").alias("back")
         )
-        rows = (
+        rows = put(f"chances-{k}", (
             rows.withColumn("part", _suffix(k)).withColumn("context", F.shiftright("part", 8))
             .join(seen, ["lang", "part"], "left").join(back, ["lang", "context"], "left")
             .select(
@@ -227,7 +229,9 @@ def chances(counts: DataFrame, entries: DataFrame) -> DataFrame:
                 F.coalesce(F.col("value"), F.col("weight") * F.col("own")).alias("value"),
                 (F.col("weight") * F.coalesce(F.col("back"), F.lit(1.0))).alias("weight"),
             )
-        )
+        ))
+        if stages and k < ORDER:
+            stages.drop(f"chances-{k + 1}")
     return rows.select(
         "lang", "gram", "n", F.coalesce(F.col("value"), F.col("weight") / 256).alias("value")
     )
@@ -385,7 +389,7 @@ def _judged(docs: DataFrame, stages: Stages, row: Column, text: str, lang: str)
     plain = share <= F.greatest(F.lit(SYMBOL_SHARE), 2 * F.col("symbols"))
     trusted = measured.where(~F.col("base_failed")).join(middle, "tongue").where(near & plain)
     clean_counts = stages.put("clean-counts", gram_counts(trusted, "tongue", "body"))
-    chance = stages.put("clean-chances", chances(counts, kneser_ney(clean_counts, stages)))
+    chance = chances(counts, kneser_ney(clean_counts, stages), stages)
     clean = held(chance)
 
     def again(columns: list[list]) -> list[list]:

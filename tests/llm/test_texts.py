@@ -365,6 +365,23 @@ def test_entries_whose_hashes_meet_are_not_held(documents):
     assert len(hashes) == entries.where("value <= 0.5").count() and (values <= 0.5).all()
 
 
+def test_no_plan_joins_all_orders_of_a_model(documents, stages):
+    """Each plan of the driver has the tables of one order, and the values are those of one plan."""
+    counts = stages.put("counts", quality.gram_counts(documents(corpus(2, 10)), "lang", "text"))
+    part = stages.put("part", quality.gram_counts(documents(corpus(2, 10)[:5]), "lang", "text"))
+    entries = quality.kneser_ney(part, stages)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    for kind in range(1, 2 * quality.ORDER + 1):
+        one = plan(entries.where(F.col("kind") == kind))
+        assert one.count("Relation") == 1 and "Join" not in one and "Union" not in one
+    made = quality.chances(counts, entries, stages)
+    assert "Join" not in plan(made)
+    want = {tuple(r)[:3]: r.value for r in quality.chances(counts, quality.kneser_ney(part)).collect()}
+    got = {tuple(r)[:3]: r.value for r in made.collect()}
+    assert got.keys() == want.keys() and len(got) == counts.count()
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
 # --- mixing
 
 
