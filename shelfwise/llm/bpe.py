@@ -10,6 +10,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
@@ -188,17 +189,25 @@ def bpe_digests(
 
 
 def bpe_ids(
-    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", block_chars: int = 4_000_000
+    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", block_chars: int = 500_000
 ) -> DataFrame:
-    """All columns of ``df`` with ``token_ids`` (array of int) and ``decoded`` (binary)."""
+    """All columns of ``df`` with ``token_ids`` (array of int) and ``decoded`` (binary). What a task
+    holds is bounded by a block of texts: their ids are packed, and sent on before the next block."""
 
-    def run(columns: list[list]) -> list[list]:
+    def run(columns: list[list]) -> list[pa.Array]:
         codec = _codec(ranks_path, pattern)
-        made = [x for block in blocks(columns[0], block_chars) for x in codec.encode(block)]
-        return [[[int(i) for i in ids.split()] for ids, _ in made], [b for _, b in made]]
+        ids, decoded = [np.empty(0, np.int32)], []
+        for found, whole in codec.encode(columns[0]):
+            ids.append(np.fromstring(found, np.int32, sep=" "))
+            decoded.append(whole)
+        ends = np.cumsum([len(i) for i in ids], dtype=np.int32)
+        return [
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))),
+            pa.array(decoded, pa.binary()),
+        ]
 
     kept = [c for c in df.columns if c not in ("token_ids", "decoded")]
-    return map_rows(df, run, kept, [text], "token_ids array<int>, decoded binary")
+    return map_rows(df, run, kept, [text], "token_ids array<int>, decoded binary", most=block_chars)
 
 
 @lru_cache(maxsize=2)

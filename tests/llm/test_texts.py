@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.llm import bpe, langid, mixing, quality
+from shelfwise.llm.common import map_rows
 from shelfwise.llm.html import extract_pages, main_text
 from shelfwise.llm.queries import RANKS
 from tests.llm.texts import corpus
@@ -66,6 +67,20 @@ def test_bpe_columns(documents, rows, reference):
     assert rows(bpe.bpe_ids(documents([]), RANKS, PATTERN)) == []
 
 
+def test_bpe_ids_holds_one_block_at_a_time(documents, reference):
+    """A block of texts is encoded and sent on before the next; a column that is kept is sent once."""
+    data = list(enumerate(odd_texts()))
+    sizes = lambda columns: [[sum(len((t or "").encode()) for t in columns[0])] * len(columns[0])]
+    held = map_rows(documents(data).coalesce(1), sizes, ["doc_id", "text"], ["text"], "held long", most=700)
+    longest = {r.doc_id: len((r.text or "").encode()) for r in held.collect()}
+    assert all(r.held <= max(700, longest[r.doc_id]) for r in held.collect()) and len(longest) == len(data)
+    made = bpe.bpe_ids(documents(data), RANKS, PATTERN, block_chars=700)
+    assert {r.doc_id: r.token_ids for r in made.collect()} == {
+        k: reference.encode_ordinary(t or "") for k, t in data
+    }
+    assert "_read" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_merge_that_makes_a_lower_rank(tmp_path):
     """Merging b+c makes a pair (a, bc) of lower rank, which goes before the next b+c."""
     tokens = [bytes([b]) for b in range(256)] + [b"abc", b"bc", b"bcb"]
