@@ -42,11 +42,15 @@ def repeat_words(words: list[bytes]) -> int:
         return 0
     seen: dict[bytes, int] = {}
     ids = np.array([seen.setdefault(w, len(seen)) for w in words], np.int64)
-    pairs = np.unique(ids[:-1] * len(seen) + ids[1:], return_inverse=True)[1].astype(np.int64)
-    _, which, times = np.unique(
-        pairs[:-1] * len(seen) + ids[2:], return_inverse=True, return_counts=True
-    )
-    at = np.flatnonzero(times[which] > 1)
+    pairs = ids[:-1] * len(seen) + ids[1:]
+    if len(seen) ** 3 >= 1 << 63:  # three ids do not fit in a number
+        pairs = np.unique(pairs, return_inverse=True)[1].astype(np.int64)
+    windows = pairs[:-1] * len(seen) + ids[2:]
+    ordered = np.sort(windows)
+    again = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(again):
+        return 0
+    at = np.flatnonzero(np.isin(windows, again))
     covered = np.zeros(n, bool)
     for shift in range(3):
         covered[at + shift] = True
@@ -57,7 +61,7 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     if not text:
         return 0, 0, 0, 0, 0
     words = text.encode().split()
-    lines = [line for line in text.split("\n") if line.encode().split()]
+    lines = [line for line in text.split("\n") if line.strip(SPACES)]
     return (
         len(words),
         len(text) - sum(map(text.count, SPACES)),
@@ -72,14 +76,9 @@ def grams_of(text: str | None) -> np.ndarray:
     words = (text or "").encode().split()
     if not words:
         return np.empty(0, np.uint32)
-    b = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint32)
-    if len(b) < ORDER:
-        b = np.concatenate([np.full(ORDER - len(b), 32, np.uint32), b])
-    n = len(b) - ORDER + 1
-    packed = np.zeros(n, np.uint32)
-    for i in range(ORDER):
-        packed = packed << np.uint32(8) | b[i : i + n]
-    return packed
+    b = (b" " + b" ".join(words) + b" ").rjust(ORDER)
+    # Four bytes from every place, the first one highest.
+    return np.ndarray(len(b) - ORDER + 1, ">u4", b, 0, 1).astype(np.uint32)
 
 
 def _merged(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -284,6 +283,25 @@ def hash_arrays(
 class Scorer:
     def __init__(self, hashes: np.ndarray, values: np.ndarray):
         self.hashes, self.values = hashes, values
+        # Where the hashes of each value of their upper bits start, one or two of each.
+        upper = max(len(hashes).bit_length() - 1, 1)
+        self.shift = np.uint32(HASH_BITS - upper)
+        self.starts = np.zeros((1 << upper) + 1, np.int32)
+        np.cumsum(np.bincount(hashes >> self.shift, minlength=1 << upper), out=self.starts[1:])
+
+    def places(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each slot stands among the hashes, and whether it does."""
+        upper = slots >> self.shift
+        at, end = self.starts[upper], self.starts[upper + 1]
+        found = np.zeros(len(slots), bool)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            have, want = self.hashes[at[left]], slots[left]
+            found[left[have == want]] = True
+            left = left[have < want]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        return at, found
 
     def bits(self, lang: str, text: str | None) -> tuple:
         """The bits of the n-grams of a text that are held, the number of its n-grams (null bits
@@ -293,8 +311,7 @@ class Scorer:
             return None, 0, [], []
         grams, times = np.unique(packed, return_counts=True)
         slots = _slots(lang, ORDER, grams)
-        at = np.minimum(np.searchsorted(self.hashes, slots), max(len(self.hashes) - 1, 0))
-        found = self.hashes[at] == slots if len(self.hashes) else np.zeros(len(slots), bool)
+        at, found = self.places(slots)
         held = float(-(np.log2(self.values[at[found]]) @ times[found]))
         return held, int(times.sum()), grams[~found].tolist(), times[~found].tolist()
 

@@ -361,6 +361,28 @@ def test_hash_arrays_are_sorted_and_bounded(documents, stages):
     assert ((values > 0) & (values <= 1.0001)).all()
 
 
+def test_repeated_words_against_counting():
+    rng = random.Random(5)
+    texts = [[rng.choice([b"a", b"b", b"c", b"dd"]) for _ in range(rng.randrange(0, 40))] for _ in range(300)]
+    many = [b"%d" % i for i in range(2_200_000)]  # three of their numbers do not fit in 64 bits
+    for words in [*texts, many + many[7:11]]:
+        windows = list(zip(words, words[1:], words[2:]))
+        times = Counter(windows)
+        covered = {i + k for i, w in enumerate(windows) if times[w] > 1 for k in range(3)}
+        assert quality.repeat_words(words) == len(covered)
+
+
+def test_slots_are_found_by_their_upper_bits():
+    """Any number of hashes, spread or close together, and slots before, among and after them."""
+    rng = np.random.default_rng(3)
+    for n, top in [(0, 9), (1, 1 << 32), (2, 3), (7, 1 << 32), (500, 600), (5000, 1 << 32)]:
+        hashes = np.unique(rng.integers(0, top, n, np.uint32))
+        slots = np.concatenate([hashes, rng.integers(0, top, 300, np.uint32), np.array([0, 2**32 - 1], np.uint32)])
+        at, found = quality.Scorer(hashes, np.ones(len(hashes))).places(slots)
+        assert found.tolist() == np.isin(slots, hashes).tolist()
+        assert (hashes[at[found]] == slots[found]).all()
+
+
 @pytest.mark.parametrize("held", [0, 40, 1 << 20])
 def test_quality_is_exact_whatever_is_held(documents, stages, monkeypatch, held):
     """Against the plain model: n-grams that tasks do not hold are joined."""
