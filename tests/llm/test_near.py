@@ -256,6 +256,42 @@ def test_lines_are_shingled_where_they_meet(spark, documents, stages, monkeypatc
     assert not re.search("Python|Pandas|Arrow", "".join(p.split("ExistingRDD")[0] for p in plans.values()))
 
 
+def test_sketches_pass_all_similar_lines(spark):
+    """At the threshold, with repeated shingles; most of the others are told apart."""
+    rng, data = random.Random(3), []
+    for size in (4, 9, 18, 60, 300, 2000):
+        for i in range(60):
+            pool = rng.sample(range(-(1 << 60), 1 << 60), 3 * size)
+            only, more = size // 9, rng.randrange(3)
+            a, b = pool[:size], pool[only:size] + pool[size : size + only]
+            data.append((len(data), size, True, a + a[:more], b + b[-1:] * more))
+            data.append((len(data), size, False, a, pool[size : 2 * size]))
+    pairs = spark.createDataFrame(data, "id long, size int, linked boolean, a array<long>, b array<long>")
+    sketch = lambda c: lines.signatures(pairs.select("id", F.explode(c).alias("hash"))).select(
+        "id", F.struct("pieces", *lines.SKETCH).alias(c))
+    met = pairs.select("id", "size", "linked").join(sketch("a"), "id").join(sketch("b"), "id")
+    passed = met.where(lines.may_be_similar("a", "b")).groupBy("linked", "size").count().collect()
+    assert {r["size"]: r["count"] for r in passed if r.linked} == dict.fromkeys((4, 9, 18, 60, 300, 2000), 60)
+    assert not [r for r in passed if not r.linked and r["size"] <= 300]
+
+
+def test_only_lines_of_possible_links_are_shingled_again(documents, stages, monkeypatch):
+    """Lines that share a band but differ in most shingles are neither read nor cut again."""
+    read, put = {}, type(stages).put
+    def spy(self, name, df):  # noqa: E306
+        made = put(self, name, df)
+        read[name] = (made.count(), df._jdf.queryExecution().optimizedPlan().toString())
+        return made
+    monkeypatch.setattr(type(stages), "put", spy)
+    rng = random.Random(4)
+    data = [(i, "lorem ipsum " * 20 + sentence(rng, 40)) for i in range(12)]
+    data += [(50, data[0][1] + " end"), (51, "something else altogether, of its own")]
+    made = lines.line_report(documents(data), stages)
+    assert {r.doc_id for r in made.collect() if r.n_removed} == {50} == {k for k, _ in lines_expected(data)}
+    assert read["band-members"][0] > 4 and read["first-lines"][0] + read["other-lines"][0] <= 4
+    assert "regexp_extract_all" not in read["open-members"][1]
+
+
 def test_lines_run_no_python(documents, stages, capsys):
     lines.line_report(documents([(1, "some line\nsome line")]), stages).explain()
     plan = capsys.readouterr().out
